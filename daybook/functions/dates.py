@@ -17,7 +17,7 @@ def _c(x) -> Column:
 
 def iso_from_yyyymmdd(x) -> Column:
     """``'20240122'`` → ``'2024-01-22'`` (NULL for impossible dates)."""
-    return F.date_format(F.try_to_date(_c(x), F.lit("yyyyMMdd")), "yyyy-MM-dd")
+    return F.date_format(F.try_to_date(_c(x), "yyyyMMdd"), "yyyy-MM-dd")
 
 
 def next_calendar_day(x) -> Column:
@@ -42,7 +42,7 @@ def date_prefix(ts, n: int = 10) -> Column:
 def calendar_date(year, month, day) -> Column:
     """The date ``year-month-day``; NULL when it does not exist (30 Feb)."""
     return F.try_to_date(
-        F.format_string("%04d-%02d-%02d", _c(year), _c(month), _c(day)), F.lit("yyyy-MM-dd"))
+        F.format_string("%04d-%02d-%02d", _c(year), _c(month), _c(day)), "yyyy-MM-dd")
 
 
 def yyyymmdd(x) -> Column:

@@ -138,6 +138,6 @@ def balances_on_date(led: Ledger, p: RunParams) -> DataFrame:
     accounting date is the run date."""
     from daybook.operators.ledger import trx_on_accounting_date
     t = trx_on_accounting_date(led, p.run_date)
-    acc = accounts(led).select("numcta", "account_key")
+    acc = accounts(led, how="left").select("numcta", "account_key")
     return (t.join(acc, t["parentaccountkey"] == acc["account_key"], "inner")
             .select("numcta", "transactionid", "balance"))

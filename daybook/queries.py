@@ -97,3 +97,221 @@ def accounts_moved_on_date(led: Ledger, p: RunParams) -> DataFrame:
 # ------------------------------------------------------------------ reconciliation (flagship)
 
 query("day_after_reconcile")(R.day_after_reconcile)
+
+
+# ------------------------------------------------------------------ attributes
+
+from daybook.functions.codes import state_code  # noqa: E402
+from daybook.functions.dates import date_prefix, yyyymmdd  # noqa: E402
+from daybook.operators import attributes as A  # noqa: E402
+from daybook.operators.anti import not_in  # noqa: E402
+from daybook.operators.holds import hold_retentions as _hold_retentions  # noqa: E402
+from daybook.operators.holds import holds_to_transactions  # noqa: E402
+from daybook.params import OPEN_STATES, parse_product_list  # noqa: E402
+from daybook.plans import calendar as C  # noqa: E402
+from daybook.plans import chains as CH  # noqa: E402
+from daybook.plans import extract as X  # noqa: E402
+
+_ACCOUNT_ATTRS = [("tipocliente", "tipocliente"), ("numctabech", "numctabech"),
+                  ("fechaaperut", "fechaperut"), ("oficina", "ofiprod"), ("rut_tutor", "ruttutor"),
+                  ("codblq", "codblq"), ("causalcierre", "causalcierre")]
+
+
+def _plain_accounts(led: Ledger) -> DataFrame:
+    return led.cta.select(F.col("id").alias("numcta"), F.col("encodedkey").alias("account_key"),
+                          "accountholderkey")
+
+
+@query("attributes_left_join")
+def attributes_left_join(led: Ledger, p: RunParams) -> DataFrame:
+    """Seven account attributes and the client's rut, one optional lookup
+    join each (the SQL's form)."""
+    df = A.lookup_join(_plain_accounts(led), "accountholderkey", led.cfv, "rut", led.keys.rut)
+    for name, key in _ACCOUNT_ATTRS:
+        df = A.lookup_join(df, "account_key", led.cfv, name, led.keys[key])
+    return df.drop("account_key", "accountholderkey")
+
+
+@query("attributes_pivot")
+def attributes_pivot(led: Ledger, p: RunParams) -> DataFrame:
+    """The same columns through one aggregation per entity level."""
+    df = A.attach_attributes(_plain_accounts(led), "account_key", led.cfv,
+                             {name: led.keys[key] for name, key in _ACCOUNT_ATTRS})
+    df = A.attach_attributes(df, "accountholderkey", led.cfv, {"rut": led.keys.rut})
+    return df.drop("account_key", "accountholderkey")
+
+
+@query("attributes_inner_join")
+def attributes_inner_join(led: Ledger, p: RunParams) -> DataFrame:
+    """Mandatory lookups: accounts having rut, tipocliente, numctabech,
+    fechaperut, ofiprod and ruttutor."""
+    names = {name: led.keys[key] for name, key in _ACCOUNT_ATTRS[:5]}
+    df = A.attach_attributes(_plain_accounts(led), "account_key", led.cfv, names, required=list(names))
+    df = A.attach_attributes(df, "accountholderkey", led.cfv, {"rut": led.keys.rut}, required=["rut"])
+    return df.drop("account_key", "accountholderkey")
+
+
+@query("attribute_fanout_count")
+def attribute_fanout_count(led: Ledger, p: RunParams) -> DataFrame:
+    """Rows two unkeyed attribute joins would give per account number."""
+    f = A.attribute_fanout(_plain_accounts(led), "account_key", led.cfv, lookups=2)
+    return f.groupBy("numcta").agg(F.sum("n_rows").cast("bigint").alias("n_rows"))
+
+
+# ------------------------------------------------------------------ join chains and channels
+
+@query("ledger_inner_chain")
+def ledger_inner_chain(led: Ledger, p: RunParams) -> DataFrame:
+    return CH.ledger_chain(led, inner=True)
+
+
+@query("ledger_left_chain")
+def ledger_left_chain(led: Ledger, p: RunParams) -> DataFrame:
+    return CH.ledger_chain(led, inner=False)
+
+
+query("trx_channel")(lambda led, p: CH.trx_channel(led))
+
+
+# ------------------------------------------------------------------ holds
+
+@query("hold_to_trx_join")
+def hold_to_trx_join(led: Ledger, p: RunParams) -> DataFrame:
+    return holds_to_transactions(led).select(
+        "externalreferenceid", "transactionid", "amount", "state", "cardreferencetoken")
+
+
+@query("hold_retentions")
+def hold_retentions(led: Ledger, p: RunParams) -> DataFrame:
+    return _hold_retentions(led, p.run_date)
+
+
+# ------------------------------------------------------------------ account filters
+
+@query("accounts_by_state_product")
+def accounts_by_state_product(led: Ledger, p: RunParams) -> DataFrame:
+    return L.accounts(led, p.products, p.states).select(
+        "numcta", "producto", F.col("accountstate").alias("estado"))
+
+
+@query("product_list_filter")
+def product_list_filter(led: Ledger, p: RunParams) -> DataFrame:
+    """Products given as the quoted, comma-separated setting text."""
+    setting = ", ".join(f"'{x}'" for x in p.products)
+    return L.accounts(led, parse_product_list(setting)).select("numcta", "producto")
+
+
+@query("lock_filter")
+def lock_filter(led: Ledger, p: RunParams) -> DataFrame:
+    """``NOT (codblq = '99' AND accountstate = 'LOCKED')`` with the block
+    code looked up optionally: a LOCKED account without code is dropped."""
+    df = A.lookup_join(L.accounts(led, how="left"), "account_key", led.cfv, "codblq", led.keys.codblq)
+    df = df.filter(~((F.col("codblq") == "99") & (F.col("accountstate") == "LOCKED")))
+    return df.select("numcta", F.col("accountstate").alias("estado"), "codblq")
+
+
+@query("locked_on_date")
+def locked_on_date(led: Ledger, p: RunParams) -> DataFrame:
+    acc = L.accounts(led, how="left")
+    return acc.filter(date_prefix("lockeddate") == F.lit(p.run_date)).select("numcta", "lockeddate")
+
+
+@query("state_code_map")
+def state_code_map(led: Ledger, p: RunParams) -> DataFrame:
+    acc = L.accounts(led, how="left")
+    return acc.select("numcta", F.col("accountstate").alias("estado"),
+                      state_code("accountstate").alias("state_code"))
+
+
+@query("anti_null_aware")
+def anti_null_aware(led: Ledger, p: RunParams) -> DataFrame:
+    """Accounts NOT IN the accounts moved on D, twice: against their plain
+    numbers (no NULL) and against the numbers seen through the optional tutor
+    lookup (NULL where a moved account has no tutor, which empties NOT IN)."""
+    acc = L.accounts(led, how="left")
+    t = L.trx_on_accounting_date(led, p.run_date)
+    moved = acc.join(t.select("parentaccountkey").distinct(),
+                     acc["account_key"] == F.col("parentaccountkey"), "left_semi")
+    tutor = A.lookup_join(moved, "account_key", led.cfv, "__tutor", led.keys.ruttutor)
+    nullable = tutor.select(F.when(F.col("__tutor").isNotNull(), F.col("numcta")).alias("numcta"))
+    a = not_in(acc, "numcta", moved.select("numcta"), "numcta").agg(F.count(F.lit(1)).alias("n_not_in"))
+    b = not_in(acc, "numcta", nullable, "numcta").agg(F.count(F.lit(1)).alias("n"))
+    return a.select("n_not_in", b.select("n").scalar().alias("n_not_in_nullable"))
+
+
+# ------------------------------------------------------------------ account extracts
+
+query("account_general_data")(S.account_general_data)
+query("balances_on_date")(S.balances_on_date)
+
+
+# ------------------------------------------------------------------ calendar
+
+def _accounting_dates(led: Ledger) -> DataFrame:
+    return (led.cfv.filter(F.col("customfieldkey") == led.keys.fechcontab)
+            .select(F.try_to_date("value").alias("fecha")).distinct())
+
+
+@query("holiday_calendar")
+def holiday_calendar(led: Ledger, p: RunParams) -> DataFrame:
+    return C.holiday_calendar(led.hld, int(p.run_date[:4]))
+
+
+@query("date_params")
+def date_params(led: Ledger, p: RunParams) -> DataFrame:
+    """Run parameters for every accounting date of the ledger, each given as
+    the job's ``yyyymmdd`` argument."""
+    return C.date_params(_accounting_dates(led).select(yyyymmdd("fecha").alias("run_date")))
+
+
+@query("next_business_day")
+def next_business_day(led: Ledger, p: RunParams) -> DataFrame:
+    """The next business day after every accounting date of the ledger."""
+    return C.next_business_day(_accounting_dates(led), led.hld)
+
+
+# ------------------------------------------------------------------ output records
+
+def _trx_accounts(led: Ledger) -> DataFrame:
+    acc = led.cta.select(F.col("id").alias("numcta"), F.col("encodedkey").alias("__ak"))
+    return led.trx.join(acc, F.col("parentaccountkey") == F.col("__ak"), "inner")
+
+
+@query("lpad_columns")
+def lpad_columns(led: Ledger, p: RunParams) -> DataFrame:
+    return X.padded_columns(_trx_accounts(led))
+
+
+@query("delimited_lines")
+def delimited_lines(led: Ledger, p: RunParams) -> DataFrame:
+    return X.delimited_lines(X.padded_columns(_trx_accounts(led)), ";")
+
+
+@query("attribute_dump")
+def attribute_dump(led: Ledger, p: RunParams) -> DataFrame:
+    return X.attribute_dump(led.cfv)
+
+
+@query("fixed_width_extract")
+def fixed_width_extract(led: Ledger, p: RunParams) -> DataFrame:
+    return X.fixed_width_lines(S.balance_snapshot(led, p), p.run_date)
+
+
+@query("control_trailer")
+def control_trailer(led: Ledger, p: RunParams) -> DataFrame:
+    return X.control_trailer(S.balance_snapshot(led, p), p.yyyymmdd)
+
+
+@query("extract_with_trailer")
+def extract_with_trailer(led: Ledger, p: RunParams) -> DataFrame:
+    lines = X.fixed_width_lines(S.balance_snapshot(led, p), p.run_date)
+    return X.lines_with_trailer(lines, p.yyyymmdd)
+
+
+@query("scan_pruned")
+def scan_pruned(led: Ledger, p: RunParams) -> DataFrame:
+    """Six transaction columns, the id renamed as the jobs do before joins."""
+    from daybook.sources.parquet import rename_ids
+    t = led.trx.select("transactionid", "encodedkey", "parentaccountkey", "balance", "amount",
+                       "details_encodedkey_oid")
+    return rename_ids(t, "trxid", "transactionid")
