@@ -315,3 +315,61 @@ def scan_pruned(led: Ledger, p: RunParams) -> DataFrame:
     t = led.trx.select("transactionid", "encodedkey", "parentaccountkey", "balance", "amount",
                        "details_encodedkey_oid")
     return rename_ids(t, "trxid", "transactionid")
+
+
+# ------------------------------------------------------------------ sources and sinks (write, read back)
+
+from pyspark.sql import SparkSession  # noqa: E402
+
+from daybook import sinks as SK  # noqa: E402
+from daybook.registry import RUN, raw_query  # noqa: E402
+from daybook.session import new_output_path  # noqa: E402
+from daybook.sources import product_csv as PC  # noqa: E402
+from daybook.sources.fixtures import build_product_dump, load_fixture_ledger  # noqa: E402
+from daybook.sources.parquet import read_table  # noqa: E402
+
+
+@raw_query("scan_product_csv")
+def scan_product_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product records (from ``part``) written in the dump's CSV format to
+    the shared folder and read back with the declared 46-field schema and
+    multi-line quoting."""
+    part = read_table(spark, sf_dir, "part",
+                      ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
+    path = new_output_path(spark, "product-dump")
+    PC.write_product_dump(build_product_dump(part), path)
+    return PC.read_product_dump(spark, path)
+
+
+def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.day_after_reconcile(load_fixture_ledger(spark, sf_dir), RUN)
+
+
+@raw_query("sink_csv_roundtrip")
+def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reconciliation rows written as CSV with header, read back."""
+    df = _reconcile(spark, sf_dir)
+    path = new_output_path(spark, "reconcile-csv")
+    SK.write_csv(df, path)
+    return spark.read.schema(df.schema).option("header", True).csv(path)
+
+
+@raw_query("sink_delimited_roundtrip")
+def sink_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reconciliation rows written with header and ';' separator, read back."""
+    df = _reconcile(spark, sf_dir)
+    path = new_output_path(spark, "reconcile-semicolon")
+    SK.write_csv(df, path, sep=";")
+    return spark.read.schema(df.schema).option("header", True).option("delimiter", ";").csv(path)
+
+
+@raw_query("sink_text_roundtrip")
+def sink_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extract lines and trailer written as ordered text part files (a global
+    sort on the order column, no single-file funnel), read back as lines."""
+    led = load_fixture_ledger(spark, sf_dir)
+    lines = X.lines_with_trailer(X.fixed_width_lines(S.balance_snapshot(led, RUN), RUN.run_date),
+                                 RUN.yyyymmdd)
+    path = new_output_path(spark, "extract-text")
+    SK.write_text(lines, path, order_by=["rec_order", "numcta"])
+    return spark.read.text(path).withColumnRenamed("value", "line")

@@ -1,0 +1,39 @@
+"""Writers: CSV with header, delimited text, plain text lines.
+
+The jobs collect results into pandas on the driver and write one CSV there,
+or ``coalesce(1)`` before writing one text file.  Both put the whole output
+through one process.  Here every writer is a distributed DataFrameWriter:
+each task writes its own part file.  ``single_file=True`` keeps the one-file
+form for small outputs only; ordered output (data lines, then trailer) comes
+from a global sort, which range-partitions the rows so that part files
+concatenated in name order are in order.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+
+def _prepare(df: DataFrame, order_by: Sequence[str] | None, single_file: bool) -> DataFrame:
+    if order_by:
+        df = df.orderBy(*order_by)
+    if single_file:
+        df = df.coalesce(1)
+    return df
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True,
+              order_by: Sequence[str] | None = None, single_file: bool = False) -> None:
+    (_prepare(df, order_by, single_file).write.mode("overwrite")
+     .option("header", header).option("delimiter", sep)
+     .option("quote", '"').option("escape", '"')
+     .csv(path))
+
+
+def write_text(df: DataFrame, path: str, column: str = "line",
+               order_by: Sequence[str] | None = None, single_file: bool = False) -> None:
+    """One line per row from the string column ``column``."""
+    out = _prepare(df, order_by, single_file).select(column)
+    out.write.mode("overwrite").text(path)
