@@ -325,7 +325,7 @@ from daybook import sinks as SK  # noqa: E402
 from daybook.registry import RUN, raw_query  # noqa: E402
 from daybook.session import new_output_path  # noqa: E402
 from daybook.sources import product_csv as PC  # noqa: E402
-from daybook.sources.fixtures import build_product_dump, load_fixture_ledger  # noqa: E402
+from daybook.sources.fixtures import build_product_dump, materialized_fixture_ledger  # noqa: E402
 from daybook.sources.parquet import read_table  # noqa: E402
 
 
@@ -342,7 +342,7 @@ def scan_product_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.day_after_reconcile(load_fixture_ledger(spark, sf_dir), RUN)
+    return R.day_after_reconcile(materialized_fixture_ledger(spark, sf_dir), RUN)
 
 
 @raw_query("sink_csv_roundtrip")
@@ -367,7 +367,7 @@ def sink_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extract lines and trailer written as ordered text part files (a global
     sort on the order column, no single-file funnel), read back as lines."""
-    led = load_fixture_ledger(spark, sf_dir)
+    led = materialized_fixture_ledger(spark, sf_dir)
     lines = X.lines_with_trailer(X.fixed_width_lines(S.balance_snapshot(led, RUN), RUN.run_date),
                                  RUN.yyyymmdd)
     path = new_output_path(spark, "extract-text")

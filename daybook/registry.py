@@ -1,7 +1,8 @@
 """Registered queries: (spark, sf_dir) → DataFrame.
 
 Every query reads the driver's test tables through the fixture views
-(``daybook.sources.fixtures``) and runs the package's own operators on them.
+(``daybook.sources.fixtures``, written once per session as parquet tables in
+the shared folder) and runs the package's own operators on them.
 The run is that of FIXTURES.md: run date 2024-01-22, products P0–P3.
 """
 
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.params import Ledger, RunParams
-from daybook.sources.fixtures import load_fixture_ledger
+from daybook.sources.fixtures import materialized_fixture_ledger
 
 # Fixed values of the fixture run (FIXTURES.md).
 RUN = RunParams.from_yyyymmdd("20240122", "'P0', 'P1', 'P2', 'P3'")
@@ -39,7 +40,7 @@ def raw_query(name: str):
 
 def _bind(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(load_fixture_ledger(spark, sf_dir), RUN)
+        return fn(materialized_fixture_ledger(spark, sf_dir), RUN)
     run.__doc__ = fn.__doc__
     run.__name__ = fn.__name__
     return run

@@ -236,3 +236,40 @@ def build_product_dump(part: DataFrame) -> DataFrame:
     }
     return part.select(*[fields[i].cast(f.dataType).alias(f.name)
                          for i, f in enumerate(PRODUCT_SCHEMA.fields)])
+
+
+_MATERIALIZED: dict[tuple[str, str], Ledger] = {}
+
+
+def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
+                                keys: AttributeKeys | None = None) -> Ledger:
+    """The fixture views written once per session as parquet tables in the
+    shared folder and read back, so queries scan tables as they would in
+    production (pushed filters, column pruning, file statistics) instead of
+    re-deriving the views from the test tables on every reference.
+
+    The attribute table is written partitioned by ``customfieldkey``: the
+    jobs always filter it by key, and a key filter then prunes whole
+    directories.  Transactions keep the test table's id order, as an
+    append-only ledger does, so id ranges skip row groups.
+    """
+    from daybook.session import new_output_path
+    keys = keys or AttributeKeys()
+    cache_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), repr(sorted(keys.keys.items())))
+    if cache_key in _MATERIALIZED:
+        return _MATERIALIZED[cache_key]
+    led = load_fixture_ledger(spark, sf_dir, keys)
+    base = new_output_path(spark, "fixture")
+    out = {}
+    for name in ("trx", "cta", "prod", "cli", "cfv", "trxdet", "trxch", "hld", "ahold"):
+        df = getattr(led, name)
+        path = f"{base}/{name}"
+        w = df.write.mode("overwrite")
+        if name == "cfv":
+            w = w.partitionBy("customfieldkey")
+        w.parquet(path)
+        back = spark.read.parquet(path)
+        out[name] = back.select(*df.columns)
+    mat = Ledger(keys=keys, **out)
+    _MATERIALIZED[cache_key] = mat
+    return mat
