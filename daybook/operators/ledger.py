@@ -158,26 +158,39 @@ def max_id_unblocked(led: Ledger, date: str, products: Sequence[str]) -> DataFra
 
 # --------------------------------------------------------------------------- latest transaction
 
+def latest_ids(led: Ledger, cutoff: Column | None = None,
+               acc: DataFrame | None = None) -> DataFrame:
+    """``(numcta, transactionid)``: highest id ``<= cutoff`` per account number.
+
+    Level 1: ``max(transactionid)`` per ``parentaccountkey`` on the
+    transactions alone — a hash aggregate with map-side partial aggregation,
+    so a hot account costs one row per map task and nothing is sorted.
+    Level 2: after joining the accounts, ``max`` per ``numcta``.
+    """
+    acc = accounts(led) if acc is None else acc
+    t = up_to(led.trx, cutoff)
+    lvl1 = t.groupBy("parentaccountkey").agg(F.max("transactionid").alias("__m"))
+    j = acc.select("numcta", "account_key").join(
+        lvl1, F.col("account_key") == F.col("parentaccountkey"), "inner")
+    return j.groupBy("numcta").agg(F.max("__m").alias("transactionid"))
+
+
 def latest_per_account(led: Ledger, cutoff: Column | None = None,
                        acc: DataFrame | None = None) -> DataFrame:
     """Last transaction (highest id, ``<= cutoff``) per account number.
 
-    Level 1: ``max_by`` per ``parentaccountkey`` on the transactions alone.
-    Level 2: after joining the accounts, ``max_by`` per ``numcta``.
-    Output: the account columns plus ``transactionid``, ``trx_key``,
-    ``balance``.
+    The ids come from ``latest_ids``; the rows are then fetched by an equi
+    join on the (unique) transaction id — the SQL's self join, with hash
+    aggregates only.  The id list has one row per account: Spark broadcasts
+    it when its measured size allows, else shuffles.  Output: the account
+    columns plus ``transactionid``, ``trx_key``, ``balance``.
     """
     acc = accounts(led) if acc is None else acc
-    t = up_to(led.trx, cutoff)
-    lvl1 = (t.groupBy("parentaccountkey")
-            .agg(F.max_by(F.struct("transactionid", F.col("encodedkey").alias("trx_key"), "balance"),
-                          "transactionid").alias("__t"))
-            .select("parentaccountkey", "__t.*"))
-    j = acc.join(lvl1, acc["account_key"] == lvl1["parentaccountkey"], "inner").drop("parentaccountkey")
-    rest = [c for c in j.columns if c != "numcta"]
-    return (j.groupBy("numcta")
-            .agg(F.max_by(F.struct(*rest), "transactionid").alias("__r"))
-            .select("numcta", "__r.*"))
+    ids = latest_ids(led, cutoff, acc).select(F.col("transactionid").alias("__id"))
+    t = led.trx.select("transactionid", F.col("encodedkey").alias("trx_key"), "balance",
+                       "parentaccountkey")
+    rows = t.join(ids, t["transactionid"] == ids["__id"], "inner").drop("__id")
+    return acc.join(rows, acc["account_key"] == rows["parentaccountkey"], "inner").drop("parentaccountkey")
 
 
 def latest_per_account_window(led: Ledger, cutoff: Column | None = None,
