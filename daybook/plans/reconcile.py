@@ -23,8 +23,12 @@ from daybook.params import Ledger, RunParams
 
 
 def difference_text(saldo, amount, width: int = 15) -> F.Column:
-    """``lpad(cast(cast(saldo - amount as decimal(15,3)) as string), 15, '0')``."""
-    diff = (F.col(saldo) - F.col(amount)).cast("decimal(15,3)")
+    """``lpad(cast(cast(saldo - amount as decimal(15,3)) as string), 15, '0')``.
+
+    A difference that does not fit ``decimal(15,3)`` gives NULL (the job's
+    non-ANSI behaviour) instead of failing the whole run.
+    """
+    diff = (F.col(saldo) - F.col(amount)).try_cast("decimal(15,3)")
     return F.lpad(diff.cast("string"), width, "0")
 
 
