@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference jobs are daily batch extracts: no stream source, watermark,
+windowed aggregation or stateful operator appears in them, so there is no
+streaming operator to rebuild.  The batch plans in ``daybook.plans`` run per
+accounting date.
+"""
