@@ -241,6 +241,45 @@ def retention_buckets(led: Ledger, cutoff: Column | None = None,
         F.sum("rn").cast(MONEY).alias("retencion_ndias"))
 
 
+def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
+                           acc: DataFrame | None = None) -> DataFrame:
+    """``latest_per_account`` and ``retention_buckets`` in one pass over the
+    ledger.
+
+    The transactions up to the cut-off are left-joined once to their
+    retention-type attribute and aggregated once per account key: the highest
+    id and the three bucket sums.  A bucket is NULL when the account has no
+    transaction with a retention type — the SQL's LEFT JOIN to its retention
+    subquery.  Level 2 per account number, then the latest rows are fetched
+    by id.  Output: account columns, ``transactionid``, ``trx_key``,
+    ``balance``, ``retencion_1dia``, ``retencion_2dias``, ``retencion_ndias``.
+    """
+    acc = accounts(led) if acc is None else acc
+    t = up_to(led.trx, cutoff).select("transactionid", "encodedkey", "parentaccountkey", "amount")
+    r = (led.cfv.filter(F.col("customfieldkey") == led.keys.tiporetencion)
+         .select(F.col("parentkey").alias("__pk"), F.col("value").alias("__tipo")))
+    j = t.join(r, t["encodedkey"] == r["__pk"], "left")
+    has = F.col("__pk").isNotNull()
+    zero = F.lit(0).cast(MONEY)
+
+    def bucket(vals):
+        return F.sum(F.when(has, F.when(F.col("__tipo").isin(list(vals)), F.col("amount")).otherwise(zero)))
+
+    lvl1 = j.groupBy("parentaccountkey").agg(
+        F.max("transactionid").alias("__m"), bucket(RETENTION_1DAY).alias("__r1"),
+        bucket(RETENTION_2DAYS).alias("__r2"), bucket(RETENTION_NDAYS).alias("__rn"))
+    j2 = acc.select("numcta", "account_key").join(
+        lvl1, F.col("account_key") == F.col("parentaccountkey"), "inner")
+    pos = j2.groupBy("numcta").agg(
+        F.max("__m").alias("__id"), F.sum("__r1").cast(MONEY).alias("retencion_1dia"),
+        F.sum("__r2").cast(MONEY).alias("retencion_2dias"),
+        F.sum("__rn").cast(MONEY).alias("retencion_ndias")).drop("numcta")
+    rows = led.trx.select("transactionid", F.col("encodedkey").alias("trx_key"), "balance",
+                          "parentaccountkey")
+    rows = rows.join(pos, rows["transactionid"] == pos["__id"], "inner").drop("__id")
+    return acc.join(rows, acc["account_key"] == rows["parentaccountkey"], "inner").drop("parentaccountkey")
+
+
 # --------------------------------------------------------------------------- movements
 
 def moved_accounts(led: Ledger, date: str, products: Sequence[str] | None,

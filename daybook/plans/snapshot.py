@@ -6,10 +6,10 @@ account under a cut-off (a self join on ``MAX(id) GROUP BY account``) and the
 retention sums.  Here:
 
 * cut-off: a scalar subquery (``DataFrame.scalar``), never collected;
-* last transaction: two-level ``max_by`` (``latest_per_account``);
+* last transaction and retention sums: one aggregation over the ledger
+  (``latest_with_retentions``), hash aggregates only, rows fetched by id;
 * attributes: one pivot per level — transaction attributes only for the
-  selected last transactions, account attributes, client attributes;
-* retentions: per-account conditional sums, left-joined.
+  selected last transactions, account attributes, client attributes.
 """
 
 from __future__ import annotations
@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.dates import date_prefix
 from daybook.operators.attributes import attach_attributes
-from daybook.operators.ledger import (accounts, latest_per_account, max_id_any_attribute,
-                                      retention_buckets)
+from daybook.operators.ledger import accounts, latest_with_retentions, max_id_any_attribute
 from daybook.params import ALL_STATES, BLOCK_CODE_EXCLUDED, Ledger, RunParams
 
 
@@ -46,7 +45,7 @@ def snapshot_base(led: Ledger, p: RunParams, products=None, states=None) -> Data
     cutoff = max_id_any_attribute(led, p.run_date).select("cutoff_id").scalar()
     # the SQL's subqueries join transactions to accounts only
     all_acc = accounts(led, how="left")
-    latest = latest_per_account(led, cutoff, all_acc)
+    latest = latest_with_retentions(led, cutoff, all_acc)
     # the outer query requires the product and the client
     cli = led.cli.select(F.col("encodedkey").alias("__cli"))
     latest = (latest.filter(F.col("product_key").isNotNull())
@@ -59,9 +58,7 @@ def snapshot_base(led: Ledger, p: RunParams, products=None, states=None) -> Data
                                {"fecha_contable_real": k.fechcontab, "adjuststate": k.adjust_state},
                                restrict=True)
     latest = _account_attrs(led, latest, {"codblq": k.codblq})
-    latest = _client_attrs(led, latest)
-    ret = retention_buckets(led, cutoff, all_acc)
-    return latest.join(ret, latest["numcta"] == ret["nro_cta"], "left").drop("nro_cta")
+    return _client_attrs(led, latest)
 
 
 def balance_snapshot(led: Ledger, p: RunParams) -> DataFrame:

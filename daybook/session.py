@@ -44,13 +44,18 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; set to a fresh local folder only when unset.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — sessions without a local SparkContext
+        pass
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="daybook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

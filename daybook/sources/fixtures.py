@@ -255,7 +255,11 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
     """
     from daybook.session import new_output_path
     keys = keys or AttributeKeys()
-    cache_key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), repr(sorted(keys.keys.items())))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 — sessions without a local SparkContext
+        app = str(id(spark))
+    cache_key = (app, sf_dir.rstrip("/"), repr(sorted(keys.keys.items())))
     if cache_key in _MATERIALIZED:
         return _MATERIALIZED[cache_key]
     led = load_fixture_ledger(spark, sf_dir, keys)

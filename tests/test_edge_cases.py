@@ -185,3 +185,23 @@ def test_shared_account_number_keeps_one_latest_row(spark):
     got = _rows(latest_per_account(led), "numcta", "transactionid")
     assert got == [("00000000000001", 3)]
     assert Decimal(latest_per_account(led).collect()[0].balance) == money(9)
+
+
+def test_combined_latest_and_retentions_equal_separate_operators(spark):
+    from daybook.operators.ledger import latest_with_retentions
+    trx_rows = [trx(i, (i % 3) + 1, i * 10) for i in range(1, 25)]
+    # account 3 has no retention-type attribute at all → NULL buckets
+    cfv = [attr(f"trx-{i}", "tiporetencion", ["1", "2", "N", None][i % 4])
+           for i in range(1, 25) if (i % 3) + 1 != 3]
+    led = make_ledger(spark, cta_rows=[account(1), account(2), account(3)], trx_rows=trx_rows, cfv_rows=cfv)
+    cut = F.lit(20)
+    comb = {r.numcta: (r.transactionid, r.retencion_1dia, r.retencion_2dias, r.retencion_ndias)
+            for r in latest_with_retentions(led, cut).collect()}
+    lat = {r.numcta: r.transactionid for r in latest_per_account(led, cut).collect()}
+    ret = {r.nro_cta: (r.retencion_1dia, r.retencion_2dias, r.retencion_ndias)
+           for r in retention_buckets(led, cut).collect()}
+    assert set(comb) == set(lat)
+    for k, v in comb.items():
+        assert v[0] == lat[k]
+        assert v[1:] == ret.get(k, (None, None, None))
+    assert comb["00000000000003"][1:] == (None, None, None)
