@@ -98,3 +98,24 @@ def next_business_day(dates: DataFrame, hld: DataFrame, col: str = "fecha") -> D
     out = d.join(nxt, "__d", "left")
     return out.select(F.date_format("__d", "yyyy-MM-dd").alias("fecha"),
                       F.date_format("__n", "yyyy-MM-dd").alias("next_business_day"))
+
+
+HOLIDAY_SQL = """
+SELECT CASE WHEN isannualyrecurring = 1
+            THEN date_format(try_to_date(format_string('%04d-%02d-%02d', :run_year, monthofyear, dayofmonth),
+                                         'yyyy-MM-dd'), 'yyyy-MM-dd')
+            ELSE date_format(try_to_date(format_string('%04d-%02d-%02d', year, monthofyear, dayofmonth),
+                                         'yyyy-MM-dd'), 'yyyy-MM-dd')
+       END AS holidays,
+       name AS name,
+       isannualyrecurring AS is_recurring,
+       date_format(try_to_date(format_string('%04d-%02d-%02d', year, monthofyear, dayofmonth),
+                               'yyyy-MM-dd'), 'yyyy-MM-dd') AS date_platform
+FROM holiday
+"""
+
+
+def holiday_calendar_sql(spark, run_year: int) -> DataFrame:
+    """The calendar as Spark SQL over the registered ``holiday`` view; the run
+    year is a named parameter, not text pasted into the statement."""
+    return spark.sql(HOLIDAY_SQL, args={"run_year": run_year})

@@ -373,3 +373,10 @@ def sink_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_output_path(spark, "extract-text")
     SK.write_text(lines, path, order_by=["rec_order", "numcta"])
     return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query("holiday_calendar_sql")
+def holiday_calendar_sql(led: Ledger, p: RunParams) -> DataFrame:
+    """holiday_calendar through temp views and parameterised Spark SQL."""
+    led.register_views()
+    return C.holiday_calendar_sql(led.hld.sparkSession, int(p.run_date[:4]))
