@@ -205,3 +205,15 @@ def test_combined_latest_and_retentions_equal_separate_operators(spark):
         assert v[0] == lat[k]
         assert v[1:] == ret.get(k, (None, None, None))
     assert comb["00000000000003"][1:] == (None, None, None)
+
+
+def test_bucketed_running_balance_equals_window(spark):
+    from pyspark.sql import Window
+    from daybook.sources.fixtures import running_balance
+    df = spark.range(0, 3000).select(F.col("id").alias("i"), (F.col("id") % 3 == 0).cast("int").alias("a"),
+                                     ((F.col("id") * 7) % 11 - 5).cast("decimal(18,2)").alias("x"))
+    w = Window.partitionBy("a").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.withColumn("r", F.sum("x").over(w))
+    got = running_balance(df, "a", "i", "x", bucket=64)
+    assert got.count() == 3000
+    assert ref.join(got, ["i"]).filter(F.col("r") != F.col("__running")).count() == 0
