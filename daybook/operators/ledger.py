@@ -104,10 +104,10 @@ def trx_on_accounting_date(led: Ledger, date: str, trx: DataFrame | None = None)
 
 def id_range(trx: DataFrame, bounds: DataFrame) -> DataFrame:
     """``transactionid BETWEEN min AND max`` with bounds from a 1-row frame
-    (``id_transaction_min``, ``id_transaction_max``) as scalar subqueries."""
-    lo = bounds.select("id_transaction_min").scalar()
-    hi = bounds.select("id_transaction_max").scalar()
-    return trx.filter(F.col("transactionid").between(lo, hi))
+    (``id_transaction_min``, ``id_transaction_max``) as one scalar subquery."""
+    b = bounds.select(F.struct("id_transaction_min", "id_transaction_max")).scalar()
+    return trx.filter(F.col("transactionid").between(b.getField("id_transaction_min"),
+                                                     b.getField("id_transaction_max")))
 
 
 def up_to(trx: DataFrame, cutoff: Column | None) -> DataFrame:

@@ -61,11 +61,11 @@ def _horizon(hld: DataFrame, min_date: Column) -> Column:
     day = calendar_date("year", "monthofyear", "dayofmonth")
     # a recurring 29 February counts as a (month, day) pair of leap years
     pair_ok = calendar_date(F.lit(2000), F.col("monthofyear"), F.col("dayofmonth")).isNotNull()
-    stats = hld.agg(
+    stats = hld.agg(F.struct(
         F.count_distinct(F.when(rec & pair_ok, F.struct("monthofyear", "dayofmonth"))).alias("r"),
-        F.count_distinct(F.when(~rec & (day >= min_date), day)).alias("o"))
-    r = stats.select("r").scalar()
-    o = stats.select("o").scalar()
+        F.count_distinct(F.when(~rec & (day >= min_date), day)).alias("o")))
+    s = stats.scalar()                      # one 1-row subquery
+    r, o = s.getField("r"), s.getField("o")
     small = F.ceil((F.lit(2) * r + o + 1) / (F.lit(5.0 / 7.0) - r / F.lit(365.0)))
     w = F.when(r < 260, F.ceil(small / 7) * 7 + 7).otherwise(F.lit(28 * 366) * (o + 1))
     return w.cast("int")
