@@ -135,16 +135,30 @@ def max_id_accounting_date(led: Ledger, date: str) -> DataFrame:
     return trx_on_accounting_date(led, date).agg(F.max("transactionid").alias("cutoff_id"))
 
 
-def _max_id_via_accounts(t: DataFrame, acc: DataFrame) -> DataFrame:
-    per_acc = t.groupBy("parentaccountkey").agg(F.max("transactionid").alias("__m"))
-    j = per_acc.join(acc, per_acc["parentaccountkey"] == acc["account_key"], "inner")
-    return j.agg(F.max("__m").alias("id_transaction_max"))
+def day_activity(led: Ledger, date: str, trx: DataFrame | None = None) -> DataFrame:
+    """Per account key, the highest id among its transactions with accounting
+    date ``date``: ``(parentaccountkey, max_id)``.
+
+    One semi join of the ledger with the date's attribute rows and one hash
+    aggregate.  The cut-off of the date and the list of accounts that moved on
+    it are both read from this frame, so a query that needs both scans the
+    ledger for the date once (the identical plans share one exchange).
+    """
+    t = trx_on_accounting_date(led, date, trx)
+    return t.groupBy("parentaccountkey").agg(F.max("transactionid").alias("max_id"))
+
 
+def _max_id_via_accounts(activity: DataFrame, acc: DataFrame) -> DataFrame:
+    j = activity.join(acc, activity["parentaccountkey"] == acc["account_key"], "inner")
+    return j.agg(F.max("max_id").alias("id_transaction_max"))
 
-def max_id_by_product(led: Ledger, date: str, products: Sequence[str]) -> DataFrame:
+
+def max_id_by_product(led: Ledger, date: str, products: Sequence[str],
+                      activity: DataFrame | None = None) -> DataFrame:
     """Highest id with accounting date ``date`` among accounts of ``products``
     (the left joins of the SQL are inner through its WHERE)."""
-    return _max_id_via_accounts(trx_on_accounting_date(led, date), accounts(led, products))
+    activity = day_activity(led, date) if activity is None else activity
+    return _max_id_via_accounts(activity, accounts(led, products))
 
 
 def max_id_unblocked(led: Ledger, date: str, products: Sequence[str]) -> DataFrame:
@@ -153,7 +167,7 @@ def max_id_unblocked(led: Ledger, date: str, products: Sequence[str]) -> DataFra
     acc = lookup_join(accounts(led, products), "account_key", led.cfv, "codblq",
                       led.keys.codblq, how="inner")
     acc = acc.filter(~((F.col("codblq") == BLOCK_CODE_EXCLUDED) & (F.col("accountstate") == "LOCKED")))
-    return _max_id_via_accounts(trx_on_accounting_date(led, date), acc)
+    return _max_id_via_accounts(day_activity(led, date), acc)
 
 
 # --------------------------------------------------------------------------- latest transaction
@@ -284,13 +298,13 @@ def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
 
 def moved_accounts(led: Ledger, date: str, products: Sequence[str] | None,
                    states: Sequence[str] | None = None,
-                   trx: DataFrame | None = None) -> DataFrame:
+                   trx: DataFrame | None = None,
+                   activity: DataFrame | None = None) -> DataFrame:
     """Account numbers with a transaction of accounting date ``date``
     (column ``numcta``; may repeat — callers use it as a NOT IN list)."""
-    t = trx_on_accounting_date(led, date, trx)
-    keys = t.select("parentaccountkey").distinct()
+    activity = day_activity(led, date, trx) if activity is None else activity
     acc = accounts(led, products, states)
-    return acc.join(keys, acc["account_key"] == keys["parentaccountkey"], "left_semi").select("numcta")
+    return acc.join(activity, acc["account_key"] == activity["parentaccountkey"], "left_semi").select("numcta")
 
 
 def sum_per_account(t: DataFrame, acc: DataFrame, not_moved: DataFrame | None = None,

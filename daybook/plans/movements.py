@@ -14,7 +14,8 @@ Three variants of the same question exist in the jobs; all are kept:
 Each is: a semi join of the transactions with the attribute rows of the
 date (broadcast by AQE only when that slice is small, checked at run time),
 a per-account partial sum, the account join, a null-aware ``NOT IN`` and the
-final sum per account and product.
+final sum per account and product.  Day D's activity per account is computed
+once and feeds both the cut-off and the ``NOT IN`` list.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.ledger import (accounts, id_bounds_on_date, id_range, max_id_by_product,
-                                      moved_accounts, sum_per_account, trx_with, up_to)
+from daybook.operators.ledger import (accounts, day_activity, id_bounds_on_date, id_range,
+                                      max_id_by_product, moved_accounts, sum_per_account, trx_with,
+                                      up_to)
 from daybook.params import Ledger, RunParams
 
 
@@ -34,14 +36,15 @@ def next_day_movements(led: Ledger, p: RunParams) -> DataFrame:
     return sum_per_account(t, accounts(led, p.products), moved)
 
 
-def cutoff_for(led: Ledger, p: RunParams):
+def cutoff_for(led: Ledger, p: RunParams, activity: DataFrame | None = None):
     """Highest id of D among the products, as a scalar-subquery Column."""
-    return max_id_by_product(led, p.run_date, p.products).select("id_transaction_max").scalar()
+    return max_id_by_product(led, p.run_date, p.products, activity).select("id_transaction_max").scalar()
 
 
 def next_day_movements_cutoff(led: Ledger, p: RunParams, group_product: bool = True) -> DataFrame:
-    t = trx_with(led, {led.keys.fechcontab: p.next_day}, up_to(led.trx, cutoff_for(led, p)))
-    moved = moved_accounts(led, p.run_date, p.products, p.states)
+    day_d = day_activity(led, p.run_date)          # shared by the cut-off and the NOT IN list
+    t = trx_with(led, {led.keys.fechcontab: p.next_day}, up_to(led.trx, cutoff_for(led, p, day_d)))
+    moved = moved_accounts(led, p.run_date, p.products, p.states, activity=day_d)
     return sum_per_account(t, accounts(led, p.products, p.states), moved, group_product)
 
 
