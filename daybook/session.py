@@ -66,3 +66,27 @@ def new_output_path(spark: SparkSession, name: str) -> str:
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     base = base[len("file:"):] if base.startswith("file:") else base
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Suggested SQL settings for a cluster run over ``input_bytes`` of source
+    data on ``total_cores`` executor cores.
+
+    Initial shuffle partitions are sized so each holds about
+    ``partition_bytes`` of the input (AQE then coalesces small ones and splits
+    skewed join partitions); file splits use the same size.  Apply with
+    ``for k, v in cluster_conf(...).items(): spark.conf.set(k, v)``.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.parquet.filterPushdown": "true",
+    }
