@@ -43,8 +43,3 @@ def blank_if_null(x, width: int, expr: Column | None = None) -> Column:
 def join_fields(sep: str, *cols) -> Column:
     """``concat_ws``: NULL fields are skipped, not written."""
     return F.concat_ws(sep, *[_c(c) for c in cols])
-
-
-def money_text(x) -> Column:
-    """Decimal amount as plain text (``-12.50``)."""
-    return _c(x).cast("string")

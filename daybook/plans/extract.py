@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.codes import sign, state_code
 from daybook.functions.dates import text_date
-from daybook.functions.text import blank_if_null, blanks, rpad_blank, zeros_text
+from daybook.functions.text import blank_if_null, blanks, join_fields, rpad_blank, zeros_text
 
 # Fixed value: the date the original record code writes in strict mode.
 STRICT_DATE = "2024-01-01"
@@ -210,7 +210,7 @@ def record_columns(df: DataFrame, run_date: str, strict: bool = False,
                    keep=("numcta",)) -> DataFrame:
     """The 121 fields as named columns (plus ``keep``)."""
     ctx = {"strict": strict, "run_date": run_date}
-    return df.select(*[F.col(k).alias(f"__{k}") for k in keep],
+    return df.select(*[F.col(k) for k in keep],
                      *[build(ctx).alias(name) for name, build in LAYOUT])
 
 
@@ -249,7 +249,7 @@ def padded_columns(df: DataFrame, width: int = 14) -> DataFrame:
 
 
 def delimited_lines(padded: DataFrame, sep: str = ";") -> DataFrame:
-    return padded.select(F.concat_ws(sep, *padded.columns).alias("line"))
+    return padded.select(join_fields(sep, *padded.columns).alias("line"))
 
 
 def attribute_dump(cfv: DataFrame, width: int = 35, sep: str = "+") -> DataFrame:
@@ -257,4 +257,4 @@ def attribute_dump(cfv: DataFrame, width: int = 35, sep: str = "+") -> DataFrame
     each left-padded with '0' to ``width``, joined with ``sep`` (NULL fields
     skipped)."""
     cols = ["value", "customfieldkey", "encodedkey", "parentkey"]
-    return cfv.select(F.concat_ws(sep, *[F.lpad(F.col(c), width, "0") for c in cols]).alias("line"))
+    return cfv.select(join_fields(sep, *[F.lpad(F.col(c), width, "0") for c in cols]).alias("line"))

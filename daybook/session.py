@@ -25,11 +25,17 @@ _LOCAL_DEFAULTS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "daybook") -> SparkSession:
-    """A local session for tests and the benchmark."""
+                  app: str = "daybook", event_log_dir: str | None = None) -> SparkSession:
+    """A local session for tests and the benchmark.
+
+    ``event_log_dir``: write Spark's event log there (stage and task times
+    without the web UI; read it with ``scripts/stage_times.py``).
+    """
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in _LOCAL_DEFAULTS.items():
         b = b.config(k, v)
+    if event_log_dir:
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.driver.memory", "16g")
     spark = b.getOrCreate()

@@ -278,8 +278,9 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
 
     The attribute table is written partitioned by ``customfieldkey``: the
     jobs always filter it by key, and a key filter then prunes whole
-    directories.  Transactions keep the test table's id order, as an
-    append-only ledger does, so id ranges skip row groups.
+    directories.  Transactions are written in id order, as an append-only
+    ledger grows, so each file covers an id range and id filters (cut-offs,
+    id ranges) skip files and row groups by their statistics.
     """
     from daybook.session import new_output_path
     keys = keys or AttributeKeys()
@@ -296,6 +297,8 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
     for name in ("trx", "cta", "prod", "cli", "cfv", "trxdet", "trxch", "hld", "ahold"):
         df = getattr(led, name)
         path = f"{base}/{name}"
+        if name == "trx":
+            df = df.orderBy("transactionid")     # id order, as an append-only ledger
         w = df.write.mode("overwrite")
         if name == "cfv":
             w = w.partitionBy("customfieldkey")

@@ -29,7 +29,7 @@ def test_lines_have_constant_length(spark):
 
 
 def test_fields_and_fixes(spark):
-    cols = {r["__numcta"]: r for r in record_columns(_frame(spark), "2024-01-22").collect()}
+    cols = {r["numcta"]: r for r in record_columns(_frame(spark), "2024-01-22").collect()}
     a, b, c, d = (cols[f"0000000000000{i}"] for i in range(1, 5))
     assert a.fec_cont == "20240122" and a.state == "A".ljust(10) and c.state == "C".ljust(10)
     assert d.state == " " * 10
@@ -46,7 +46,7 @@ def test_fields_and_fixes(spark):
 
 
 def test_strict_reproduces_original_quirks(spark):
-    cols = {r["__numcta"]: r for r in record_columns(_frame(spark), "2024-01-22", strict=True).collect()}
+    cols = {r["numcta"]: r for r in record_columns(_frame(spark), "2024-01-22", strict=True).collect()}
     a, b = cols["00000000000001"], cols["00000000000002"]
     assert a.open_dt is None and b.open_dt == " " * 8
     assert b.cc is None
