@@ -6,15 +6,29 @@ run parameters and returns a DataFrame whose column names match the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook import sinks as SK
+from daybook.functions.codes import state_code
+from daybook.functions.dates import date_prefix, yyyymmdd
+from daybook.operators import attributes as A
 from daybook.operators import ledger as L
-from daybook.params import Ledger, RunParams
+from daybook.operators.anti import not_in
+from daybook.operators.holds import hold_retentions as _hold_retentions
+from daybook.operators.holds import holds_to_transactions
+from daybook.params import Ledger, RunParams, parse_product_list
+from daybook.plans import calendar as C
+from daybook.plans import chains as CH
+from daybook.plans import extract as X
 from daybook.plans import movements as M
 from daybook.plans import reconcile as R
 from daybook.plans import snapshot as S
-from daybook.registry import query
+from daybook.registry import RUN, query, raw_query
+from daybook.session import new_output_path
+from daybook.sources import product_csv as PC
+from daybook.sources.fixtures import build_product_dump, materialized_fixture_ledger
+from daybook.sources.parquet import read_table, rename_ids
 
 
 # ------------------------------------------------------------------ cut-offs
@@ -101,16 +115,6 @@ query("day_after_reconcile")(R.day_after_reconcile)
 
 # ------------------------------------------------------------------ attributes
 
-from daybook.functions.codes import state_code  # noqa: E402
-from daybook.functions.dates import date_prefix, yyyymmdd  # noqa: E402
-from daybook.operators import attributes as A  # noqa: E402
-from daybook.operators.anti import not_in  # noqa: E402
-from daybook.operators.holds import hold_retentions as _hold_retentions  # noqa: E402
-from daybook.operators.holds import holds_to_transactions  # noqa: E402
-from daybook.params import OPEN_STATES, parse_product_list  # noqa: E402
-from daybook.plans import calendar as C  # noqa: E402
-from daybook.plans import chains as CH  # noqa: E402
-from daybook.plans import extract as X  # noqa: E402
 
 _ACCOUNT_ATTRS = [("tipocliente", "tipocliente"), ("numctabech", "numctabech"),
                   ("fechaaperut", "fechaperut"), ("oficina", "ofiprod"), ("rut_tutor", "ruttutor"),
@@ -311,7 +315,6 @@ def extract_with_trailer(led: Ledger, p: RunParams) -> DataFrame:
 @query("scan_pruned")
 def scan_pruned(led: Ledger, p: RunParams) -> DataFrame:
     """Six transaction columns, the id renamed as the jobs do before joins."""
-    from daybook.sources.parquet import rename_ids
     t = led.trx.select("transactionid", "encodedkey", "parentaccountkey", "balance", "amount",
                        "details_encodedkey_oid")
     return rename_ids(t, "trxid", "transactionid")
@@ -319,15 +322,6 @@ def scan_pruned(led: Ledger, p: RunParams) -> DataFrame:
 
 # ------------------------------------------------------------------ sources and sinks (write, read back)
 
-from pyspark.sql import SparkSession  # noqa: E402
-
-from daybook import sinks as SK  # noqa: E402
-from daybook.registry import RUN, raw_query  # noqa: E402
-from daybook.session import new_output_path  # noqa: E402
-from daybook.sources import product_csv as PC  # noqa: E402
-from daybook.sources.fixtures import build_product_dump, materialized_fixture_ledger  # noqa: E402
-from daybook.sources.parquet import read_table  # noqa: E402
-
 
 @raw_query("scan_product_csv")
 def scan_product_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
