@@ -68,27 +68,20 @@ def accounts(led: Ledger, products: Sequence[str] | None = None,
 
 # --------------------------------------------------------------------------- attribute conditions
 
-def parents_matching(cfv: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
-    """Parent keys having every ``customfieldkey = value`` pair of
-    ``conditions``: one filtered scan, one aggregation (``parentkey``)."""
-    conds = [(F.col("customfieldkey") == k) & (F.col("value") == v) for k, v in conditions.items()]
-    if len(conds) == 1:
-        return cfv.filter(conds[0]).select("parentkey")
-    anyc = conds[0]
-    for c in conds[1:]:
-        anyc = anyc | c
-    agg = cfv.filter(anyc).groupBy("parentkey").agg(*[F.bool_or(c).alias(f"__c{i}") for i, c in enumerate(conds)])
-    allc = None
-    for i in range(len(conds)):
-        allc = F.col(f"__c{i}") if allc is None else allc & F.col(f"__c{i}")
-    return agg.filter(allc).select("parentkey")
-
-
 def trx_with(led: Ledger, conditions: Mapping[str, str], trx: DataFrame | None = None) -> DataFrame:
-    """Transactions whose attributes satisfy ``conditions`` (key → value)."""
-    trx = led.trx if trx is None else trx
-    keys = parents_matching(led.cfv, conditions)
-    return trx.join(keys, trx["encodedkey"] == keys["parentkey"], "left_semi")
+    """Transactions whose attributes satisfy ``conditions`` (key → value).
+
+    One semi join per condition, in the order given — put the most selective
+    (the accounting date) first.  Each semi join has a filtered attribute
+    slice on its small side, so Spark can prune the large side with a
+    runtime bloom filter before shuffling; the first one reduces the ledger
+    to the date's transactions.
+    """
+    t = led.trx if trx is None else trx
+    for key, value in conditions.items():
+        keys = led.cfv.filter((F.col("customfieldkey") == key) & (F.col("value") == value)).select("parentkey")
+        t = t.join(keys, t["encodedkey"] == keys["parentkey"], "left_semi")
+    return t
 
 
 def trx_with_any_attribute(led: Ledger, value: str, trx: DataFrame | None = None) -> DataFrame:
@@ -193,18 +186,28 @@ def latest_per_account(led: Ledger, cutoff: Column | None = None,
                        acc: DataFrame | None = None) -> DataFrame:
     """Last transaction (highest id, ``<= cutoff``) per account number.
 
-    The ids come from ``latest_ids``; the rows are then fetched by an equi
-    join on the (unique) transaction id — the SQL's self join, with hash
-    aggregates only.  The id list has one row per account: Spark broadcasts
-    it when its measured size allows, else shuffles.  Output: the account
-    columns plus ``transactionid``, ``trx_key``, ``balance``.
+    Level 1: ``max_by(struct(id, key, balance), id)`` per
+    ``parentaccountkey`` on the transactions alone.  The struct holds a
+    string, so Spark aggregates by sorting — but the partial step sorts only
+    each task's own input split, locally, and ships one row per account per
+    task; the ledger is read once and never shuffled.  (Fetching the rows by
+    id after a hash-aggregated ``max(id)`` would read the ledger twice and
+    shuffle all of it once the id list is too large to broadcast.)
+    Level 2: after joining the accounts, the same per ``numcta``.
+    Output: the account columns plus ``transactionid``, ``trx_key``,
+    ``balance``.
     """
     acc = accounts(led) if acc is None else acc
-    ids = latest_ids(led, cutoff, acc).select(F.col("transactionid").alias("__id"))
-    t = led.trx.select("transactionid", F.col("encodedkey").alias("trx_key"), "balance",
-                       "parentaccountkey")
-    rows = t.join(ids, t["transactionid"] == ids["__id"], "inner").drop("__id")
-    return acc.join(rows, acc["account_key"] == rows["parentaccountkey"], "inner").drop("parentaccountkey")
+    t = up_to(led.trx, cutoff)
+    lvl1 = (t.groupBy("parentaccountkey")
+            .agg(F.max_by(F.struct("transactionid", F.col("encodedkey").alias("trx_key"), "balance"),
+                          "transactionid").alias("__t"))
+            .select("parentaccountkey", "__t.*"))
+    j = acc.join(lvl1, acc["account_key"] == lvl1["parentaccountkey"], "inner").drop("parentaccountkey")
+    rest = [c for c in j.columns if c != "numcta"]
+    return (j.groupBy("numcta")
+            .agg(F.max_by(F.struct(*rest), "transactionid").alias("__r"))
+            .select("numcta", "__r.*"))
 
 
 def latest_per_account_window(led: Ledger, cutoff: Column | None = None,
@@ -261,15 +264,16 @@ def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
     ledger.
 
     The transactions up to the cut-off are left-joined once to their
-    retention-type attribute and aggregated once per account key: the highest
-    id and the three bucket sums.  A bucket is NULL when the account has no
-    transaction with a retention type — the SQL's LEFT JOIN to its retention
-    subquery.  Level 2 per account number, then the latest rows are fetched
-    by id.  Output: account columns, ``transactionid``, ``trx_key``,
-    ``balance``, ``retencion_1dia``, ``retencion_2dias``, ``retencion_ndias``.
+    retention-type attribute (the one shuffle of the ledger, on its unique
+    key) and aggregated once per account key: the latest row
+    (``max_by``) and the three bucket sums.  A bucket is NULL when the
+    account has no transaction with a retention type — the SQL's LEFT JOIN
+    to its retention subquery.  Level 2 per account number.  Output: account
+    columns, ``transactionid``, ``trx_key``, ``balance``, ``retencion_1dia``,
+    ``retencion_2dias``, ``retencion_ndias``.
     """
     acc = accounts(led) if acc is None else acc
-    t = up_to(led.trx, cutoff).select("transactionid", "encodedkey", "parentaccountkey", "amount")
+    t = up_to(led.trx, cutoff).select("transactionid", "encodedkey", "parentaccountkey", "balance", "amount")
     r = (led.cfv.filter(F.col("customfieldkey") == led.keys.tiporetencion)
          .select(F.col("parentkey").alias("__pk"), F.col("value").alias("__tipo")))
     j = t.join(r, t["encodedkey"] == r["__pk"], "left")
@@ -279,19 +283,20 @@ def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
     def bucket(vals):
         return F.sum(F.when(has, F.when(F.col("__tipo").isin(list(vals)), F.col("amount")).otherwise(zero)))
 
+    row = F.struct("transactionid", F.col("encodedkey").alias("trx_key"), "balance")
     lvl1 = j.groupBy("parentaccountkey").agg(
-        F.max("transactionid").alias("__m"), bucket(RETENTION_1DAY).alias("__r1"),
+        F.max_by(row, "transactionid").alias("__t"), bucket(RETENTION_1DAY).alias("__r1"),
         bucket(RETENTION_2DAYS).alias("__r2"), bucket(RETENTION_NDAYS).alias("__rn"))
-    j2 = acc.select("numcta", "account_key").join(
-        lvl1, F.col("account_key") == F.col("parentaccountkey"), "inner")
-    pos = j2.groupBy("numcta").agg(
-        F.max("__m").alias("__id"), F.sum("__r1").cast(MONEY).alias("retencion_1dia"),
-        F.sum("__r2").cast(MONEY).alias("retencion_2dias"),
-        F.sum("__rn").cast(MONEY).alias("retencion_ndias")).drop("numcta")
-    rows = led.trx.select("transactionid", F.col("encodedkey").alias("trx_key"), "balance",
-                          "parentaccountkey")
-    rows = rows.join(pos, rows["transactionid"] == pos["__id"], "inner").drop("__id")
-    return acc.join(rows, acc["account_key"] == rows["parentaccountkey"], "inner").drop("parentaccountkey")
+    j2 = acc.join(lvl1, acc["account_key"] == lvl1["parentaccountkey"], "inner").drop("parentaccountkey")
+    rest = [c for c in j2.columns if c not in ("numcta", "__r1", "__r2", "__rn")]
+    return (j2.groupBy("numcta")
+            .agg(F.max_by(F.struct(*rest), F.col("__t.transactionid")).alias("__x"),
+                 F.sum("__r1").cast(MONEY).alias("retencion_1dia"),
+                 F.sum("__r2").cast(MONEY).alias("retencion_2dias"),
+                 F.sum("__rn").cast(MONEY).alias("retencion_ndias"))
+            .select("numcta", "__x.*", "retencion_1dia", "retencion_2dias", "retencion_ndias")
+            .select(*[c for c in acc.columns], "__t.*", "retencion_1dia", "retencion_2dias",
+                    "retencion_ndias"))
 
 
 # --------------------------------------------------------------------------- movements

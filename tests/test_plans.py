@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from daybook.operators.anti import not_in
-from daybook.operators.ledger import accounts, latest_ids
+from daybook.operators.ledger import accounts, latest_ids, latest_per_account
 from daybook.sources.fixtures import materialized_fixture_ledger
 
 SF = "/root/testdata/sf0.001"
@@ -34,6 +34,14 @@ def test_latest_ids_hash_aggregate_with_partial_step(led):
     assert "partial_max(transactionid" in p
 
 
+def test_latest_rows_read_the_ledger_once_without_shuffling_it(spark, led):
+    # partial max_by per account key before the exchange; no join back on id
+    p = plan(latest_per_account(led, F.lit(500), accounts(led, how="left")))
+    assert "partial_max_by(" in p
+    assert p.count("/trx]") == 1                               # one ledger scan
+    assert "keys [1]: [transactionid" not in p                 # no join back on id
+
+
 def test_not_in_is_not_a_forced_null_aware_broadcast(spark, led):
     acc = accounts(led, how="left")
     p = plan(not_in(acc, "numcta", acc.select("numcta"), "numcta"), "simple")
