@@ -7,7 +7,8 @@ retention sums.  Here:
 
 * cut-off: a scalar subquery (``DataFrame.scalar``), never collected;
 * last transaction and retention sums: one aggregation over the ledger
-  (``latest_with_retentions``), hash aggregates only, rows fetched by id;
+  (``latest_with_retentions``): partial ``max_by`` per account key, the
+  ledger read once;
 * attributes: one pivot per level — transaction attributes only for the
   selected last transactions, account attributes, client attributes.
 """
