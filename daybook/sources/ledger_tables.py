@@ -63,3 +63,38 @@ def write_ledger_parquet(led: Ledger, base: str) -> None:
     """Write a ledger's tables as ``<base>/<table name>`` parquet folders."""
     for field, (table, _) in TABLES.items():
         getattr(led, field).write.mode("overwrite").parquet(f"{base.rstrip('/')}/{table}")
+
+
+# Join keys of the two large tables: ledger rows meet attribute rows on them.
+BUCKET_KEYS = {"trx": "encodedkey", "cfv": "parentkey"}
+
+
+def _qualified(table: str, database: str | None) -> str:
+    return f"{database}.{table}" if database else table
+
+
+def write_ledger_tables(led: Ledger, database: str | None = None, buckets: int | None = None) -> None:
+    """Save the tables in the session catalog under their source names.
+
+    With ``buckets``, the ledger is bucketed by ``encodedkey`` and the
+    attribute table by ``parentkey`` (same count, sorted within buckets), and
+    the attribute table is partitioned by ``customfieldkey``: ledger ⋈
+    attribute joins then read matching buckets side by side with no shuffle,
+    and key filters prune partitions.  The catalog's warehouse must be on
+    shared storage.
+    """
+    for field, (table, cols) in TABLES.items():
+        w = getattr(led, field).select(*cols).write.mode("overwrite")
+        if field == "cfv":
+            w = w.partitionBy("customfieldkey")
+        if buckets and field in BUCKET_KEYS:
+            w = w.bucketBy(buckets, BUCKET_KEYS[field]).sortBy(BUCKET_KEYS[field])
+        w.saveAsTable(_qualified(table, database))
+
+
+def load_ledger_catalog(spark: SparkSession, database: str | None = None,
+                        keys: AttributeKeys | None = None) -> Ledger:
+    """Tables from the session catalog (``spark.table``), bucketing kept."""
+    out = {field: spark.table(_qualified(table, database)).select(*cols)
+           for field, (table, cols) in TABLES.items()}
+    return Ledger(keys=keys or AttributeKeys(), **out)

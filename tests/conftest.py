@@ -23,6 +23,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="daybook-test-"))
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="daybook-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -102,3 +102,32 @@ def test_daily_extract_end_to_end(spark):
     assert lines[-1].startswith("099, 20240122, ")
     assert int(lines[-1].split(", ")[2]) == len(lines) - 1
     assert len({len(x) for x in lines[:-1]}) == 1
+
+
+def test_bucketed_catalog_tables_join_without_shuffles(spark):
+    """Ledger bucketed by transaction key, attributes by parent key: the
+    snapshot equals the parquet run and the key joins need no exchange."""
+    import contextlib
+    import io
+
+    from daybook.operators.ledger import trx_with
+    from daybook.plans.snapshot import balance_snapshot
+    from daybook.registry import RUN
+    from daybook.sources.fixtures import materialized_fixture_ledger
+    from daybook.sources.ledger_tables import load_ledger_catalog, write_ledger_tables
+
+    src = materialized_fixture_ledger(spark, "/root/testdata/sf0.001")
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed_ledger")
+    write_ledger_tables(src, "bucketed_ledger", buckets=8)
+    led = load_ledger_catalog(spark, "bucketed_ledger")
+    a = sorted(tuple(r) for r in balance_snapshot(led, RUN).collect())
+    b = sorted(tuple(r) for r in balance_snapshot(src, RUN).collect())
+    assert a == b and len(a) > 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            trx_with(led, {"fechcontab": RUN.next_day, "adjust_state": "0"}).explain()
+        assert "Exchange hashpartitioning" not in buf.getvalue()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
