@@ -13,6 +13,7 @@ The same mapping is written in SQL for the DuckDB oracle
 
 from __future__ import annotations
 
+import threading
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -266,7 +267,8 @@ def build_product_dump(part: DataFrame) -> DataFrame:
                          for i, f in enumerate(PRODUCT_SCHEMA.fields)])
 
 
-_MATERIALIZED: dict[tuple[str, str], Ledger] = {}
+_MATERIALIZED: dict[tuple[str, str, str], Ledger] = {}
+_LOCK = threading.Lock()
 
 
 def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
@@ -289,22 +291,23 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
     except Exception:  # noqa: BLE001 — sessions without a local SparkContext
         app = str(id(spark))
     cache_key = (app, sf_dir.rstrip("/"), repr(sorted(keys.keys.items())))
-    if cache_key in _MATERIALIZED:
-        return _MATERIALIZED[cache_key]
-    led = load_fixture_ledger(spark, sf_dir, keys)
-    base = new_output_path(spark, "fixture")
-    out = {}
-    for name in ("trx", "cta", "prod", "cli", "cfv", "trxdet", "trxch", "hld", "ahold"):
-        df = getattr(led, name)
-        path = f"{base}/{name}"
-        if name == "trx":
-            df = df.orderBy("transactionid")     # id order, as an append-only ledger
-        w = df.write.mode("overwrite")
-        if name == "cfv":
-            w = w.partitionBy("customfieldkey")
-        w.parquet(path)
-        back = spark.read.parquet(path)
-        out[name] = back.select(*df.columns)
-    mat = Ledger(keys=keys, **out)
-    _MATERIALIZED[cache_key] = mat
-    return mat
+    with _LOCK:
+        if cache_key in _MATERIALIZED:
+            return _MATERIALIZED[cache_key]
+        led = load_fixture_ledger(spark, sf_dir, keys)
+        base = new_output_path(spark, "fixture")
+        out = {}
+        for name in ("trx", "cta", "prod", "cli", "cfv", "trxdet", "trxch", "hld", "ahold"):
+            df = getattr(led, name)
+            path = f"{base}/{name}"
+            if name == "trx":
+                df = df.orderBy("transactionid")     # id order, as an append-only ledger
+            w = df.write.mode("overwrite")
+            if name == "cfv":
+                w = w.partitionBy("customfieldkey")
+            w.parquet(path)
+            back = spark.read.parquet(path)
+            out[name] = back.select(*df.columns)
+        mat = Ledger(keys=keys, **out)
+        _MATERIALIZED[cache_key] = mat
+        return mat
