@@ -24,10 +24,10 @@ def holiday_calendar(hld: DataFrame, run_year: int) -> DataFrame:
     own = calendar_date("year", "monthofyear", "dayofmonth")
     in_run_year = calendar_date(F.lit(run_year), F.col("monthofyear"), F.col("dayofmonth"))
     return hld.select(
-        F.date_format(F.when(recurring, in_run_year).otherwise(own), "yyyy-MM-dd").alias("holidays"),
+        F.when(recurring, in_run_year).otherwise(own).cast("string").alias("holidays"),
         F.col("name").alias("name"),
         F.col("isannualyrecurring").alias("is_recurring"),
-        F.date_format(own, "yyyy-MM-dd").alias("date_platform"))
+        own.cast("string").alias("date_platform"))
 
 
 def date_params(run_dates: DataFrame, col: str = "run_date") -> DataFrame:
@@ -101,17 +101,22 @@ def next_business_day(dates: DataFrame, hld: DataFrame, col: str = "fecha") -> D
 
 
 HOLIDAY_SQL = """
-SELECT CASE WHEN isannualyrecurring = 1
-            THEN date_format(try_to_date(format_string('%04d-%02d-%02d', :run_year, monthofyear, dayofmonth),
-                                         'yyyy-MM-dd'), 'yyyy-MM-dd')
-            ELSE date_format(try_to_date(format_string('%04d-%02d-%02d', year, monthofyear, dayofmonth),
-                                         'yyyy-MM-dd'), 'yyyy-MM-dd')
-       END AS holidays,
+WITH h AS (
+  SELECT name, isannualyrecurring, monthofyear, dayofmonth, year,
+         monthofyear BETWEEN 1 AND 12 AND dayofmonth >= 1
+           AND dayofmonth <= day(last_day(make_date(year, monthofyear, 1))) AS own_ok,
+         monthofyear BETWEEN 1 AND 12 AND dayofmonth >= 1
+           AND dayofmonth <= day(last_day(make_date(:run_year, monthofyear, 1))) AS run_ok
+  FROM holiday
+)
+SELECT CAST(CASE WHEN isannualyrecurring = 1
+                 THEN CASE WHEN run_ok THEN make_date(:run_year, monthofyear, dayofmonth) END
+                 ELSE CASE WHEN own_ok THEN make_date(year, monthofyear, dayofmonth) END
+            END AS STRING) AS holidays,
        name AS name,
        isannualyrecurring AS is_recurring,
-       date_format(try_to_date(format_string('%04d-%02d-%02d', year, monthofyear, dayofmonth),
-                               'yyyy-MM-dd'), 'yyyy-MM-dd') AS date_platform
-FROM holiday
+       CAST(CASE WHEN own_ok THEN make_date(year, monthofyear, dayofmonth) END AS STRING) AS date_platform
+FROM h
 """
 
 
