@@ -134,8 +134,10 @@ def day_activity(led: Ledger, date: str, trx: DataFrame | None = None) -> DataFr
 
     One semi join of the ledger with the date's attribute rows and one hash
     aggregate.  The cut-off of the date and the list of accounts that moved on
-    it are both read from this frame, so a query that needs both scans the
-    ledger for the date once (the identical plans share one exchange).
+    it are both defined on this frame.  (Spark plans the two uses separately:
+    the cut-off needs ``max_id``, the account list only the keys, so column
+    pruning makes the two sub-plans differ and the date's slice is read twice;
+    the runtime bloom filter keeps each ledger read to the date's rows.)
     """
     t = trx_on_accounting_date(led, date, trx)
     return t.groupBy("parentaccountkey").agg(F.max("transactionid").alias("max_id"))

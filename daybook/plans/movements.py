@@ -14,8 +14,8 @@ Three variants of the same question exist in the jobs; all are kept:
 Each is: a semi join of the transactions with the attribute rows of the
 date (broadcast by AQE only when that slice is small, checked at run time),
 a per-account partial sum, the account join, a null-aware ``NOT IN`` and the
-final sum per account and product.  Day D's activity per account is computed
-once and feeds both the cut-off and the ``NOT IN`` list.
+final sum per account and product.  Day D's activity per account is defined
+once (``day_activity``) and feeds both the cut-off and the ``NOT IN`` list.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def cutoff_for(led: Ledger, p: RunParams, activity: DataFrame | None = None):
 
 
 def next_day_movements_cutoff(led: Ledger, p: RunParams, group_product: bool = True) -> DataFrame:
-    day_d = day_activity(led, p.run_date)          # shared by the cut-off and the NOT IN list
+    day_d = day_activity(led, p.run_date)          # defines both the cut-off and the NOT IN list
     t = trx_with(led, {led.keys.fechcontab: p.next_day}, up_to(led.trx, cutoff_for(led, p, day_d)))
     moved = moved_accounts(led, p.run_date, p.products, p.states, activity=day_d)
     return sum_per_account(t, accounts(led, p.products, p.states), moved, group_product)
