@@ -137,7 +137,8 @@ def day_activity(led: Ledger, date: str, trx: DataFrame | None = None) -> DataFr
     it are both defined on this frame.  (Spark plans the two uses separately:
     the cut-off needs ``max_id``, the account list only the keys, so column
     pruning makes the two sub-plans differ and the date's slice is read twice;
-    the runtime bloom filter keeps each ledger read to the date's rows.)
+    in each, the runtime bloom filter drops other dates' rows before the
+    shuffle.)
     """
     t = trx_on_accounting_date(led, date, trx)
     return t.groupBy("parentaccountkey").agg(F.max("transactionid").alias("max_id"))
