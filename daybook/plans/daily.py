@@ -4,8 +4,12 @@
 as one function: run parameters from the date text, the reconciliation of
 snapshot balance and next-day movement written as CSV with header, and the
 fixed-width extract of the balance snapshot with its control trailer written
-as ordered text.  Both outputs are written by the executors as part files;
-nothing passes through the driver.
+as ordered text.  The snapshot base (last transaction, attributes and
+retentions of every account — one row per account) feeds both outputs; it
+is written once with ``checkpoint()`` to the shared folder named by
+``spark.checkpoint.dir``, so it is computed once and a lost executor does not
+send the run back to the ledger.  Both outputs are written by the executors
+as part files; nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -14,8 +18,10 @@ from dataclasses import dataclass
 
 from daybook.params import Ledger, RunParams
 from daybook.plans.extract import fixed_width_lines, lines_with_trailer
-from daybook.plans.reconcile import day_after_reconcile
-from daybook.plans.snapshot import balance_snapshot
+from daybook.plans.movements import movements_nonzero
+from daybook.plans.reconcile import reconcile
+from daybook.plans.snapshot import q1_columns, q2_columns, snapshot_base
+from daybook.session import shared_dir
 from daybook.sinks import write_csv, write_text
 
 
@@ -31,7 +37,11 @@ def daily_extract(led: Ledger, date_yyyymmdd: str, products, out_dir: str,
     p = RunParams.from_yyyymmdd(date_yyyymmdd, products)
     rec_path = f"{out_dir.rstrip('/')}/reconciliation"
     ext_path = f"{out_dir.rstrip('/')}/extract"
-    write_csv(day_after_reconcile(led, p), rec_path)
-    lines = fixed_width_lines(balance_snapshot(led, p), p.run_date, strict=strict_layout)
+    # one snapshot base for both outputs, written once to the shared
+    # checkpoint folder: computed once, and its lineage cut for recovery
+    shared_dir(led.trx.sparkSession)
+    base = snapshot_base(led, p).checkpoint(eager=True)
+    write_csv(reconcile(q2_columns(base, p), movements_nonzero(led, p)), rec_path)
+    lines = fixed_width_lines(q1_columns(base, p), p.run_date, strict=strict_layout)
     write_text(lines_with_trailer(lines, p.yyyymmdd), ext_path, order_by=["rec_order", "numcta"])
     return DailyOutputs(rec_path, ext_path)

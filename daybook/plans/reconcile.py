@@ -32,9 +32,15 @@ def difference_text(saldo, amount, width: int = 15) -> F.Column:
     return F.lpad(diff.cast("string"), width, "0")
 
 
-def day_after_reconcile(led: Ledger, p: RunParams) -> DataFrame:
-    main = snapshot_case_filter(led, p).select("numcta2", "saldo")
-    mov = movements_nonzero(led, p).select("numcta", "amount")
+def reconcile(main: DataFrame, mov: DataFrame) -> DataFrame:
+    """Snapshot rows (``numcta2``, ``saldo``) meeting next-day movements
+    (``numcta``, ``amount``): numcta, amount, saldo, numcta2, resta."""
+    main = main.select("numcta2", "saldo")
+    mov = mov.select("numcta", "amount")
     j = main.join(mov, main["numcta2"] == mov["numcta"], "inner")
     return j.select("numcta", "amount", "saldo", "numcta2",
                     difference_text("saldo", "amount").alias("resta"))
+
+
+def day_after_reconcile(led: Ledger, p: RunParams) -> DataFrame:
+    return reconcile(snapshot_case_filter(led, p), movements_nonzero(led, p))

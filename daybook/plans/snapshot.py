@@ -62,9 +62,9 @@ def snapshot_base(led: Ledger, p: RunParams, products=None, states=None) -> Data
     return _client_attrs(led, latest)
 
 
-def balance_snapshot(led: Ledger, p: RunParams) -> DataFrame:
-    """Q1: 19 columns, products P, open states."""
-    b = snapshot_base(led, p, p.products, p.states)
+def q1_columns(base: DataFrame, p: RunParams) -> DataFrame:
+    """Q1's products/states filter and 19 columns over a snapshot base."""
+    b = base.filter(F.col("producto").isin(list(p.products)) & F.col("accountstate").isin(list(p.states)))
     return b.select(
         "rut", "tipocliente", F.col("balance").alias("saldo"), "numcta",
         F.lit("00000").alias("numtrx"), "numctabech", F.col("accountstate").alias("estado"),
@@ -74,21 +74,21 @@ def balance_snapshot(led: Ledger, p: RunParams) -> DataFrame:
         "retencion_2dias", "retencion_ndias", "rut_tutor", "fecha_contable_real", "producto")
 
 
-def snapshot_case_filter(led: Ledger, p: RunParams) -> DataFrame:
-    """Q2: 20 columns; the WHERE is a CASE used as a predicate.
+def balance_snapshot(led: Ledger, p: RunParams) -> DataFrame:
+    """Q1: 19 columns, products P, open states (filtered before the
+    attribute lookups)."""
+    return q1_columns(snapshot_base(led, p, p.products, p.states), p)
 
-    Locked on the run date → product in P, open state and adjustment state
-    '0'; otherwise → open state and ``NOT (codblq = '99' AND LOCKED)`` (no
-    product test in that branch).  A NULL branch value drops the row, as SQL
-    does: a LOCKED account without block code fails the ELSE branch.
-    """
-    b = snapshot_base(led, p)
+
+def q2_columns(base: DataFrame, p: RunParams) -> DataFrame:
+    """Q2's CASE filter and 20 columns over a snapshot base (see
+    ``snapshot_case_filter``)."""
     state = F.col("accountstate")
     locked_today = date_prefix("lockeddate") == F.lit(p.run_date)
     then_ = F.col("producto").isin(list(p.products)) & state.isin(list(p.states)) & \
         (F.col("adjuststate") == "0")
     else_ = state.isin(list(p.states)) & ~((F.col("codblq") == BLOCK_CODE_EXCLUDED) & (state == "LOCKED"))
-    b = b.filter(F.when(locked_today, then_).otherwise(else_))
+    b = base.filter(F.when(locked_today, then_).otherwise(else_))
     return b.select(
         "rut", "tipocliente", F.col("balance").alias("saldo"), F.col("numcta").alias("numcta2"),
         F.lit("00000").alias("numtrx"), "numctabech", F.col("accountstate").alias("estado"),
@@ -99,6 +99,17 @@ def snapshot_case_filter(led: Ledger, p: RunParams) -> DataFrame:
         F.col("codblq").alias("causal_blq"))
 
 
+def snapshot_case_filter(led: Ledger, p: RunParams) -> DataFrame:
+    """Q2: 20 columns; the WHERE is a CASE used as a predicate.
+
+    Locked on the run date → product in P, open state and adjustment state
+    '0'; otherwise → open state and ``NOT (codblq = '99' AND LOCKED)`` (no
+    product test in that branch).  A NULL branch value drops the row, as SQL
+    does: a LOCKED account without block code fails the ELSE branch.
+    """
+    return q2_columns(snapshot_base(led, p), p)
+
+
 def snapshot_preview(led: Ledger, p: RunParams, n: int = 5) -> DataFrame:
     """The first ``n`` snapshot rows by account number (a top-n report)."""
     return balance_snapshot(led, p).orderBy("numcta").limit(n)

@@ -102,6 +102,8 @@ def test_daily_extract_end_to_end(spark):
     assert lines[-1].startswith("099, 20240122, ")
     assert int(lines[-1].split(", ")[2]) == len(lines) - 1
     assert len({len(x) for x in lines[:-1]}) == 1
+    from daybook.plans.snapshot import balance_snapshot
+    assert len(lines) - 1 == balance_snapshot(led, RUN).count()
 
 
 def test_bucketed_catalog_tables_join_without_shuffles(spark):
