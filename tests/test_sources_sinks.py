@@ -133,3 +133,18 @@ def test_bucketed_catalog_tables_join_without_shuffles(spark):
         assert "Exchange hashpartitioning" not in buf.getvalue()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_command_line_runs_the_daily_job(spark, capsys):
+    from daybook.__main__ import main
+    from daybook.sources.fixtures import materialized_fixture_ledger
+    from daybook.sources.ledger_tables import write_ledger_parquet
+
+    base = new_output_path(spark, "cli-ledger")
+    write_ledger_parquet(materialized_fixture_ledger(spark, "/root/testdata/sf0.001"), base)
+    out = new_output_path(spark, "cli-out")
+    assert main(["--date", "20240122", "--products", "'P0', 'P1', 'P2', 'P3'", "--tables", base,
+                 "--out", out], spark=spark) == 0
+    assert "reconciliation:" in capsys.readouterr().out
+    assert spark.read.option("header", True).csv(f"{out}/reconciliation").count() >= 1
+    assert spark.read.text(f"{out}/extract").count() >= 1
