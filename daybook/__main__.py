@@ -8,8 +8,9 @@ with the same arguments.
 
 ``--tables`` is a folder of parquet tables named after the source tables
 (``savingstransaction``, ``customfieldvalue``, ...).  With ``--jdbc-url``
-the tables are read over JDBC instead; the ledger and the attribute table are
-then read in ``--jdbc-partitions`` id ranges.  The session is whatever
+the tables are read over JDBC instead; the ledger is then read in
+``--jdbc-partitions`` ranges of ``transactionid`` (the other tables have no
+numeric key to split on and are read whole).  The session is whatever
 ``spark-submit`` configured; nothing here sets cluster resources.
 """
 
