@@ -47,8 +47,9 @@ def load_ledger_jdbc(spark: SparkSession, url: str, keys: AttributeKeys | None =
                      bounds: Mapping[str, tuple[str, int, int, int]] | None = None,
                      **options) -> Ledger:
     """Tables over JDBC.  ``bounds``: field → (partition column, lower,
-    upper, partitions) for tables read in parallel ranges — at least the
-    ledger (``trx`` on ``transactionid``) and the attribute table."""
+    upper, partitions) for tables read in parallel ranges of a numeric
+    column — at least the ledger (``trx`` on ``transactionid``); a table
+    without one is read through a single connection."""
     out = {}
     for field, (table, cols) in TABLES.items():
         kw = dict(options)
