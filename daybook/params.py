@@ -39,9 +39,15 @@ BLOCK_CODE_EXCLUDED = "99"
 
 @dataclass(frozen=True)
 class AttributeKeys:
-    """Logical attribute name → ``customfieldkey`` value."""
+    """Logical attribute name → ``customfieldkey`` value.
 
-    keys: dict = field(default_factory=lambda: {n: n for n in ATTRIBUTE_NAMES})
+    Names not given keep the default key (the name itself).
+    """
+
+    keys: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        object.__setattr__(self, "keys", {**{n: n for n in ATTRIBUTE_NAMES}, **dict(self.keys)})
 
     def __getitem__(self, name: str) -> str:
         return self.keys[name]
