@@ -8,14 +8,17 @@ as ordered text.  The snapshot base (last transaction, attributes and
 retentions of every account — one row per account) feeds both outputs; it
 is written once with ``checkpoint()`` to the shared folder named by
 ``spark.checkpoint.dir``, so it is computed once and a lost executor does not
-send the run back to the ledger.  Both outputs are written by the executors
-as part files; nothing passes through the driver.
+send the run back to the ledger.  Day D's activity per account, which the
+movements' cut-off and ``NOT IN`` list both read, is written the same way.
+Both outputs are written by the executors as part files; nothing passes
+through the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from daybook.operators.ledger import day_activity
 from daybook.params import Ledger, RunParams
 from daybook.plans.extract import fixed_width_lines, lines_with_trailer
 from daybook.plans.movements import movements_nonzero
@@ -41,7 +44,10 @@ def daily_extract(led: Ledger, date_yyyymmdd: str, products, out_dir: str,
     # checkpoint folder: computed once, and its lineage cut for recovery
     shared_dir(led.trx.sparkSession)
     base = snapshot_base(led, p).checkpoint(eager=True)
-    write_csv(reconcile(q2_columns(base, p), movements_nonzero(led, p)), rec_path)
+    # day D's activity per account: the movements' cut-off and NOT IN list
+    # both read it, so it is written once too (one row per active account)
+    day_d = day_activity(led, p.run_date).checkpoint(eager=True)
+    write_csv(reconcile(q2_columns(base, p), movements_nonzero(led, p, day_d)), rec_path)
     lines = fixed_width_lines(q1_columns(base, p), p.run_date, strict=strict_layout)
     write_text(lines_with_trailer(lines, p.yyyymmdd), ext_path, order_by=["rec_order", "numcta"])
     return DailyOutputs(rec_path, ext_path)

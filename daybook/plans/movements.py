@@ -41,16 +41,19 @@ def cutoff_for(led: Ledger, p: RunParams, activity: DataFrame | None = None):
     return max_id_by_product(led, p.run_date, p.products, activity).select("id_transaction_max").scalar()
 
 
-def next_day_movements_cutoff(led: Ledger, p: RunParams, group_product: bool = True) -> DataFrame:
-    day_d = day_activity(led, p.run_date)          # defines both the cut-off and the NOT IN list
+def next_day_movements_cutoff(led: Ledger, p: RunParams, group_product: bool = True,
+                              activity: DataFrame | None = None) -> DataFrame:
+    """``activity``: day D's activity per account (``day_activity``), e.g.
+    already written once by the caller; computed here when not given."""
+    day_d = day_activity(led, p.run_date) if activity is None else activity
     t = trx_with(led, {led.keys.fechcontab: p.next_day}, up_to(led.trx, cutoff_for(led, p, day_d)))
     moved = moved_accounts(led, p.run_date, p.products, p.states, activity=day_d)
     return sum_per_account(t, accounts(led, p.products, p.states), moved, group_product)
 
 
-def movements_nonzero(led: Ledger, p: RunParams) -> DataFrame:
+def movements_nonzero(led: Ledger, p: RunParams, activity: DataFrame | None = None) -> DataFrame:
     """The cut-off variant without accounts whose movements sum to zero."""
-    return next_day_movements_cutoff(led, p).filter(F.col("amount") != 0)
+    return next_day_movements_cutoff(led, p, activity=activity).filter(F.col("amount") != 0)
 
 
 def movements_loose_group(led: Ledger, p: RunParams) -> DataFrame:
