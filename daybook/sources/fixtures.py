@@ -14,6 +14,7 @@ The same mapping is written in SQL for the DuckDB oracle
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -296,8 +297,8 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
             return _MATERIALIZED[cache_key]
         led = load_fixture_ledger(spark, sf_dir, keys)
         base = new_output_path(spark, "fixture")
-        out = {}
-        for name in ("trx", "cta", "prod", "cli", "cfv", "trxdet", "trxch", "hld", "ahold"):
+
+        def write(name: str) -> tuple[str, DataFrame]:
             df = getattr(led, name)
             path = f"{base}/{name}"
             if name == "trx":
@@ -306,8 +307,12 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
             if name == "cfv":
                 w = w.partitionBy("customfieldkey")
             w.parquet(path)
-            back = spark.read.parquet(path)
-            out[name] = back.select(*df.columns)
+            return name, spark.read.parquet(path).select(*df.columns)
+
+        # nine independent write jobs, submitted side by side
+        names = ("trx", "cfv", "hld", "ahold", "trxdet", "cta", "cli", "prod", "trxch")
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            out = dict(pool.map(write, names))
         mat = Ledger(keys=keys, **out)
         _MATERIALIZED[cache_key] = mat
         return mat
