@@ -12,6 +12,7 @@ not one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Field types by position, as in the clean dump.
@@ -67,3 +68,32 @@ def write_product_dump(df: DataFrame, path: str) -> None:
      .option("header", False).option("quote", '"').option("escape", '"')
      .option("timestampNTZFormat", TS_FORMAT)
      .csv(path))
+
+
+CORRUPT = "_damaged_record"
+
+
+def split_product_dump(spark: SparkSession, path: str,
+                       null_text: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Read a possibly damaged dump as ``(records, damaged)``.
+
+    Records that do not parse into the 46 typed fields — an unquoted comma
+    giving 47 fields, a record cut at a line break, a value of the wrong
+    type — go to ``damaged`` as their raw text (column ``_damaged_record``,
+    with ``encodedkey`` as far as it parsed); ``records`` holds the rest.  ``read_product_dump`` (FAILFAST) instead
+    stops at the first such record.
+    """
+    schema = T.StructType(PRODUCT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    r = (spark.read.schema(schema)
+         .option("header", False).option("multiLine", True)
+         .option("quote", '"').option("escape", '"')
+         .option("timestampNTZFormat", TS_FORMAT)
+         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+    if null_text is not None:
+        r = r.option("nullValue", null_text)
+    df = r.csv(path)
+    records = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # the key travels with the raw text: Spark refuses a query on a raw CSV
+    # that reads the corrupt-record column alone
+    damaged = df.filter(F.col(CORRUPT).isNotNull()).select("encodedkey", CORRUPT)
+    return records, damaged

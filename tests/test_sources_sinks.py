@@ -148,3 +148,17 @@ def test_command_line_runs_the_daily_job(spark, capsys):
     assert "reconciliation:" in capsys.readouterr().out
     assert spark.read.option("header", True).csv(f"{out}/reconciliation").count() >= 1
     assert spark.read.text(f"{out}/extract").count() >= 1
+
+
+def test_damaged_product_dump_is_detected_and_split(spark, tmp_path):
+    from daybook.sources.product_csv import split_product_dump
+    good = _record("a" * 32, "plain")
+    extra_comma = _record("b" * 32, "one, two")          # unquoted comma: 47 fields
+    cut = '"' + "c" * 32 + '",True'                        # record cut short
+    path = tmp_path / "damaged.csv"
+    path.write_text("\n".join([good, extra_comma, cut]) + "\n")
+    with pytest.raises(Exception):
+        read_product_dump(spark, str(path)).collect()
+    records, damaged = split_product_dump(spark, str(path))
+    assert [r.encodedkey for r in records.collect()] == ["a" * 32]
+    assert damaged.count() == 2
