@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.session import new_output_path
+
 # Field types by position, as in the clean dump.
 _BOOL = {1, 2, 7, 8, 9, 15, 29, 30, 36, 41, 43}
 _TS = {3, 16}
@@ -91,9 +93,12 @@ def split_product_dump(spark: SparkSession, path: str,
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
     if null_text is not None:
         r = r.option("nullValue", null_text)
-    df = r.csv(path)
+    # parse once and write the result (damaged text included) to the shared
+    # folder: the multi-line CSV is read a single time, and Spark refuses
+    # queries on a raw CSV that touch only the corrupt-record column
+    parsed = new_output_path(spark, "product-dump-parsed")
+    r.csv(path).write.mode("overwrite").parquet(parsed)
+    df = spark.read.parquet(parsed)
     records = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # the key travels with the raw text: Spark refuses a query on a raw CSV
-    # that reads the corrupt-record column alone
     damaged = df.filter(F.col(CORRUPT).isNotNull()).select("encodedkey", CORRUPT)
     return records, damaged
