@@ -43,3 +43,11 @@ def test_run_date_text_functions(spark):
     got = iso.select(next_calendar_day("d").alias("n"), first_of_month("d").alias("f")).collect()
     assert [(r.n, r.f) for r in got] == [("2024-02-01", "2024-01-01"), ("2024-03-01", "2024-02-01"),
                                          (None, None)]
+
+
+def test_shared_dir_reads_the_session_setting(spark):
+    from daybook.session import new_output_path, shared_dir
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == configured
+    a, b = new_output_path(spark, "x"), new_output_path(spark, "x")
+    assert a != b and a.startswith(configured.replace("file:", "")) and b.startswith(configured.replace("file:", ""))
