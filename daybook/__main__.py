@@ -36,13 +36,15 @@ def parse_args(argv):
                     help="id-range partitions for the ledger (0: one partition per table)")
     ap.add_argument("--max-transaction-id", type=int, default=0,
                     help="upper bound of transaction ids for the range partitions")
+    ap.add_argument("--dated", help="folder of the dated ledger layout (write_dated_ledger); "
+                                    "date filters then read one partition")
     ap.add_argument("--strict-layout", action="store_true", help="reproduce the original record quirks")
     return ap.parse_args(argv)
 
 
 def main(argv=None, spark: SparkSession | None = None) -> int:
     from daybook.plans.daily import daily_extract
-    from daybook.sources.ledger_tables import load_ledger_jdbc, load_ledger_parquet
+    from daybook.sources.ledger_tables import load_ledger_jdbc, load_ledger_parquet, with_dated
 
     args = parse_args(sys.argv[1:] if argv is None else argv)
     spark = spark or SparkSession.builder.appName(f"daybook-{args.date}").getOrCreate()
@@ -54,6 +56,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         if args.jdbc_partitions:
             bounds = {"trx": ("transactionid", 0, args.max_transaction_id, args.jdbc_partitions)}
         led = load_ledger_jdbc(spark, args.jdbc_url, bounds=bounds, extra=extra)
+    if args.dated:
+        led = with_dated(led, spark, args.dated)
     out = daily_extract(led, args.date, args.products, args.out, strict_layout=args.strict_layout)
     print(f"reconciliation: {out.reconciliation}\nextract: {out.extract}")
     return 0

@@ -68,17 +68,36 @@ def accounts(led: Ledger, products: Sequence[str] | None = None,
 
 # --------------------------------------------------------------------------- attribute conditions
 
-def trx_with(led: Ledger, conditions: Mapping[str, str], trx: DataFrame | None = None) -> DataFrame:
-    """Transactions whose attributes satisfy ``conditions`` (key → value).
-
-    One semi join per condition, in the order given — put the most selective
-    (the accounting date) first.  Each semi join has a filtered attribute
-    slice on its small side, so Spark can prune the large side with a
-    runtime bloom filter before shuffling; the first one reduces the ledger
-    to the date's transactions.
+DATED_COLUMN = "accounting_date"
+
+
+def dated_day(led: Ledger, date: str) -> DataFrame:
+    """The ledger rows whose accounting date is ``date``, read from the dated
+    layout (``led.dated``): only that date's partition is scanned.  A
+    transaction with its date attribute repeated appears once."""
+    return (led.dated.filter(F.col(DATED_COLUMN) == date)
+            .select(*led.trx.columns).dropDuplicates(["transactionid"]))
+
+
+def trx_with(led: Ledger, conditions: Mapping[str, str], where: Column | None = None) -> DataFrame:
+    """Transactions whose attributes satisfy ``conditions`` (key → value),
+    restricted by the predicate ``where`` (e.g. an id cut-off).
+
+    The accounting-date condition reads the dated layout when the ledger has
+    one (partition pruning: one date's rows, not the whole history).  Every
+    other condition — and the date itself without the layout — is a semi
+    join against the filtered attribute slice, in the order given, so Spark
+    can prune the large side with a runtime bloom filter before shuffling.
     """
-    t = led.trx if trx is None else trx
-    for key, value in conditions.items():
+    conds = dict(conditions)
+    fc = led.keys.fechcontab
+    if led.dated is not None and fc in conds:
+        t = dated_day(led, conds.pop(fc))
+    else:
+        t = led.trx
+    if where is not None:
+        t = t.filter(where)
+    for key, value in conds.items():
         keys = led.cfv.filter((F.col("customfieldkey") == key) & (F.col("value") == value)).select("parentkey")
         t = t.join(keys, t["encodedkey"] == keys["parentkey"], "left_semi")
     return t
@@ -91,16 +110,21 @@ def trx_with_any_attribute(led: Ledger, value: str, trx: DataFrame | None = None
     return trx.join(keys, trx["encodedkey"] == keys["parentkey"], "left_semi")
 
 
-def trx_on_accounting_date(led: Ledger, date: str, trx: DataFrame | None = None) -> DataFrame:
-    return trx_with(led, {led.keys.fechcontab: date}, trx)
+def trx_on_accounting_date(led: Ledger, date: str, where: Column | None = None) -> DataFrame:
+    return trx_with(led, {led.keys.fechcontab: date}, where)
 
 
-def id_range(trx: DataFrame, bounds: DataFrame) -> DataFrame:
+def id_between(bounds: DataFrame) -> Column:
     """``transactionid BETWEEN min AND max`` with bounds from a 1-row frame
     (``id_transaction_min``, ``id_transaction_max``) as one scalar subquery."""
     b = bounds.select(F.struct("id_transaction_min", "id_transaction_max")).scalar()
-    return trx.filter(F.col("transactionid").between(b.getField("id_transaction_min"),
-                                                     b.getField("id_transaction_max")))
+    return F.col("transactionid").between(b.getField("id_transaction_min"),
+                                          b.getField("id_transaction_max"))
+
+
+def id_at_most(cutoff: Column) -> Column:
+    """``transactionid <= cutoff``; a NULL cut-off keeps no row."""
+    return F.col("transactionid") <= cutoff
 
 
 def up_to(trx: DataFrame, cutoff: Column | None) -> DataFrame:
@@ -128,7 +152,7 @@ def max_id_accounting_date(led: Ledger, date: str) -> DataFrame:
     return trx_on_accounting_date(led, date).agg(F.max("transactionid").alias("cutoff_id"))
 
 
-def day_activity(led: Ledger, date: str, trx: DataFrame | None = None) -> DataFrame:
+def day_activity(led: Ledger, date: str, where: Column | None = None) -> DataFrame:
     """Per account key, the highest id among its transactions with accounting
     date ``date``: ``(parentaccountkey, max_id)``.
 
@@ -140,7 +164,7 @@ def day_activity(led: Ledger, date: str, trx: DataFrame | None = None) -> DataFr
     in each, the runtime bloom filter drops other dates' rows before the
     shuffle.)
     """
-    t = trx_on_accounting_date(led, date, trx)
+    t = trx_on_accounting_date(led, date, where)
     return t.groupBy("parentaccountkey").agg(F.max("transactionid").alias("max_id"))
 
 
@@ -306,11 +330,12 @@ def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
 
 def moved_accounts(led: Ledger, date: str, products: Sequence[str] | None,
                    states: Sequence[str] | None = None,
-                   trx: DataFrame | None = None,
+                   where: Column | None = None,
                    activity: DataFrame | None = None) -> DataFrame:
     """Account numbers with a transaction of accounting date ``date``
-    (column ``numcta``; may repeat — callers use it as a NOT IN list)."""
-    activity = day_activity(led, date, trx) if activity is None else activity
+    (matching ``where``; column ``numcta``; may repeat — callers use it as a
+    NOT IN list)."""
+    activity = day_activity(led, date, where) if activity is None else activity
     acc = accounts(led, products, states)
     return acc.join(activity, acc["account_key"] == activity["parentaccountkey"], "left_semi").select("numcta")
 

@@ -118,6 +118,10 @@ class Ledger:
     hld    holiday(isannualyrecurring, monthofyear, dayofmonth, year, name)
     ahold  authorizationhold(externalreferenceid, amount, state,
            cardreferencetoken)
+    dated  optional layout: ledger rows with their accounting date
+           (``accounting_date``), partitioned by it — date filters then read
+           one partition instead of the whole history
+           (``sources.ledger_tables.write_dated_ledger``)
     """
 
     trx: DataFrame
@@ -130,6 +134,7 @@ class Ledger:
     hld: DataFrame | None = None
     ahold: DataFrame | None = None
     keys: AttributeKeys = field(default_factory=AttributeKeys)
+    dated: DataFrame | None = None
 
     def register_views(self) -> None:
         """Register the tables under the names the SQL text uses."""

@@ -23,9 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.ledger import (accounts, day_activity, id_bounds_on_date, id_range,
-                                      max_id_by_product, moved_accounts, sum_per_account, trx_with,
-                                      up_to)
+from daybook.operators.ledger import (accounts, day_activity, id_at_most, id_between,
+                                      id_bounds_on_date, max_id_by_product, moved_accounts,
+                                      sum_per_account, trx_with)
 from daybook.params import Ledger, RunParams
 
 
@@ -46,7 +46,7 @@ def next_day_movements_cutoff(led: Ledger, p: RunParams, group_product: bool = T
     """``activity``: day D's activity per account (``day_activity``), e.g.
     already written once by the caller; computed here when not given."""
     day_d = day_activity(led, p.run_date) if activity is None else activity
-    t = trx_with(led, {led.keys.fechcontab: p.next_day}, up_to(led.trx, cutoff_for(led, p, day_d)))
+    t = trx_with(led, {led.keys.fechcontab: p.next_day}, id_at_most(cutoff_for(led, p, day_d)))
     moved = moved_accounts(led, p.run_date, p.products, p.states, activity=day_d)
     return sum_per_account(t, accounts(led, p.products, p.states), moved, group_product)
 
@@ -64,8 +64,7 @@ def movements_loose_group(led: Ledger, p: RunParams) -> DataFrame:
 
 def movements_in_id_range(led: Ledger, p: RunParams) -> DataFrame:
     k = led.keys
-    bounds = id_bounds_on_date(led, p.run_date)
-    in_range = id_range(led.trx, bounds)
+    in_range = id_between(id_bounds_on_date(led, p.run_date))
     t = trx_with(led, {k.fechcontab: p.next_day, k.adjust_state: "0"}, in_range)
-    moved = moved_accounts(led, p.run_date, p.products, trx=in_range)
+    moved = moved_accounts(led, p.run_date, p.products, where=in_range)
     return sum_per_account(t, accounts(led, p.products), moved)

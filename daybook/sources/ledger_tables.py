@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from daybook.params import AttributeKeys, Ledger
 from daybook.sources.jdbc import read_jdbc
@@ -99,3 +99,49 @@ def load_ledger_catalog(spark: SparkSession, database: str | None = None,
     out = {field: spark.table(_qualified(table, database)).select(*cols)
            for field, (table, cols) in TABLES.items()}
     return Ledger(keys=keys or AttributeKeys(), **out)
+
+
+def build_dated(led: Ledger) -> DataFrame:
+    """Ledger rows joined to their accounting-date attribute: one row per
+    (transaction, accounting-date row), the date in ``accounting_date``."""
+    from pyspark.sql import functions as F
+
+    from daybook.operators.ledger import DATED_COLUMN
+    fc = (led.cfv.filter(F.col("customfieldkey") == led.keys.fechcontab)
+          .select(F.col("parentkey").alias("__pk"), F.col("value").alias(DATED_COLUMN)))
+    t = led.trx
+    return t.join(fc, t["encodedkey"] == fc["__pk"], "inner").drop("__pk")
+
+
+def write_dated_ledger(led: Ledger, path: str, dates=None) -> None:
+    """Write the dated layout partitioned by accounting date.
+
+    ``dates``: rewrite only these dates' partitions (dynamic partition
+    overwrite) — the daily maintenance step appends one day; without it the
+    whole layout is (re)built.
+    """
+    from pyspark.sql import functions as F
+
+    from daybook.operators.ledger import DATED_COLUMN
+    df = build_dated(led)
+    if dates is not None:
+        df = df.filter(F.col(DATED_COLUMN).isin(list(dates)))
+    (df.repartition(DATED_COLUMN).sortWithinPartitions("transactionid")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(DATED_COLUMN).parquet(path))
+
+
+def load_dated(spark: SparkSession, path: str, ledger_schema) -> DataFrame:
+    """The dated layout with the ledger's own column types and the date kept
+    as text (no partition-type guessing)."""
+    from pyspark.sql import types as T
+
+    from daybook.operators.ledger import DATED_COLUMN
+    schema = T.StructType(list(ledger_schema.fields) + [T.StructField(DATED_COLUMN, T.StringType(), True)])
+    return spark.read.schema(schema).parquet(path)
+
+
+def with_dated(led: Ledger, spark: SparkSession, path: str) -> Ledger:
+    """The same ledger with its dated layout read from ``path``."""
+    import dataclasses
+    return dataclasses.replace(led, dated=load_dated(spark, path, led.trx.schema))

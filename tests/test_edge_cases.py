@@ -217,3 +217,27 @@ def test_bucketed_running_balance_equals_window(spark):
     got = running_balance(df, "a", "i", "x", bucket=64)
     assert got.count() == 3000
     assert ref.join(got, ["i"]).filter(F.col("r") != F.col("__running")).count() == 0
+
+
+def test_dated_layout_equals_semi_join_path(spark, tmp_path):
+    """Date filters through the dated layout give the semi-join results,
+    also when a transaction's accounting-date row is duplicated."""
+    from daybook.operators.ledger import day_activity, trx_with
+    from daybook.plans.movements import movements_in_id_range, next_day_movements
+    from daybook.sources.ledger_tables import with_dated, write_dated_ledger
+    N = "2024-01-23"
+    trx_rows = [trx(i, (i % 3) + 1, i * 10) for i in range(1, 13)]
+    cfv = [attr(f"trx-{i}", "fechcontab", [D, N][i % 2]) for i in range(1, 13)]
+    cfv += [("dup", "trx-4", "fechcontab", N)]                     # duplicated date row
+    cfv += [attr(f"trx-{i}", "adjust_state", "0") for i in range(1, 13)]
+    led = make_ledger(spark, cta_rows=[account(1), account(2), account(3)], trx_rows=trx_rows, cfv_rows=cfv)
+    path = str(tmp_path / "dated")
+    write_dated_ledger(led, path)
+    dated = with_dated(led, spark, path)
+    for f in (lambda x: trx_with(x, {"fechcontab": N, "adjust_state": "0"}, F.col("transactionid") <= 9),
+              lambda x: day_activity(x, D),
+              lambda x: next_day_movements(x, P),
+              lambda x: movements_in_id_range(x, P)):
+        assert sorted(tuple(r) for r in f(led).collect()) == sorted(tuple(r) for r in f(dated).collect())
+    # the duplicated row does not count transaction 4 twice
+    assert trx_with(dated, {"fechcontab": N}).filter(F.col("transactionid") == 4).count() == 1

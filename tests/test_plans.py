@@ -70,3 +70,11 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
+
+
+def test_date_filters_read_one_partition_of_the_dated_layout(spark, led):
+    from daybook.operators.ledger import trx_on_accounting_date
+    assert led.dated is not None
+    p = plan(trx_on_accounting_date(led, "2024-01-22"))
+    assert "PartitionFilters: [isnotnull(accounting_date" in p
+    assert "/trx]" not in p                                    # the history is not scanned
