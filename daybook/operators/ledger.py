@@ -73,10 +73,10 @@ DATED_COLUMN = "accounting_date"
 
 def dated_day(led: Ledger, date: str) -> DataFrame:
     """The ledger rows whose accounting date is ``date``, read from the dated
-    layout (``led.dated``): only that date's partition is scanned.  A
-    transaction with its date attribute repeated appears once."""
-    return (led.dated.filter(F.col(DATED_COLUMN) == date)
-            .select(*led.trx.columns).dropDuplicates(["transactionid"]))
+    layout (``led.dated``): only that date's partition is scanned.  The
+    layout holds each (transaction, date) once, so a transaction whose date
+    attribute was repeated still appears once."""
+    return led.dated.filter(F.col(DATED_COLUMN) == date).select(*led.trx.columns)
 
 
 def trx_with(led: Ledger, conditions: Mapping[str, str], where: Column | None = None) -> DataFrame:

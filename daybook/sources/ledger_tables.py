@@ -103,12 +103,14 @@ def load_ledger_catalog(spark: SparkSession, database: str | None = None,
 
 def build_dated(led: Ledger) -> DataFrame:
     """Ledger rows joined to their accounting-date attribute: one row per
-    (transaction, accounting-date row), the date in ``accounting_date``."""
+    (transaction, distinct accounting date), the date in ``accounting_date``.
+    A repeated date row of a transaction is folded here, once, so a read of
+    one date sees each transaction at most once without further work."""
     from pyspark.sql import functions as F
 
     from daybook.operators.ledger import DATED_COLUMN
     fc = (led.cfv.filter(F.col("customfieldkey") == led.keys.fechcontab)
-          .select(F.col("parentkey").alias("__pk"), F.col("value").alias(DATED_COLUMN)))
+          .select(F.col("parentkey").alias("__pk"), F.col("value").alias(DATED_COLUMN)).distinct())
     t = led.trx
     return t.join(fc, t["encodedkey"] == fc["__pk"], "inner").drop("__pk")
 
