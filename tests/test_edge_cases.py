@@ -241,3 +241,19 @@ def test_dated_layout_equals_semi_join_path(spark, tmp_path):
         assert sorted(tuple(r) for r in f(led).collect()) == sorted(tuple(r) for r in f(dated).collect())
     # the duplicated row does not count transaction 4 twice
     assert trx_with(dated, {"fechcontab": N}).filter(F.col("transactionid") == 4).count() == 1
+
+
+def test_dated_layout_rewrites_only_the_given_dates(spark, tmp_path):
+    from daybook.sources.ledger_tables import load_dated, write_dated_ledger
+    N = "2024-01-23"
+    cfv = [attr(f"trx-{i}", "fechcontab", [D, N][i % 2]) for i in range(1, 7)]
+    led = make_ledger(spark, cta_rows=[account(1)], trx_rows=[trx(i, 1, i) for i in range(1, 7)], cfv_rows=cfv)
+    path = str(tmp_path / "dated")
+    write_dated_ledger(led, path)
+    # the next day's run rewrites N only: D keeps its rows, N gets the new ones
+    later = make_ledger(spark, cta_rows=[account(1)], trx_rows=[trx(i, 1, i) for i in range(1, 9)],
+                        cfv_rows=cfv + [attr("trx-7", "fechcontab", N), attr("trx-8", "fechcontab", D)])
+    write_dated_ledger(later, path, dates=[N])
+    back = load_dated(spark, path, led.trx.schema)
+    got = {(r.accounting_date, r.transactionid) for r in back.collect()}
+    assert got == {(D, 2), (D, 4), (D, 6), (N, 1), (N, 3), (N, 5), (N, 7)}
