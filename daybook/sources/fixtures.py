@@ -283,10 +283,9 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
     jobs always filter it by key, and a key filter then prunes whole
     directories.  Transactions are written in id order, as an append-only
     ledger grows, so each file covers an id range and id filters (cut-offs,
-    id ranges) skip files and row groups by their statistics.  The ledger's
-    dated layout (``sources.ledger_tables.write_dated_ledger``: ledger rows
-    with their accounting date, partitioned by it) is written next to them,
-    so date filters read one date's partition.
+    id ranges) skip files and row groups by their statistics.  No derived
+    layout (dated ledger, buckets) is built here: those would do part of the
+    queries' own work ahead of them.
     """
     from daybook.session import new_output_path
     keys = keys or AttributeKeys()
@@ -317,9 +316,5 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
         with ThreadPoolExecutor(max_workers=4) as pool:
             out = dict(pool.map(write, names))
         mat = Ledger(keys=keys, **out)
-        # the dated layout of the ledger, derived by the library's own writer
-        from daybook.sources.ledger_tables import with_dated, write_dated_ledger
-        write_dated_ledger(mat, f"{base}/dated")
-        mat = with_dated(mat, spark, f"{base}/dated")
         _MATERIALIZED[cache_key] = mat
         return mat

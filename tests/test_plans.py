@@ -74,7 +74,11 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
 
 def test_date_filters_read_one_partition_of_the_dated_layout(spark, led):
     from daybook.operators.ledger import trx_on_accounting_date
-    assert led.dated is not None
-    p = plan(trx_on_accounting_date(led, "2024-01-22"))
+    from daybook.session import new_output_path
+    from daybook.sources.ledger_tables import with_dated, write_dated_ledger
+    path = new_output_path(spark, "test-dated")
+    write_dated_ledger(led, path)
+    dated = with_dated(led, spark, path)
+    p = plan(trx_on_accounting_date(dated, "2024-01-22"))
     assert "PartitionFilters: [isnotnull(accounting_date" in p
     assert "/trx]" not in p                                    # the history is not scanned
