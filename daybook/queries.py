@@ -374,3 +374,11 @@ def holiday_calendar_sql(led: Ledger, p: RunParams) -> DataFrame:
     """holiday_calendar through temp views and parameterised Spark SQL."""
     led.register_views()
     return C.holiday_calendar_sql(led.hld.sparkSession, int(p.run_date[:4]))
+
+
+@query("dated_ledger")
+def dated_ledger(led: Ledger, p: RunParams) -> DataFrame:
+    """The rows of the dated ledger layout (ledger ⋈ distinct accounting
+    dates), built here from the plain tables by ``build_dated``."""
+    from daybook.sources.ledger_tables import build_dated
+    return build_dated(led)
