@@ -82,3 +82,36 @@ def test_date_filters_read_one_partition_of_the_dated_layout(spark, led):
     p = plan(trx_on_accounting_date(dated, "2024-01-22"))
     assert "PartitionFilters: [isnotnull(accounting_date" in p
     assert "/trx]" not in p                                    # the history is not scanned
+
+
+def test_hot_account_join_is_split_by_aqe(spark):
+    """Ledger ⋈ accounts with one account holding 90 % of the rows: AQE's
+    skew handling splits that account's partition (thresholds lowered to
+    the test's size)."""
+    from conftest import account, make_ledger
+    from daybook.plans.extract import padded_columns
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        hot = F.when(F.col("id") % 10 == 0, F.col("id") % 97).otherwise(F.lit(1))
+        trx = spark.range(0, 60000).select(
+            F.col("id").alias("transactionid"), F.concat(F.lit("cta-"), hot.cast("string")).alias("parentaccountkey"),
+            F.lit(1).cast("decimal(18,2)").alias("amount"))
+        led = make_ledger(spark, cta_rows=[account(i) for i in range(97)])
+        acc = led.cta.select(F.col("id").alias("numcta"), F.col("encodedkey").alias("__ak"))
+        df = padded_columns(trx.join(acc, F.col("parentaccountkey") == F.col("__ak"), "inner"))
+        assert len(df.collect()) == 60000
+        assert "SortMergeJoin(skew=true)" in plan(df, "simple")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
