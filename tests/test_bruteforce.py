@@ -83,3 +83,40 @@ def test_next_day_movements_cutoff_brute_force(spark, txs):
         if amts:
             want[f"{a:014d}"] = (money(sum(amts)), "P0")
     assert got == want
+
+
+hold = st.tuples(
+    st.integers(1, 8),                                          # referenced transaction
+    st.sampled_from(["{}-1", "{}", "x{}-1", "{}-2-3"]),         # reference shape
+    st.integers(0, 90),                                         # amount
+    st.sampled_from(["PENDING", "PENDING", "SETTLED"]),
+    st.sampled_from(["C1", "C1", "C2"]))                        # card, C1 hot
+
+
+@SETTINGS
+@given(txs=st.lists(tx, min_size=1, max_size=8), holds=st.lists(hold, max_size=12))
+def test_hold_retentions_brute_force(spark, txs, holds):
+    from daybook.operators.holds import hold_retentions
+    led = _ledger(spark, txs)
+    rows = [(shape.format(t), money(a), state, card) for t, shape, a, state, card in holds]
+    led.ahold = spark.createDataFrame(rows, "externalreferenceid string, amount decimal(18,2), "
+                                            "state string, cardreferencetoken string")
+    got = {r.nro_cta: (r.retencion_1dia, r.retencion_2dias, r.retencion_ndias, r.fechacontab)
+           for r in hold_retentions(led, D).collect()}
+    want = {}
+    for t, shape, a, state, card in holds:
+        ref = shape.format(t)
+        head = ref.split("-")[0] if "-" in ref else ""
+        if state != "PENDING" or not head.isdigit() or not 1 <= int(head) <= len(txs):
+            continue
+        _, _, fc, tipo = txs[int(head) - 1]
+        if fc == ABSENT or tipo == ABSENT or fc > D:          # both attributes mandatory; date <= D
+            continue
+        r1, r2, rn, last = want.get(card, (Decimal(0), Decimal(0), Decimal(0), None))
+        amt = Decimal(a)
+        r1 += amt if tipo == "1" else 0
+        r2 += amt if tipo in ("2", "3") else 0
+        rn += amt if tipo in ("N", None) else 0
+        want[card] = (r1, r2, rn, fc if last is None or fc > last else last)
+    want = {k: (money(a), money(b), money(c), d) for k, (a, b, c, d) in want.items()}
+    assert got == want
