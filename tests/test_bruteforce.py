@@ -120,3 +120,31 @@ def test_hold_retentions_brute_force(spark, txs, holds):
         want[card] = (r1, r2, rn, fc if last is None or fc > last else last)
     want = {k: (money(a), money(b), money(c), d) for k, (a, b, c, d) in want.items()}
     assert got == want
+
+
+tx_adj = st.tuples(st.sampled_from([1, 1, 1, 2, 3, 4]), st.integers(-50, 80),
+                   st.sampled_from([PREV, D, N, ABSENT]), st.sampled_from(["0", "0", "1", None, ABSENT]))
+
+
+@SETTINGS
+@given(txs=st.lists(tx_adj, max_size=25))
+def test_next_day_movements_brute_force(spark, txs):
+    from daybook.plans.movements import next_day_movements
+    cta = [account(a, state, prod) for a, (state, prod) in ACCTS.items()]
+    trx_rows, cfv = [], []
+    for i, (a, amt, fc, adj) in enumerate(txs, start=1):
+        trx_rows.append(trx(i, a, amt))
+        if fc != ABSENT:
+            cfv.append(attr(f"trx-{i}", "fechcontab", fc))
+        if adj != ABSENT:
+            cfv.append(attr(f"trx-{i}", "adjust_state", adj))
+    led = make_ledger(spark, trx_rows=trx_rows, cta_rows=cta, cfv_rows=cfv)
+    got = {r.numcta: (r.amount, r.producto) for r in next_day_movements(led, P).collect()}
+    in_p = {a for a, (_, prod) in ACCTS.items() if prod == "prd-0"}       # any state
+    moved = {t[0] for t in txs if t[2] == D and t[0] in in_p}
+    want = {}
+    for a in in_p - moved:
+        amts = [Decimal(t[1]) for t in txs if t[0] == a and t[2] == N and t[3] == "0"]
+        if amts:
+            want[f"{a:014d}"] = (money(sum(amts)), "P0")
+    assert got == want
