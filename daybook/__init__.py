@@ -16,6 +16,7 @@ Layout:
     plans/      composite queries (snapshot, movements, reconcile, extract)
     sinks/      CSV / delimited / text writers
     streaming/  (empty: the reference has no streaming work)
+    __main__    command line for the daily run (python -m daybook ...)
 """
 
 from daybook.params import AttributeKeys, RunParams, Ledger  # noqa: F401
