@@ -148,3 +148,43 @@ def test_next_day_movements_brute_force(spark, txs):
         if amts:
             want[f"{a:014d}"] = (money(sum(amts)), "P0")
     assert got == want
+
+
+acct = st.tuples(st.sampled_from(["ACTIVE", "LOCKED", "CLOSED"]), st.sampled_from(["prd-0", "prd-1"]),
+                 st.sampled_from(["today", "before", None]), st.sampled_from(["99", "01", ABSENT]),
+                 st.sampled_from(["0", "1", ABSENT]), st.integers(1, 3))
+
+
+@SETTINGS
+@given(accts=st.lists(acct, min_size=1, max_size=6))
+def test_snapshot_case_filter_brute_force(spark, accts):
+    import datetime as dt
+    from daybook.plans.snapshot import snapshot_case_filter
+    lock = {"today": dt.datetime(2024, 1, 22, 9), "before": dt.datetime(2023, 12, 1, 9), None: None}
+    cta, trx_rows, cfv, want = [], [], [], set()
+    i = 0
+    for n, (state, prod, locked, blq, adj, k) in enumerate(accts, start=1):
+        cta.append(account(n, state, prod, locked=lock[locked]))
+        if blq != ABSENT:
+            cfv.append(attr(f"cta-{n}", "codblq", blq))
+        for _ in range(k):
+            i += 1
+            trx_rows.append(trx(i, n, 10))
+            cfv.append(attr(f"trx-{i}", "fechcontab", D))
+        if adj != ABSENT:
+            cfv.append(attr(f"trx-{i}", "adjust_state", adj))       # on the latest transaction
+        opn = state in ("ACTIVE", "LOCKED")
+        if locked == "today":
+            ok = prod == "prd-0" and opn and adj == "0"
+        else:
+            # NOT (codblq = '99' AND LOCKED) under three-valued logic
+            if blq == ABSENT:
+                inner = False if state != "LOCKED" else None
+            else:
+                inner = blq == "99" and state == "LOCKED"
+            ok = opn and inner is not None and not inner
+        if ok:
+            want.add((f"{n:014d}", i))
+    led = make_ledger(spark, trx_rows=trx_rows, cta_rows=cta, cfv_rows=cfv)
+    got = {(r.numcta2, r.id_trx) for r in snapshot_case_filter(led, P).collect()}
+    assert got == want
