@@ -188,3 +188,24 @@ def test_snapshot_case_filter_brute_force(spark, accts):
     led = make_ledger(spark, trx_rows=trx_rows, cta_rows=cta, cfv_rows=cfv)
     got = {(r.numcta2, r.id_trx) for r in snapshot_case_filter(led, P).collect()}
     assert got == want
+
+
+@SETTINGS
+@given(accts=st.lists(acct, min_size=1, max_size=6), dates=st.lists(st.sampled_from([PREV, D, N]), max_size=18))
+def test_max_id_unblocked_brute_force(spark, accts, dates):
+    from daybook.operators.ledger import max_id_unblocked
+    cta, trx_rows, cfv, best = [], [], [], None
+    for n, (state, prod, _, blq, _, _) in enumerate(accts, start=1):
+        cta.append(account(n, state, prod))
+        if blq != ABSENT:
+            cfv.append(attr(f"cta-{n}", "codblq", blq))
+    for i, fc in enumerate(dates, start=1):
+        n = (i % len(accts)) + 1
+        trx_rows.append(trx(i, n, 1))
+        cfv.append(attr(f"trx-{i}", "fechcontab", fc))
+        state, prod, _, blq, _, _ = accts[n - 1]
+        # product P0, block code present (inner lookup), NOT (99 AND LOCKED)
+        if fc == D and prod == "prd-0" and blq != ABSENT and not (blq == "99" and state == "LOCKED"):
+            best = i if best is None else max(best, i)
+    led = make_ledger(spark, trx_rows=trx_rows, cta_rows=cta, cfv_rows=cfv)
+    assert max_id_unblocked(led, D, P.products).collect()[0][0] == best
