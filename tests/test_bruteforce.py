@@ -209,3 +209,37 @@ def test_max_id_unblocked_brute_force(spark, accts, dates):
             best = i if best is None else max(best, i)
     led = make_ledger(spark, trx_rows=trx_rows, cta_rows=cta, cfv_rows=cfv)
     assert max_id_unblocked(led, D, P.products).collect()[0][0] == best
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(1, 6), st.integers(-20, 50)), max_size=20))
+def test_ledger_chains_brute_force(spark, rows):
+    """Accounts 1–4 exist (4 with a missing product, 3 without a client);
+    transactions of accounts 5–6 have no account."""
+    from daybook.plans.chains import ledger_chain
+    accts = {1: ("ACTIVE", "prd-0"), 2: ("LOCKED", "prd-1"), 3: ("ACTIVE", "prd-0"), 4: ("CLOSED", "prd-9")}
+    cta = [account(a, s, p) for a, (s, p) in accts.items()]
+    cli = [(f"cli-{a}",) for a in (1, 2, 4)]
+    led = make_ledger(spark, cta_rows=cta, cli_rows=cli,
+                      trx_rows=[trx(i, a, amt) for i, (a, amt) in enumerate(rows, start=1)])
+    prods = {"prd-0": "P0", "prd-1": "P1"}
+
+    def expect(inner):
+        out = {}
+        for a, amt in rows:
+            if a in accts:
+                state, pk = accts[a]
+                prod = prods.get(pk)
+                if inner and (prod is None or a == 3):
+                    continue
+            elif inner:
+                continue
+            else:
+                state, prod = None, None
+            n, s = out.get((prod, state), (0, Decimal(0)))
+            out[(prod, state)] = (n + 1, s + Decimal(amt))
+        return {k: (n, Decimal(s).quantize(Decimal("0.01"))) for k, (n, s) in out.items()}
+
+    for inner in (True, False):
+        got = {(r.producto, r.estado): (r.n_trx, r.total_amount) for r in ledger_chain(led, inner).collect()}
+        assert got == expect(inner)
