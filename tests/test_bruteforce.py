@@ -243,3 +243,25 @@ def test_ledger_chains_brute_force(spark, rows):
     for inner in (True, False):
         got = {(r.producto, r.estado): (r.n_trx, r.total_amount) for r in ledger_chain(led, inner).collect()}
         assert got == expect(inner)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(-20, 50), st.sampled_from(["web", "atm", "zzz", ABSENT])), max_size=20))
+def test_trx_channel_brute_force(spark, rows):
+    """Details rows may be missing, or name a channel that does not exist:
+    both land in the NULL channel, as the SQL's left joins put them."""
+    from daybook.plans.chains import trx_channel
+    led = make_ledger(spark, cta_rows=[account(1)],
+                      trx_rows=[trx(i, 1, amt) for i, (amt, _) in enumerate(rows, start=1)])
+    led.trxdet = spark.createDataFrame([(f"det-{i}", f"ch-{ch}") for i, (_, ch) in enumerate(rows, start=1)
+                                        if ch != ABSENT], "encodedkey string, transactionchannelkey string")
+    led.trxch = spark.createDataFrame([("WEB", "ch-web"), ("ATM", "ch-atm")], "id string, encodedkey string")
+    names = {"web": "WEB", "atm": "ATM"}
+    want = {}
+    for amt, ch in rows:
+        k = names.get(ch)
+        n, s = want.get(k, (0, Decimal(0)))
+        want[k] = (n + 1, s + Decimal(amt))
+    want = {k: (n, s.quantize(Decimal("0.01"))) for k, (n, s) in want.items()}
+    got = {r.channel: (r.n_trx, r.total_amount) for r in trx_channel(led).collect()}
+    assert got == want
