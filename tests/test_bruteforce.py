@@ -265,3 +265,31 @@ def test_trx_channel_brute_force(spark, rows):
     want = {k: (n, s.quantize(Decimal("0.01"))) for k, (n, s) in want.items()}
     got = {r.channel: (r.n_trx, r.total_amount) for r in trx_channel(led).collect()}
     assert got == want
+
+
+@SETTINGS
+@given(txs=st.lists(tx_adj, max_size=25))
+def test_movements_in_id_range_brute_force(spark, txs):
+    from daybook.plans.movements import movements_in_id_range
+    cta = [account(a, state, prod) for a, (state, prod) in ACCTS.items()]
+    trx_rows, cfv = [], []
+    for i, (a, amt, fc, adj) in enumerate(txs, start=1):
+        trx_rows.append(trx(i, a, amt))
+        if fc != ABSENT:
+            cfv.append(attr(f"trx-{i}", "fechcontab", fc))
+        if adj != ABSENT:
+            cfv.append(attr(f"trx-{i}", "adjust_state", adj))
+    led = make_ledger(spark, trx_rows=trx_rows, cta_rows=cta, cfv_rows=cfv)
+    got = {r.numcta: (r.amount, r.producto) for r in movements_in_id_range(led, P).collect()}
+    d_ids = [i for i, t in enumerate(txs, start=1) if t[2] == D]          # bounds over all accounts
+    want = {}
+    if d_ids:
+        lo, hi = min(d_ids), max(d_ids)
+        in_p = {a for a, (_, prod) in ACCTS.items() if prod == "prd-0"}
+        moved = {t[0] for i, t in enumerate(txs, start=1) if t[2] == D and t[0] in in_p and lo <= i <= hi}
+        for a in in_p - moved:
+            amts = [Decimal(t[1]) for i, t in enumerate(txs, start=1)
+                    if t[0] == a and t[2] == N and t[3] == "0" and lo <= i <= hi]
+            if amts:
+                want[f"{a:014d}"] = (money(sum(amts)), "P0")
+    assert got == want
