@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import id_key, save, slices
+from daybook.llm.common import id_key, map_arrow, save, slices
 from daybook.llm.words import split_words, text_buffer
 
 _FOLD = np.zeros(256, np.uint8)
@@ -212,7 +212,7 @@ def _features(docs: DataFrame) -> Rows:
                 out[f"{name}_dense"] = pa.array([x.tobytes() for x in f.dense], pa.binary())
             yield pa.RecordBatch.from_pydict(out)
 
-    got = docs.mapInArrow(run, "doc_id long, rk long, t_ids binary, t_dense binary, m_ids binary, m_dense binary").collect()
+    got = map_arrow(docs, run, "doc_id long, rk long, t_ids binary, t_dense binary, m_ids binary, m_dense binary").collect()
     got.sort(key=lambda r: (r.doc_id, r.rk))
     two = [[(np.frombuffer(r[a], np.uint32), np.frombuffer(r[b])) for r in got]
            for a, b in (("t_ids", "t_dense"), ("m_ids", "m_dense"))]
@@ -229,7 +229,7 @@ def _scored(rows: DataFrame, text: View, meta: View, blend: np.ndarray) -> DataF
             prob = [1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (t, m, both)]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "rk": b.column("rk"), "p_text": prob[0], "p_meta": prob[1], "p_bad": prob[2]})
 
-    return rows.mapInArrow(run, "doc_id long, rk long, p_text double, p_meta double, p_bad double")
+    return map_arrow(rows, run, "doc_id long, rk long, p_text double, p_meta double, p_bad double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample: int = 10000, exchange: int = 400,
