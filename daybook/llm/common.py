@@ -109,7 +109,7 @@ def scan_bytes(df: DataFrame) -> int:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about ``limit`` bytes of text (one text
-    at least), which bounds what numpy makes of it."""
+    at least, 4096 at most), which bounds what numpy makes of it."""
     for batch in batches:
         n, col = batch.num_rows, batch.column(batch.schema.get_field_index(text))
         if n == 0:
@@ -119,6 +119,6 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
         at = 0
         while at < n:
             to = int(np.searchsorted(off, off[at] + limit, "right")) - 1
-            to = min(n, max(at + 1, to))
+            to = min(n, at + 4096, max(at + 1, to))
             yield batch.slice(at, to - at)
             at = to

@@ -31,14 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import id_key, map_arrow, save, slices
-from daybook.llm.words import split_words, text_buffer
-
-_FOLD = np.zeros(256, np.uint8)
-_FOLD[128:] = np.arange(128, 256)
-for _c in range(48, 58):
-    _FOLD[_c] = _c
-for _c in range(97, 123):
-    _FOLD[_c] = _FOLD[_c - 32] = _c
+from daybook.llm.words import FOLD, split_words, text_buffer
+
 _CLASSES = [[*range(65, 91)], [*range(97, 123)], [*range(48, 58)], [0x21], [0x7C], [ord(c) for c in "#$%&*@^~<>=+_\\/"],
             [ord(c) for c in ".,;:?"]]
 
@@ -72,7 +66,7 @@ def text_view(batch: pa.RecordBatch, wanted: np.ndarray | None = None) -> Featur
     character classes and of repeated words.  ``wanted``: sorted ids to which words are limited."""
     texts = batch.column("text")
     buf, off = text_buffer(texts)
-    w = split_words(texts, _FOLD)
+    w = split_words(texts, FOLD)
     n, h = len(texts), w.hashes()
     doc = w.doc()
     size = np.maximum(np.diff(off), 1)
@@ -219,30 +213,42 @@ def _features(docs: DataFrame) -> Rows:
     return Rows(np.array([(r.doc_id, r.rk) for r in got], np.int64).reshape(-1, 2), *two)
 
 
-def _scored(rows: DataFrame, text: View, meta: View, blend: np.ndarray) -> DataFrame:
-    """Every document with the calibrated chance of being bad: by text, by
-    metadata, by both."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            t, m = text.logit(text_view(b, text.wanted)), meta.logit(meta_view(b))
-            both = blend[0] * t + blend[1] * m + blend[2]
-            prob = [1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (t, m, both)]
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "rk": b.column("rk"), "p_text": prob[0], "p_meta": prob[1], "p_bad": prob[2]})
+@dataclass
+class Model:
+    """Both views and the weights of their calibrated logits."""
 
-    return map_arrow(rows, run, "doc_id long, rk long, p_text double, p_meta double, p_bad double")
+    text: View
+    meta: View
+    blend: np.ndarray
 
+    def chances(self, batch: pa.RecordBatch) -> list[np.ndarray]:
+        """The chance of being bad: by text, by metadata, by both."""
+        t, m = self.text.logit(text_view(batch, self.text.wanted)), self.meta.logit(meta_view(batch))
+        both = self.blend[0] * t + self.blend[1] * m + self.blend[2]
+        return [1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (t, m, both)]
 
-def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample: int = 10000, exchange: int = 400,
-             sure: float = 0.97, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, rk, p_text, p_meta, score, keep) of every document.
 
-    ``score`` is the combined chance that the document is good; ``keep`` is
-    whether it reaches 1 - ``threshold``.  ``rk`` is the hash of its text.
-    """
-    rows = docs.select(
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(
         id_key().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.col("source").cast("string"), F.col("lang").cast("string"), F.col("n_chars").cast("long")
+        F.col("source").cast("string"), F.col("lang").cast("string"), F.col("n_chars").cast("long"),
     ).withColumn("rk", F.xxhash64("text"))
+
+
+def _scored(rows: DataFrame, model: Model) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            t, m, both = model.chances(b)
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "rk": b.column("rk"),
+                                              "p_text": t, "p_meta": m, "p_bad": both})
+
+    return map_arrow(rows, run, "doc_id long, rk long, p_text double, p_meta double, p_bad double")
+
+
+def co_train(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample: int = 10000, exchange: int = 400,
+             sure: float = 0.97) -> Model | None:
+    """The model; None when the labels lack a class."""
+    rows = _rows(docs)
     told = labels.filter("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.when((F.col("quality") == 0) | (F.col("toxic") > 0), 1.0)
@@ -250,10 +256,8 @@ def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample:
     told = told.filter("bad is not null").groupBy("doc_id").agg(F.max("bad").alias("bad"))
     sample = told.orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(label_sample).collect()
     bad_of = {r.doc_id: r.bad for r in sample}
-    nothing = rows.select("doc_id", "rk", *(F.lit(None).cast("double").alias(c) for c in ("p_text", "p_meta", "score")),
-                          F.lit(True).alias("keep"))
     if len(set(bad_of.values())) < 2:
-        return nothing
+        return None
     spark = docs.sparkSession
 
     def features_of(keys: list[tuple], cols: str, on: list[str]) -> Rows:
@@ -263,14 +267,11 @@ def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample:
     base = features_of([(k,) for k in bad_of], "doc_id long", ["doc_id"])
     bad = np.array([bad_of[k] for k in base.key[:, 0]])
     held = np.array([hashlib.blake2b(str(k).encode(), digest_size=1).digest()[0] % 4 == 0 for k in base.key[:, 0]], bool)
-    if len(set(bad[~held])) < 2 or len(set(bad[held])) < 2:
+    if len(set(bad[~held])) < 2 or len(set(bad[held])) < 2:  # too few labels to hold some out
         held = np.zeros(len(bad), bool)
-        calibrate = np.arange(len(bad))
-    else:
-        calibrate = np.flatnonzero(held)
-    fit_on = np.flatnonzero(~held)
-    if len(set(bad[fit_on])) < 2:
-        return nothing
+    if len(set(bad)) < 2:
+        return None
+    fit_on, calibrate = np.flatnonzero(~held), np.flatnonzero(held) if held.any() else np.arange(len(bad))
     extra: dict[str, list[tuple[Rows, np.ndarray]]] = {"text": [], "meta": []}
 
     def train(name: str, view: View) -> View:
@@ -279,29 +280,51 @@ def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample:
             sets.append((got.view(name, np.arange(len(y))), y, np.full(len(y), 0.5)))
         ptr = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.concatenate([np.diff(s[0].ptr) for s in sets]))])
         f = Features(ptr, np.concatenate([s[0].ids for s in sets]), np.concatenate([s[0].dense for s in sets]))
-        view = replace(view, slope=1.0, shift=0.0).fit(f, np.concatenate([s[1] for s in sets]), np.concatenate([s[2] for s in sets]))
-        raw = view.raw(base.view(name, calibrate))
-        a, b = _logistic(raw[:, None], bad[calibrate])
+        view = replace(view, slope=1.0, shift=0.0).fit(f, *(np.concatenate([s[i] for s in sets]) for i in (1, 2)))
+        a, b = _logistic(view.raw(base.view(name, calibrate))[:, None], bad[calibrate])
         return replace(view, slope=float(a), shift=float(b))
 
     text, meta = View(text_view), View(meta_view, words=300)
-    taken = spark.createDataFrame([(k,) for k in bad_of], "doc_id long")
     for turn in range(rounds + 1):
         text, meta = train("text", text), train("meta", meta)
         if turn == rounds:
             break
-        scored = save(_scored(rows, text, meta, np.array([1.0, 0.0, 0.0])), "quality-round")
-        free = scored.join(F.broadcast(taken), "doc_id", "left_anti")
+        scored = save(_scored(rows, Model(text, meta, np.array([1.0, 0.0, 0.0]))), "quality-round")
+        free = scored.join(F.broadcast(spark.createDataFrame([(k,) for k in bad_of], "doc_id long")), "doc_id", "left_anti")
         for col, other in (("p_text", "meta"), ("p_meta", "text")):
             for y, surest in ((1.0, F.col(col)), (0.0, 1 - F.col(col))):
                 order = [surest.desc(), F.xxhash64("doc_id", F.lit(turn)), "doc_id", "rk"]
-                pick = [(r.doc_id, r.rk) for r in free.filter(surest >= sure).orderBy(*order).limit(exchange).collect()]
+                pick = {(r.doc_id, r.rk) for r in free.filter(surest >= sure).orderBy(*order).limit(exchange).collect()}
                 if pick:
-                    got = features_of(list(set(pick)), "doc_id long, rk long", ["doc_id", "rk"])
+                    got = features_of(sorted(pick), "doc_id long, rk long", ["doc_id", "rk"])
                     extra[other].append((got, np.full(len(got.key), y)))
-    t = text.logit(base.view("text", calibrate))
-    m = meta.logit(base.view("meta", calibrate))
-    blend = _logistic(np.stack([t, m], 1), bad[calibrate])
-    out = _scored(rows, text, meta, blend)
-    return out.select("doc_id", "rk", "p_text", "p_meta", (1 - F.col("p_bad")).alias("score"),
-                      (F.col("p_bad") < F.lit(threshold)).alias("keep"))
+    t, m = text.logit(base.view("text", calibrate)), meta.logit(base.view("meta", calibrate))
+    return Model(text, meta, _logistic(np.stack([t, m], 1), bad[calibrate]))
+
+
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **fit) -> DataFrame:
+    """(doc_id, rk, p_text, p_meta, score, keep) of every document.
+
+    ``score`` is the combined chance that the document is good; a document
+    whose chance of being bad reaches ``threshold`` is not kept.  ``rk`` is the
+    hash of its text; ``fit`` goes to ``co_train``.
+    """
+    model = co_train(docs, labels, **fit)
+    if model is None:
+        return _rows(docs).select("doc_id", "rk", *(F.lit(None).cast("double").alias(c) for c in ("p_text", "p_meta", "score")),
+                                  F.lit(True).alias("keep"))
+    return _scored(_rows(docs), model).select(
+        "doc_id", "rk", "p_text", "p_meta", (1 - F.col("p_bad")).alias("score"), (F.col("p_bad") < threshold).alias("keep"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **fit) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns; no shuffle of the texts."""
+    model = co_train(docs, labels, **fit)
+    if model is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            yield b.filter(pa.array(model.chances(b)[2] < threshold))
+
+    return map_arrow(docs, run, docs.schema)

@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its views' scores, the combined score and the verdict."""
     from daybook.llm.quality import classify
@@ -24,5 +30,33 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(real_id().alias("doc_id"), "p_text", "p_meta", "score", "keep")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from the written files."""
+    from daybook.llm.tokens import token_files
+
+    return token_files(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its near copies."""
+    from daybook.llm.minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its size and the words that the mix takes of it."""
+    from daybook.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain items of the benchmark, with the share covered."""
+    from daybook.llm.tiling import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality,)}
+    return {f.__name__: f for f in (op1_quality, op4_token_files, op5_minhash, op6_mix, op7_tiling)}

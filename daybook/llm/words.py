@@ -14,6 +14,12 @@ import pyarrow as pa
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Case and punctuation folded: ASCII letters to lower case, digits and bytes
+#: beyond ASCII kept, everything else parts words.
+FOLD = np.zeros(256, np.uint8)
+FOLD[128:] = np.arange(128, 256)
+FOLD[48:58] = np.arange(48, 58)
+FOLD[97:123] = FOLD[65:91] = np.arange(97, 123)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Two odd bases for hashes of word sequences.
 BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
