@@ -95,15 +95,14 @@ def real_id(col: str = "doc_id") -> Column:
     return F.when(F.col(col) == F.lit(LONG_MIN), F.lit(None).cast("long")).otherwise(F.col(col))
 
 
-def input_bytes(df: DataFrame) -> int:
-    """The planner's size of a table (file sizes of its scans)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
-def scan_bytes(df: DataFrame) -> int:
-    """Total size of the files a table is read from; the planner's size else."""
+def parts_for(df: DataFrame, part_bytes: int, least: int = 8) -> int:
+    """How many partitions of ``part_bytes`` of input files ``df`` is read from;
+    the session's shuffle partitions where the planner knows no size."""
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if size >= 1 << 60:  # the planner's stand-in for an unknown size
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, size // part_bytes)
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",

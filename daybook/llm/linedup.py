@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import delete, doc_rows, id_key, map_arrow, real_id, save, scan_bytes, scratch, slices
+from daybook.llm.common import delete, doc_rows, id_key, map_arrow, parts_for, real_id, save, scratch, slices
 
 _BLANK = b" \t\n\x0b\x0c\r"
 
@@ -83,8 +83,11 @@ class LineRuns:
         self.levels[level].append(name)
 
     def _merged(self, names: list[str]) -> DataFrame:
-        every = reduce(DataFrame.union, [self.spark.table(n) for n in names])
-        return every.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+        # read as plain files: Spark 4.1 takes a union of bucketed tables for bucketed and
+        # then leaves out the exchange that its groups need
+        every = [self.spark.read.schema("h1 long, h2 long, n long, top long").parquet(self.paths[n]) for n in names]
+        merged = reduce(DataFrame.union, every).groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+        return merged.repartition(self.buckets, "h1", "h2")
 
     def _drop(self, names: list[str]) -> None:
         for n in names:
@@ -102,7 +105,7 @@ class LineRuns:
         for level, names in enumerate(self.levels):
             if len(names) >= self.fanout:
                 old = list(names)
-                self._write(self._merged(old).repartition(self.buckets, "h1", "h2"), level + 1)
+                self._write(self._merged(old), level + 1)
                 names.clear()
                 self._drop(old)
 
@@ -127,7 +130,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bat
     # batch 0 has the largest ids
     batch = reduce(lambda a, b: a + b, [(F.col("doc_id") < int(c)).cast("int") for c in cuts], F.lit(0))
     keys = save(line_keys(rows, least_chars).withColumn("batch", batch), "line-keys", "batch")
-    runs = LineRuns(spark, max(8, scan_bytes(docs) // bucket_bytes), least_docs, fanout)
+    runs = LineRuns(spark, parts_for(docs, bucket_bytes), least_docs, fanout)
     for i in range(len(cuts) + 1):
         runs.add(keys.filter(F.col("batch") == i).drop("batch"))
     lost = keys.join(runs.frequent(), ["h1", "h2"]).filter("doc_id <> top").select("doc_id", "h1", "h2")

@@ -30,6 +30,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(real_id().alias("doc_id"), "p_text", "p_meta", "score", "keep")
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that start earlier elsewhere."""
+    from daybook.llm.substrings import remove_repeats
+
+    got = remove_repeats(_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from the written files."""
     from daybook.llm.tokens import token_files
@@ -58,5 +66,13 @@ def op7_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its often repeated long lines."""
+    from daybook.llm.linedup import dedup_lines
+
+    got = dedup_lines(_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op4_token_files, op5_minhash, op6_mix, op7_tiling)}
+    return {f.__name__: f for f in (op1_quality, op2_substrings, op4_token_files, op5_minhash, op6_mix, op7_tiling, op10_lines)}

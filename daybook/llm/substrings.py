@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import doc_rows, map_arrow, real_id, scan_bytes, slices
+from daybook.llm.common import doc_rows, map_arrow, parts_for, real_id, slices
 from daybook.llm.words import Words, mix, rolling, span_hashes, split_words
 
 _HEAD = 5  # numbers that go with a packed string: bucket, doc_id, rk, first word, bytes
@@ -120,6 +120,8 @@ class Packer:
         if len(gone):
             block = np.stack([ids[gone], rks[gone], start[gone], start[gone] + (r.hi - r.lo)[gone]], 1).astype("<i8")
             yield int(batch.num_rows) % self.parts, True, zstandard.compress(block.tobytes(), 1)
+        if not len(lead):
+            return
         hot = np.isin(_bucket(r.low[lead], self.hot_parts), self.hot)
         lo, hi, low = r.lo[lead], r.hi[lead], r.low[lead]
         ids, rks, start = ids[lead], rks[lead], start[lead]
@@ -216,7 +218,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, part_bytes: int = 8
     """(doc_id, n_words, n_removed, kept) of each row of ``docs``; ``kept`` are
     the words that stay, joined by one space."""
     rows = doc_rows(docs)
-    parts = int(max(8, scan_bytes(docs) // part_bytes))
+    parts = parts_for(docs, part_bytes)
     hot = _hot(rows, k, m, hot_windows, hot_parts)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
