@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -18,6 +20,7 @@ from daybook.session import new_output_path
 #: Words of a text: maximal runs of anything but these six ASCII characters.
 WORD = r"[^\x20\x09-\x0D]+"
 LONG_MIN = -(1 << 63)
+BATCH_ROWS = 1000
 
 _saved: dict[int, tuple[SparkSession, set[str]]] = {}
 
@@ -62,7 +65,21 @@ _shipped: set[str] = set()
 
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package sent to the executors first (once per
-    application), so that they need no installation of it."""
+    application), so that they need no installation of it.
+
+    Memory: batches hold ``BATCH_ROWS`` rows unless the session says otherwise,
+    and a worker gives back what it has freed when a task ends.
+    """
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # Spark's default
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library can
+            ctypes.CDLL(None).malloc_trim(0)
+
     sc = df.sparkSession.sparkContext
     if sc.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -75,7 +92,7 @@ def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
                         z.write(full, os.path.relpath(full, os.path.dirname(package)))
         sc.addPyFile(path)
         _shipped.add(sc.applicationId)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy, schema)
 
 
 def id_key(col: str = "doc_id") -> Column:

@@ -169,7 +169,7 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, least: float = 0.8, bands: int = 26, width: int = 5,
-                    few: float = 2.0, rounds: int = 8) -> DataFrame:
+                    few: float = 20.0, rounds: int = 4) -> DataFrame:
     """(doc_id, class_id) of each document with an id; ``class_id`` is the
     smallest doc_id of its class of linked documents.
 

@@ -38,6 +38,17 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: Fixed rules of the URL filter: (verdict, host, path).
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, fixed rule and verdict."""
+    from daybook.llm.urlrules import judge
+
+    return judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), URL_RULES)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from the written files."""
     from daybook.llm.tokens import token_files
@@ -66,6 +77,20 @@ def op7_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence notice found in the documents."""
+    from daybook.llm.licences import licences
+
+    return licences(_table(spark, sf_dir, "documents"))
+
+
+def op9_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links and the component that they make."""
+    from daybook.llm.pivots import linked
+
+    return linked(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its often repeated long lines."""
     from daybook.llm.linedup import dedup_lines
@@ -75,4 +100,6 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_substrings, op4_token_files, op5_minhash, op6_mix, op7_tiling, op10_lines)}
+    return {f.__name__: f for f in (
+        op1_quality, op2_substrings, op3_url_rules, op4_token_files, op5_minhash, op6_mix, op7_tiling, op8_licences,
+        op9_pivots, op10_lines)}
