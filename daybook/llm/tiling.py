@@ -73,14 +73,14 @@ def tiles(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int]
     free_a, free_b, out = np.ones(len(a), bool), np.ones(len(b), bool), []
     size = max(least, min(len(a), len(b)))
     while True:
-        marked = 0
-        for n, i, j in sorted(_matches(a, b, free_a, free_b, size), key=lambda m: (-m[0], m[1], m[2])):
-            if free_a[i:i + n].all() and free_b[j:j + n].all():
-                free_a[i:i + n] = free_b[j:j + n] = False
-                out.append((n, i, j))
-                marked += 1
-        if marked:
-            continue  # what a longer tile has cut may still be long
+        found = _matches(a, b, free_a, free_b, size)
+        if found:
+            longest = max(m[0] for m in found)
+            for n, i, j in sorted(m for m in found if m[0] == longest):
+                if free_a[i:i + n].all() and free_b[j:j + n].all():
+                    free_a[i:i + n] = free_b[j:j + n] = False
+                    out.append((n, i, j))
+            continue  # what is left of a match cut by a tile may still be the longest
         if size == least:
             return out
         size = max(least, size // 2)
