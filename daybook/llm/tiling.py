@@ -38,11 +38,10 @@ def _free_runs(free: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(total[size:] - total[:-size] == size) if len(free) >= size else np.zeros(0, np.int64)
 
 
-def _length(a: np.ndarray, b: np.ndarray) -> int:
-    """How many leading values are equal."""
-    n = min(len(a), len(b))
-    off = np.flatnonzero(a[:n] != b[:n])
-    return int(off[0]) if len(off) else n
+def _length(same: np.ndarray) -> int:
+    """How many leading values are true."""
+    off = np.flatnonzero(~same)
+    return int(off[0]) if len(off) else len(same)
 
 
 def _matches(a: np.ndarray, b: np.ndarray, free_a: np.ndarray, free_b: np.ndarray, size: int) -> list[tuple[int, int, int]]:
@@ -62,7 +61,8 @@ def _matches(a: np.ndarray, b: np.ndarray, free_a: np.ndarray, free_b: np.ndarra
         for i in at_a[lo[q]:hi[q]].tolist():
             if i and j and free_a[i - 1] and free_b[j - 1] and a[i - 1] == b[j - 1]:
                 continue
-            n = _length(np.where(free_a[i:], a[i:], 0), np.where(free_b[j:j + len(a) - i], b[j:j + len(a) - i], 1))
+            most = min(len(a) - i, len(b) - j)
+            n = _length((a[i:i + most] == b[j:j + most]) & free_a[i:i + most] & free_b[j:j + most])
             if n >= size:
                 found.append((n, i, j))
     return found

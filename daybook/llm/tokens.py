@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,13 +98,15 @@ def encoder(path: str, dtype: str) -> Encoder:
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, dtype: str) -> DataFrame:
-    """(doc_id, rk, n_tokens, ids): each document's ids with the end id, packed."""
+    """(doc_id, rk, ids, n_tokens): each document's ids with the end id, compressed
+    for the way to its shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer, dtype), np.array([end_id], dtype).tobytes()
+        pack = zstandard.ZstdCompressor(3).compress
         for b in slices(batches):
             ids = [enc.encode(t) + end for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "rk": b.column("rk"), "ids": pa.array(ids, pa.binary()),
+                "doc_id": b.column("doc_id"), "rk": b.column("rk"), "ids": pa.array([pack(x) for x in ids], pa.binary()),
                 "n_tokens": pa.array([len(x) // np.dtype(dtype).itemsize for x in ids], pa.int64())})
 
     return map_arrow(doc_rows(docs), run, "doc_id long, rk long, ids binary, n_tokens long")
@@ -141,15 +144,14 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, v
         shard = TaskContext.get().partitionId()
         store, root = _store(folder)
         doc_ids, sizes = [], []
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def blobs():
             for b in batches:
                 doc_ids.append(b.column("doc_id").to_numpy(zero_copy_only=False).astype("<i8"))
                 sizes.append(b.column("n_tokens").to_numpy(zero_copy_only=False).astype("<i8"))
-                col = b.column("ids")
-                off = np.frombuffer(col.buffers()[1], "<i4")[col.offset:col.offset + len(col) + 1]
-                if off[-1] > off[0]:
-                    yield col.buffers()[2].slice(int(off[0]), int(off[-1] - off[0]))
+                for x in b.column("ids").to_pylist():
+                    yield unpack(x)
 
         store.create_dir(root, recursive=True)
         name = f"ids-{shard:05d}"
