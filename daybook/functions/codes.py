@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from daybook.functions.text import blanks, rpad_blank
+from daybook.functions.text import blanks, fit_right
 
 
 def _c(x) -> Column:
@@ -21,7 +21,7 @@ def state_code(state, width: int = 10) -> Column:
     s = _c(state)
     expr = None
     for name, code in STATE_CODES:
-        v = rpad_blank(F.lit(code), width)
+        v = fit_right(F.lit(code), width)
         expr = F.when(s == name, v) if expr is None else expr.when(s == name, v)
     return expr.otherwise(blanks(width))
 

@@ -1,7 +1,9 @@
 """Padding and text helpers for fixed-width and delimited records.
 
-``lpad`` / ``rpad`` follow Spark (and SQL): a longer input is cut to the
-width, a NULL input stays NULL.
+No helper shortens a value.  In a fixed-width field a longer value stops the
+run with the field's width and the value's length (``fit_left``,
+``fit_right``); where a longer text does no harm (delimited lines, counts) it
+is written in full (``pad_left``).  A NULL input stays NULL.
 """
 
 from __future__ import annotations
@@ -14,14 +16,26 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def zpad(x, width: int) -> Column:
-    """Left-pad with '0' (``Z(x, n)``)."""
-    return F.lpad(_c(x).cast("string"), width, "0")
+def pad_left(x, width: int, fill: str = "0") -> Column:
+    """Filled up on the left to ``width``; a longer text stays whole."""
+    x = _c(x).cast("string")
+    return F.when(F.length(x) >= width, x).otherwise(F.lpad(x, width, fill))
 
 
-def rpad_blank(x, width: int) -> Column:
-    """Right-pad with blanks (``R(x, n)``)."""
-    return F.rpad(_c(x).cast("string"), width, " ")
+def _fitting(x: Column, width: int) -> Column:
+    x = x.cast("string")
+    told = F.concat(F.lit(f"a value does not fit its field of {width} characters; it has "), F.length(x).cast("string"))
+    return F.when(F.length(x) > width, F.raise_error(told)).otherwise(x)
+
+
+def fit_left(x, width: int, fill: str = "0") -> Column:
+    """A field of ``width`` filled up on the left; a longer value is an error."""
+    return F.lpad(_fitting(_c(x), width), width, fill)
+
+
+def fit_right(x, width: int) -> Column:
+    """A field of ``width`` filled up with blanks on the right; a longer value is an error."""
+    return F.rpad(_fitting(_c(x), width), width, " ")
 
 
 def blanks(width: int) -> Column:
@@ -31,13 +45,15 @@ def blanks(width: int) -> Column:
 
 def zeros_text(text: str, width: int) -> Column:
     """A constant text left-padded with '0' (``Z('0.00', 20)``)."""
-    return F.lit(text.rjust(width, "0")[-width:] if len(text) <= width else text[:width])
+    if len(text) > width:
+        raise ValueError(f"{text!r} does not fit {width} characters")
+    return F.lit(text.rjust(width, "0"))
 
 
 def blank_if_null(x, width: int, expr: Column | None = None) -> Column:
-    """``when(x is null, B(n)).otherwise(R(expr or x, n))``."""
+    """Blanks for NULL, else the (checked) field of ``expr`` or ``x``."""
     x = _c(x)
-    return F.when(x.isNull(), blanks(width)).otherwise(rpad_blank(expr if expr is not None else x, width))
+    return F.when(x.isNull(), blanks(width)).otherwise(fit_right(expr if expr is not None else x, width))
 
 
 def join_fields(sep: str, *cols) -> Column:

@@ -30,9 +30,3 @@ def not_in(left: DataFrame, left_col: str, right: DataFrame, right_col: str) ->
     keys = sub.filter(F.col("__v").isNotNull())
     kept = left.join(keys, left[left_col] == keys["__v"], "left_anti")
     return kept.filter((n_rows == 0) | ((n_null == 0) & F.col(left_col).isNotNull()))
-
-
-def not_in_non_null(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
-    """``NOT IN`` when both key columns are known to hold no NULL: an anti join."""
-    keys = right.select(F.col(right_col).alias("__v"))
-    return left.join(keys, left[left_col] == keys["__v"], "left_anti")

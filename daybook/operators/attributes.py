@@ -96,6 +96,22 @@ def attach_attributes(entities: DataFrame, entity_key: str, cfv: DataFrame,
     return entities.join(piv, entities[entity_key] == piv["__parentkey"], how).drop("__parentkey")
 
 
+def attach_by_join(entities: DataFrame, unique: str, entity_key: str, cfv: DataFrame,
+                   names: Mapping[str, str]) -> DataFrame:
+    """``attach_attributes`` for few entities with a ``unique`` column: their
+    attribute rows are joined first and folded per entity afterwards, so
+    ``entities`` is computed once and the attribute table is never grouped as a
+    whole.  Repeated rows fold by ``max``, as in the pivot."""
+    rows = rows_for_keys(cfv, list(names.values()))
+    j = entities.join(rows, entities[entity_key] == rows["parentkey"], "left")
+    rest = [c for c in entities.columns if c != unique]
+    k = F.col("customfieldkey")
+    return (j.groupBy(unique)
+            .agg(F.any_value(F.struct(*rest)).alias("__e"),
+                 *[F.max(F.when(k == key, F.col("value"))).alias(name) for name, key in names.items()])
+            .select(unique, "__e.*", *names))
+
+
 def attribute_fanout(entities: DataFrame, entity_key: str, cfv: DataFrame,
                      lookups: int = 2) -> DataFrame:
     """Rows that ``lookups`` unkeyed left joins (``ON x.parentkey = key``

@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from daybook.functions.codes import reference_number
 from daybook.operators.attributes import attach_attributes
+from daybook.operators.ledger import money
 from daybook.params import RETENTION_1DAY, RETENTION_2DAYS, RETENTION_NDAYS, Ledger
 
-MONEY = "decimal(18,2)"
-
 
 def holds_to_transactions(led: Ledger, state: str | None = None) -> DataFrame:
     """Holds joined to the transaction their reference names (equi join on
@@ -40,11 +39,12 @@ def hold_retentions(led: Ledger, run_date: str) -> DataFrame:
     j = attach_attributes(j, "trx_key", led.cfv, {"__tipo": k.tiporetencion, "__fc": k.fechcontab},
                           required=("__tipo", "__fc"), restrict=True)
     j = j.filter(F.try_to_date(F.col("__fc")) <= F.lit(run_date).cast("date"))
-    zero = F.lit(0).cast(MONEY)
+    kind = money(led.ahold)
+    zero = F.lit(0).cast(kind)
     tipo = F.col("__tipo")
 
     def bucket(cond):
-        return F.sum(F.when(cond, F.col("amount")).otherwise(zero)).cast(MONEY)
+        return F.sum(F.when(cond, F.col("amount")).otherwise(zero)).cast(kind)
 
     return j.groupBy(F.col("cardreferencetoken").alias("nro_cta")).agg(
         bucket(tipo.isin(list(RETENTION_1DAY))).alias("retencion_1dia"),

@@ -26,14 +26,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.params import (BLOCK_CODE_EXCLUDED, RETENTION_1DAY, RETENTION_2DAYS,
                             RETENTION_NDAYS, Ledger)
 from daybook.operators.anti import not_in
 from daybook.operators.attributes import lookup_join
 
-MONEY = "decimal(18,2)"
-WIDE_MONEY = "decimal(38,2)"
+
+def money(df: DataFrame, col: str = "amount") -> str:
+    """The type of sums of ``df[col]``: its own scale, all digits Spark has."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.DecimalType):
+        return f"decimal(38,{kind.scale})"
+    return "double" if isinstance(kind, (T.DoubleType, T.FloatType)) else "decimal(38,0)"
+
 
 ACCOUNT_COLS = ["numcta", "account_key", "accountstate", "producttypekey", "blockedbalance",
                 "lockeddate", "closeddate", "accountholderkey", "activationdate", "holdbalance"]
@@ -192,23 +199,6 @@ def max_id_unblocked(led: Ledger, date: str, products: Sequence[str]) -> DataFra
 
 # --------------------------------------------------------------------------- latest transaction
 
-def latest_ids(led: Ledger, cutoff: Column | None = None,
-               acc: DataFrame | None = None) -> DataFrame:
-    """``(numcta, transactionid)``: highest id ``<= cutoff`` per account number.
-
-    Level 1: ``max(transactionid)`` per ``parentaccountkey`` on the
-    transactions alone — a hash aggregate with map-side partial aggregation,
-    so a hot account costs one row per map task and nothing is sorted.
-    Level 2: after joining the accounts, ``max`` per ``numcta``.
-    """
-    acc = accounts(led) if acc is None else acc
-    t = up_to(led.trx, cutoff)
-    lvl1 = t.groupBy("parentaccountkey").agg(F.max("transactionid").alias("__m"))
-    j = acc.select("numcta", "account_key").join(
-        lvl1, F.col("account_key") == F.col("parentaccountkey"), "inner")
-    return j.groupBy("numcta").agg(F.max("__m").alias("transactionid"))
-
-
 def latest_per_account(led: Ledger, cutoff: Column | None = None,
                        acc: DataFrame | None = None) -> DataFrame:
     """Last transaction (highest id, ``<= cutoff``) per account number.
@@ -269,7 +259,8 @@ def retention_buckets(led: Ledger, cutoff: Column | None = None,
     r = (led.cfv.filter(F.col("customfieldkey") == led.keys.tiporetencion)
          .select(F.col("parentkey").alias("__pk"), F.col("value").alias("__tipo")))
     j = t.join(r, t["encodedkey"] == r["__pk"], "inner")
-    zero = F.lit(0).cast(MONEY)
+    kind = money(led.trx)
+    zero = F.lit(0).cast(kind)
 
     def bucket(vals):
         return F.sum(F.when(F.col("__tipo").isin(list(vals)), F.col("amount")).otherwise(zero))
@@ -280,9 +271,9 @@ def retention_buckets(led: Ledger, cutoff: Column | None = None,
     j2 = acc.select("numcta", "account_key").join(
         lvl1, F.col("account_key") == F.col("parentaccountkey"), "inner")
     return j2.groupBy(F.col("numcta").alias("nro_cta")).agg(
-        F.sum("r1").cast(MONEY).alias("retencion_1dia"),
-        F.sum("r2").cast(MONEY).alias("retencion_2dias"),
-        F.sum("rn").cast(MONEY).alias("retencion_ndias"))
+        F.sum("r1").cast(kind).alias("retencion_1dia"),
+        F.sum("r2").cast(kind).alias("retencion_2dias"),
+        F.sum("rn").cast(kind).alias("retencion_ndias"))
 
 
 def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
@@ -305,7 +296,8 @@ def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
          .select(F.col("parentkey").alias("__pk"), F.col("value").alias("__tipo")))
     j = t.join(r, t["encodedkey"] == r["__pk"], "left")
     has = F.col("__pk").isNotNull()
-    zero = F.lit(0).cast(MONEY)
+    kind = money(led.trx)
+    zero = F.lit(0).cast(kind)
 
     def bucket(vals):
         return F.sum(F.when(has, F.when(F.col("__tipo").isin(list(vals)), F.col("amount")).otherwise(zero)))
@@ -318,9 +310,9 @@ def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
     rest = [c for c in j2.columns if c not in ("numcta", "__r1", "__r2", "__rn")]
     return (j2.groupBy("numcta")
             .agg(F.max_by(F.struct(*rest), F.col("__t.transactionid")).alias("__x"),
-                 F.sum("__r1").cast(MONEY).alias("retencion_1dia"),
-                 F.sum("__r2").cast(MONEY).alias("retencion_2dias"),
-                 F.sum("__rn").cast(MONEY).alias("retencion_ndias"))
+                 F.sum("__r1").cast(kind).alias("retencion_1dia"),
+                 F.sum("__r2").cast(kind).alias("retencion_2dias"),
+                 F.sum("__rn").cast(kind).alias("retencion_ndias"))
             .select("numcta", "__x.*", "retencion_1dia", "retencion_2dias", "retencion_ndias")
             .select(*[c for c in acc.columns], "__t.*", "retencion_1dia", "retencion_2dias",
                     "retencion_ndias"))
@@ -344,12 +336,13 @@ def sum_per_account(t: DataFrame, acc: DataFrame, not_moved: DataFrame | None =
                     group_product: bool = True) -> DataFrame:
     """``SUM(amount) GROUP BY numcta, producto`` of transactions ``t`` whose
     account is in ``acc`` and, if given, ``numcta NOT IN not_moved``."""
+    kind = money(t)
     lvl1 = t.groupBy("parentaccountkey").agg(F.sum("amount").alias("__s"))
     j = acc.select("numcta", "account_key", "producto").join(
         lvl1, F.col("account_key") == F.col("parentaccountkey"), "inner")
     if not_moved is not None:
         j = not_in(j, "numcta", not_moved, "numcta")
     if group_product:
-        return j.groupBy("numcta", "producto").agg(F.sum("__s").cast(MONEY).alias("amount"))
-    return j.groupBy("numcta").agg(F.sum("__s").cast(MONEY).alias("amount"),
+        return j.groupBy("numcta", "producto").agg(F.sum("__s").cast(kind).alias("amount"))
+    return j.groupBy("numcta").agg(F.sum("__s").cast(kind).alias("amount"),
                                    F.any_value("producto").alias("producto"))

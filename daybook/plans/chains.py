@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.ledger import WIDE_MONEY, accounts
+from daybook.operators.ledger import accounts, money
 from daybook.params import Ledger
 
 
@@ -28,7 +28,7 @@ def ledger_chain(led: Ledger, inner: bool = True) -> DataFrame:
     acc = acc.select("account_key", "producto", "accountstate")
     j = lvl1.join(acc, lvl1["parentaccountkey"] == acc["account_key"], "inner" if inner else "left")
     return j.groupBy("producto", F.col("accountstate").alias("estado")).agg(
-        F.sum("__n").cast("bigint").alias("n_trx"), F.sum("__s").cast(WIDE_MONEY).alias("total_amount"))
+        F.sum("__n").cast("bigint").alias("n_trx"), F.sum("__s").cast(money(led.trx)).alias("total_amount"))
 
 
 def trx_channel(led: Ledger) -> DataFrame:
@@ -46,4 +46,4 @@ def trx_channel(led: Ledger) -> DataFrame:
     ch = led.trxch.select(F.col("id").alias("channel"), F.col("encodedkey").alias("__ch"))
     k = per_key.join(ch, per_key["transactionchannelkey"] == ch["__ch"], "left")
     return k.groupBy("channel").agg(F.sum("__n").cast("bigint").alias("n_trx"),
-                                    F.sum("__s").cast(WIDE_MONEY).alias("total_amount"))
+                                    F.sum("__s").cast(money(led.trx)).alias("total_amount"))

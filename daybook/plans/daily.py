@@ -24,7 +24,7 @@ from daybook.plans.extract import fixed_width_lines, lines_with_trailer
 from daybook.plans.movements import movements_nonzero
 from daybook.plans.reconcile import reconcile
 from daybook.plans.snapshot import q1_columns, q2_columns, snapshot_base
-from daybook.session import shared_dir
+from daybook.session import saved, shared_dir
 from daybook.sinks import write_csv, write_text
 
 
@@ -43,11 +43,11 @@ def daily_extract(led: Ledger, date_yyyymmdd: str, products, out_dir: str,
     # one snapshot base for both outputs, written once to the shared
     # checkpoint folder: computed once, and its lineage cut for recovery
     shared_dir(led.trx.sparkSession)
-    base = snapshot_base(led, p).checkpoint(eager=True)
+    base = snapshot_base(led, p, retentions=False).checkpoint(eager=True)
     # day D's activity per account: the movements' cut-off and NOT IN list
     # both read it, so it is written once too (one row per active account)
     day_d = day_activity(led, p.run_date).checkpoint(eager=True)
     write_csv(reconcile(q2_columns(base, p), movements_nonzero(led, p, day_d)), rec_path)
-    lines = fixed_width_lines(q1_columns(base, p), p.run_date, strict=strict_layout)
+    lines = saved(fixed_width_lines(q1_columns(base, p), p.run_date, strict=strict_layout), "extract-lines")
     write_text(lines_with_trailer(lines, p.yyyymmdd), ext_path, order_by=["rec_order", "numcta"])
     return DailyOutputs(rec_path, ext_path)

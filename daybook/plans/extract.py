@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.codes import sign, state_code
 from daybook.functions.dates import text_date
-from daybook.functions.text import blank_if_null, blanks, join_fields, rpad_blank, zeros_text
+from daybook.functions.text import blank_if_null, blanks, fit_left, fit_right, join_fields, pad_left, zeros_text
 
 # Fixed value: the date the original record code writes in strict mode.
 STRICT_DATE = "2024-01-01"
@@ -52,7 +52,7 @@ def _amount(col: str, scale: int):
         x = F.col(col)
         v = x if c["strict"] else F.abs(x)
         return F.when(x.isNull(), zeros_text("0", 20)).otherwise(
-            F.lpad(F.round(v, scale).cast("string"), 20, "0"))
+            fit_left(F.round(v, scale), 20))
     return build
 
 
@@ -75,7 +75,7 @@ def _open_dt(c):
 
 def _cc(c):
     if c["strict"]:
-        return rpad_blank("oficina", 10)
+        return fit_right("oficina", 10)
     return blank_if_null("oficina", 10)
 
 
@@ -84,15 +84,15 @@ LAYOUT = [
     ("ctry", _lit("CL ")),
     ("fec_cont", _run_date),
     ("intf_dt", _run_date),
-    ("src_id", lambda c: rpad_blank(F.lit("OPB3"), 14)),
+    ("src_id", lambda c: fit_right(F.lit("OPB3"), 14)),
     ("cem", _lit("012")),
     ("of_cta", lambda c: blank_if_null("oficina", 10)),
     ("state", lambda c: state_code("estado", 10)),
     ("dinq_sta", _lit("1")),
-    ("prod", lambda c: rpad_blank(F.concat(F.lit("CBC "), F.col("producto")), 16)),
+    ("prod", lambda c: fit_right(F.concat(F.lit("CBC "), F.col("producto")), 16)),
     ("open_dt", _open_dt),
     ("lst_accr_dt", _date_field("fechacierre")),
-    ("resp_rut", lambda c: blank_if_null("rut", 25, F.lpad(F.col("rut"), 11, "0"))),
+    ("resp_rut", lambda c: blank_if_null("rut", 25, fit_left("rut", 11))),
     ("cc", _cc),
     ("nro_cta", lambda c: blank_if_null("numcta", 30)),
     ("fec_ini", _date_field("fechaaperut", text=True)),
@@ -146,7 +146,7 @@ LAYOUT = [
     ("lst_rt_ch_dt", _B(8)),
     ("ocy_orig_nom_amt", _Z("0.0000", 20)),
     ("balAvl", lambda c: F.when(F.col("saldo_bloqueado").isNull(), zeros_text("0.00", 20)).otherwise(
-        F.lpad(F.round(F.col("saldo_bloqueado"), 2).cast("string"), 20, "0"))),
+        fit_left(F.round(F.col("saldo_bloqueado"), 2), 20))),
     ("lcy_pdo1_amt", _Z("0.0000", 20)),
     ("lcy_pdo2_amt", _Z("0.0000", 20)),
     ("Lcy_pdo3_amt", _Z("0.0000", 20)),
@@ -221,10 +221,10 @@ def fixed_width_lines(df: DataFrame, run_date: str, strict: bool = False) -> Dat
 
 
 def control_trailer(df: DataFrame, run_date_yyyymmdd: str) -> DataFrame:
-    """``099, <yyyymmdd>, <row count left-padded with '0' to 8>``: one row,
-    computed by an aggregate (no driver round trip)."""
+    """``099, <yyyymmdd>, <row count filled up with '0' to 8 digits>``: one row,
+    computed by an aggregate (no driver round trip).  A longer count stays whole."""
     return df.agg(F.concat(F.lit(f"099, {run_date_yyyymmdd}, "),
-                           F.lpad(F.count(F.lit(1)).cast("string"), 8, "0")).alias("line"))
+                           pad_left(F.count(F.lit(1)), 8)).alias("line"))
 
 
 def lines_with_trailer(lines: DataFrame, run_date_yyyymmdd: str) -> DataFrame:
@@ -242,10 +242,10 @@ def lines_with_trailer(lines: DataFrame, run_date_yyyymmdd: str) -> DataFrame:
 
 
 def padded_columns(df: DataFrame, width: int = 14) -> DataFrame:
-    """Account, transaction id and amount left-padded with '0' to ``width``."""
-    return df.select(F.lpad(F.col("numcta"), width, "0").alias("ctaid_padded"),
-                     F.lpad(F.col("transactionid").cast("string"), width, "0").alias("transactionid_padded"),
-                     F.lpad(F.col("amount").cast("string"), width, "0").alias("total_amount_padded"))
+    """Account, transaction id and amount filled up with '0' to ``width``; longer ones stay whole."""
+    return df.select(pad_left("numcta", width).alias("ctaid_padded"),
+                     pad_left("transactionid", width).alias("transactionid_padded"),
+                     pad_left("amount", width).alias("total_amount_padded"))
 
 
 def delimited_lines(padded: DataFrame, sep: str = ";") -> DataFrame:
@@ -254,7 +254,7 @@ def delimited_lines(padded: DataFrame, sep: str = ";") -> DataFrame:
 
 def attribute_dump(cfv: DataFrame, width: int = 35, sep: str = "+") -> DataFrame:
     """Every attribute row as one line: value, key, own key and parent key,
-    each left-padded with '0' to ``width``, joined with ``sep`` (NULL fields
-    skipped)."""
+    each filled up with '0' to ``width`` (longer ones whole), joined with
+    ``sep`` (NULL fields skipped)."""
     cols = ["value", "customfieldkey", "encodedkey", "parentkey"]
-    return cfv.select(join_fields(sep, *[F.lpad(F.col(c), width, "0") for c in cols]).alias("line"))
+    return cfv.select(join_fields(sep, *[pad_left(c, width) for c in cols]).alias("line"))

@@ -1,8 +1,8 @@
 """Reconciliation of the snapshot balance with the next-day movement.
 
 For every account in the CASE-filtered snapshot that also has a non-zero
-next-day movement (cut-off variant): balance − movement, as text of a
-``decimal(15,3)`` left-padded with '0' to 15 characters.
+next-day movement (cut-off variant): balance − movement, as text with three decimals
+left-padded with '0' to 15 characters.
 
 The job broadcasts the movement side.  That side has one row per account
 moving on N but not on D and so grows with the number of accounts; here the
@@ -17,19 +17,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.text import pad_left
 from daybook.plans.movements import movements_nonzero
 from daybook.plans.snapshot import snapshot_case_filter
 from daybook.params import Ledger, RunParams
 
 
 def difference_text(saldo, amount, width: int = 15) -> F.Column:
-    """``lpad(cast(cast(saldo - amount as decimal(15,3)) as string), 15, '0')``.
-
-    A difference that does not fit ``decimal(15,3)`` gives NULL (the job's
-    non-ANSI behaviour) instead of failing the whole run.
-    """
-    diff = (F.col(saldo) - F.col(amount)).try_cast("decimal(15,3)")
-    return F.lpad(diff.cast("string"), width, "0")
+    """``saldo - amount`` with three decimals, filled up with '0' to ``width``
+    characters.  A longer difference stays whole (``decimal(38,3)``), neither
+    cut nor NULL."""
+    diff = (F.col(saldo) - F.col(amount)).cast("decimal(38,3)")
+    return pad_left(diff, width)
 
 
 def reconcile(main: DataFrame, mov: DataFrame) -> DataFrame:
@@ -43,4 +42,4 @@ def reconcile(main: DataFrame, mov: DataFrame) -> DataFrame:
 
 
 def day_after_reconcile(led: Ledger, p: RunParams) -> DataFrame:
-    return reconcile(snapshot_case_filter(led, p), movements_nonzero(led, p))
+    return reconcile(snapshot_case_filter(led, p, retentions=False), movements_nonzero(led, p))

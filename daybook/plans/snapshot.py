@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import date_prefix
-from daybook.operators.attributes import attach_attributes
-from daybook.operators.ledger import accounts, latest_with_retentions, max_id_any_attribute
+from daybook.operators.attributes import attach_attributes, attach_by_join
+from daybook.operators.ledger import (accounts, latest_per_account, latest_with_retentions, max_id_any_attribute,
+                                      money)
 from daybook.params import ALL_STATES, BLOCK_CODE_EXCLUDED, Ledger, RunParams
 
 
@@ -38,15 +39,24 @@ def _client_attrs(led: Ledger, df: DataFrame, required: bool = False) -> DataFra
                              required=("rut",) if required else ())
 
 
-def snapshot_base(led: Ledger, p: RunParams, products=None, states=None) -> DataFrame:
+def snapshot_base(led: Ledger, p: RunParams, products=None, states=None, retentions: bool = True) -> DataFrame:
     """Last transaction under the cut-off per account number, with every
     attribute the snapshots read; filters applied after the latest pick,
-    as the SQL applies them after its self join."""
+    as the SQL applies them after its self join.
+
+    ``retentions=False`` leaves the three retention sums NULL and with them the
+    join of the whole ledger to its retention types, for outputs that do not
+    show them."""
     k = led.keys
     cutoff = max_id_any_attribute(led, p.run_date).select("cutoff_id").scalar()
     # the SQL's subqueries join transactions to accounts only
     all_acc = accounts(led, how="left")
-    latest = latest_with_retentions(led, cutoff, all_acc)
+    if retentions:
+        latest = latest_with_retentions(led, cutoff, all_acc)
+    else:
+        none = F.lit(None).cast(money(led.trx))
+        latest = latest_per_account(led, cutoff, all_acc).withColumns(
+            {c: none for c in ("retencion_1dia", "retencion_2dias", "retencion_ndias")})
     # the outer query requires the product and the client
     cli = led.cli.select(F.col("encodedkey").alias("__cli"))
     latest = (latest.filter(F.col("product_key").isNotNull())
@@ -55,9 +65,8 @@ def snapshot_base(led: Ledger, p: RunParams, products=None, states=None) -> Data
         latest = latest.filter(F.col("producto").isin(list(products)))
     if states is not None:
         latest = latest.filter(F.col("accountstate").isin(list(states)))
-    latest = attach_attributes(latest, "trx_key", led.cfv,
-                               {"fecha_contable_real": k.fechcontab, "adjuststate": k.adjust_state},
-                               restrict=True)
+    latest = attach_by_join(latest, "numcta", "trx_key", led.cfv,
+                            {"fecha_contable_real": k.fechcontab, "adjuststate": k.adjust_state})
     latest = _account_attrs(led, latest, {"codblq": k.codblq})
     return _client_attrs(led, latest)
 
@@ -74,10 +83,10 @@ def q1_columns(base: DataFrame, p: RunParams) -> DataFrame:
         "retencion_2dias", "retencion_ndias", "rut_tutor", "fecha_contable_real", "producto")
 
 
-def balance_snapshot(led: Ledger, p: RunParams) -> DataFrame:
+def balance_snapshot(led: Ledger, p: RunParams, retentions: bool = True) -> DataFrame:
     """Q1: 19 columns, products P, open states (filtered before the
     attribute lookups)."""
-    return q1_columns(snapshot_base(led, p, p.products, p.states), p)
+    return q1_columns(snapshot_base(led, p, p.products, p.states, retentions), p)
 
 
 def q2_columns(base: DataFrame, p: RunParams) -> DataFrame:
@@ -99,7 +108,7 @@ def q2_columns(base: DataFrame, p: RunParams) -> DataFrame:
         F.col("codblq").alias("causal_blq"))
 
 
-def snapshot_case_filter(led: Ledger, p: RunParams) -> DataFrame:
+def snapshot_case_filter(led: Ledger, p: RunParams, retentions: bool = True) -> DataFrame:
     """Q2: 20 columns; the WHERE is a CASE used as a predicate.
 
     Locked on the run date → product in P, open state and adjustment state
@@ -107,7 +116,7 @@ def snapshot_case_filter(led: Ledger, p: RunParams) -> DataFrame:
     product test in that branch).  A NULL branch value drops the row, as SQL
     does: a LOCKED account without block code fails the ELSE branch.
     """
-    return q2_columns(snapshot_base(led, p), p)
+    return q2_columns(snapshot_base(led, p, retentions=retentions), p)
 
 
 def snapshot_preview(led: Ledger, p: RunParams, n: int = 5) -> DataFrame:
@@ -118,7 +127,7 @@ def snapshot_preview(led: Ledger, p: RunParams, n: int = 5) -> DataFrame:
 def client_account_pairs(led: Ledger, p: RunParams) -> DataFrame:
     """Distinct (rut, account) pairs of the snapshot with a known rut, with
     the constant column the job adds by aggregating ``lit('new_col')``."""
-    s = balance_snapshot(led, p)
+    s = balance_snapshot(led, p, retentions=False)
     return (s.select("rut", "numcta").filter(F.col("rut").isNotNull())
             .groupBy("rut", "numcta").agg(F.lit("new_col").alias("new_col")))
 

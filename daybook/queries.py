@@ -25,7 +25,8 @@ from daybook.plans import movements as M
 from daybook.plans import reconcile as R
 from daybook.plans import snapshot as S
 from daybook.registry import RUN, query, raw_query
-from daybook.session import new_output_path
+from daybook.session import new_output_path, saved
+from daybook.sources.ledger_tables import TABLES
 from daybook.sources import product_csv as PC
 from daybook.sources.fixtures import build_product_dump, materialized_fixture_ledger
 from daybook.sources.parquet import read_table, rename_ids
@@ -298,28 +299,43 @@ def attribute_dump(led: Ledger, p: RunParams) -> DataFrame:
 
 @query("fixed_width_extract")
 def fixed_width_extract(led: Ledger, p: RunParams) -> DataFrame:
-    return X.fixed_width_lines(S.balance_snapshot(led, p), p.run_date)
+    return X.fixed_width_lines(S.balance_snapshot(led, p, retentions=False), p.run_date)
 
 
 @query("control_trailer")
 def control_trailer(led: Ledger, p: RunParams) -> DataFrame:
-    return X.control_trailer(S.balance_snapshot(led, p), p.yyyymmdd)
+    return X.control_trailer(S.balance_snapshot(led, p, retentions=False), p.yyyymmdd)
 
 
 @query("extract_with_trailer")
 def extract_with_trailer(led: Ledger, p: RunParams) -> DataFrame:
-    lines = X.fixed_width_lines(S.balance_snapshot(led, p), p.run_date)
+    lines = saved(X.fixed_width_lines(S.balance_snapshot(led, p, retentions=False), p.run_date), "extract-lines")
     return X.lines_with_trailer(lines, p.yyyymmdd)
 
 
 @query("scan_pruned")
 def scan_pruned(led: Ledger, p: RunParams) -> DataFrame:
     """Six transaction columns, the id renamed as the jobs do before joins."""
-    t = led.trx.select("transactionid", "encodedkey", "parentaccountkey", "balance", "amount",
-                       "details_encodedkey_oid")
-    return rename_ids(t, "trxid", "transactionid")
+    return rename_ids(_columns(led, "trx"), "trxid", "transactionid")
 
 
+def _columns(led: Ledger, field: str) -> DataFrame:
+    return getattr(led, field).select(*TABLES[field][1])
+
+
+def _register_scans() -> None:
+    """``scan_<source table>``: the columns that the jobs read of each other table."""
+    for field, (table, _) in TABLES.items():
+        if field != "trx":
+            def scan(led: Ledger, p: RunParams, field=field) -> DataFrame:
+                return _columns(led, field)
+
+            scan.__doc__ = f"The columns that the jobs read of {table}."
+            query(f"scan_{table}")(scan)
+
+
+_register_scans()
+
 # ------------------------------------------------------------------ sources and sinks (write, read back)
 
 
@@ -362,8 +378,8 @@ def sink_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extract lines and trailer written as ordered text part files (a global
     sort on the order column, no single-file funnel), read back as lines."""
     led = materialized_fixture_ledger(spark, sf_dir)
-    lines = X.lines_with_trailer(X.fixed_width_lines(S.balance_snapshot(led, RUN), RUN.run_date),
-                                 RUN.yyyymmdd)
+    lines = saved(X.fixed_width_lines(S.balance_snapshot(led, RUN, retentions=False), RUN.run_date), "extract-lines")
+    lines = X.lines_with_trailer(lines, RUN.yyyymmdd)
     path = new_output_path(spark, "extract-text")
     SK.write_text(lines, path, order_by=["rec_order", "numcta"])
     return spark.read.text(path).withColumnRenamed("value", "line")

@@ -8,11 +8,10 @@ is created and set.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -58,6 +57,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="daybook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -66,12 +68,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_output_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused location under the shared folder."""
-    base = shared_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    base = base[len("file:"):] if base.startswith("file:") else base
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    """A fresh, never reused location under the shared folder, in its file system."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back."""
+    path = new_output_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(input_bytes: int, total_cores: int,

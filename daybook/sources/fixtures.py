@@ -232,6 +232,7 @@ def load_fixture_ledger(spark: SparkSession, sf_dir: str,
 def build_product_dump(part: DataFrame) -> DataFrame:
     """Product-dump records (46 fields) from ``part``: one per part, with a
     description holding a comma, doubled quotes, markup and a line break."""
+    from daybook.functions.text import pad_left
     from daybook.sources.product_csv import PRODUCT_SCHEMA
     k, s, price = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice")
     ks = _s("p_partkey")
@@ -243,21 +244,21 @@ def build_product_dump(part: DataFrame) -> DataFrame:
     null = F.lit(None).cast("string")
     fields = {
         0: F.md5(F.concat(F.lit("prd-"), ks)), 1: s % 2 == 0, 2: s % 3 != 0,
-        3: ts("2023-03-28 18:30:27"), 4: null, 5: null,
+        3: ts("2020-01-01 00:00:00"), 4: null, 5: null,
         6: F.concat(F.lit("<div>"), F.col("p_name"), F.lit(', "'), F.col("p_brand"),
                     F.lit('"</div>\n<div>'), F.col("p_type"), F.lit("</div>")),
         7: F.lit(True), 8: s % 5 != 0, 9: F.lit(True),
-        10: F.concat(F.lit("PRD"), F.lpad(ks, 5, "0")),
+        10: F.concat(F.lit("PRD"), pad_left(ks, 5)),
         11: F.when(s % 2 == 0, "END_OF_DAY").otherwise("AVERAGE"),
         12: F.when(s % 3 == 0, "FIRST_DAY_OF_MONTH").when(s % 3 == 1, "DAILY").otherwise("ANNUALLY"),
         13: null, 14: F.when(s % 4 == 0, F.md5(F.concat(F.lit("key-"), ks))),
-        15: s % 7 != 0, 16: ts("2023-11-14 12:10:25"), 17: F.lit("MONTHS"),
+        15: s % 7 != 0, 16: ts("2021-06-01 12:00:00"), 17: F.lit("MONTHS"),
         18: F.when(s % 2 == 0, price), 19: null,
         20: F.when(s % 3 == 0, price.cast(dec)), 21: F.when(s % 4 == 1, price / 4),
         22: F.lit(0).cast(dec), 23: F.col("p_name"), 24: F.lit("CURRENT_ACCOUNT"),
         25: F.when(s % 2 == 1, F.lit(0).cast(dec)), 26: null, 27: null,
         28: (k * 1000).cast(dec), 29: s % 2 == 1, 30: F.lit(False), 31: F.lit("RANDOM_PATTERN"),
-        32: F.when(s % 2 == 0, "@@@@###").otherwise("30############"), 33: F.lit("NONE"),
+        32: F.when(s % 2 == 0, "AAA-000").otherwise("9-000000"), 33: F.lit("NONE"),
         34: F.when(s % 5 != 0, price), 35: F.when(s % 2 == 0, "ACTUAL_365_FIXED"),
         36: s % 3 == 0, 37: F.when(s % 3 == 1, F.md5(F.concat(F.lit("opt-"), ks))),
         38: F.lit("OPTIONAL"), 39: F.lit("NONE"), 40: F.lit("ACTUAL_365_FIXED"), 41: F.lit(False),

@@ -157,7 +157,7 @@ def test_amount_edges_in_difference_text(spark):
     assert got[2] == "00000000000.000"
     assert got[3] == "00000000-12.500"
     assert got[4] is None
-    assert got[5] is None             # does not fit decimal(15,3): NULL, not a failed job
+    assert got[5] == "10000009999998.000"  # longer than 15 characters: whole
 
 
 def test_empty_cutoff_gives_no_rows(spark):

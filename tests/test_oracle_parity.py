@@ -9,12 +9,13 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
-import __spark_entry__ as entry  # noqa: E402
+import __spark_entry__ as entry
+from daybook.registry import all_queries  # noqa: E402
 from compare import compare, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = all_queries()
+ORACLES = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from daybook.operators.anti import not_in
-from daybook.operators.ledger import accounts, latest_ids, latest_per_account
+from daybook.operators.ledger import accounts, latest_per_account
 from daybook.sources.fixtures import materialized_fixture_ledger
 
 SF = "/root/testdata/sf0.001"
@@ -28,12 +28,6 @@ def led(spark):
     return materialized_fixture_ledger(spark, SF)
 
 
-def test_latest_ids_hash_aggregate_with_partial_step(led):
-    p = plan(latest_ids(led, F.lit(500), accounts(led, how="left")))
-    assert "SortAggregate" not in p
-    assert "partial_max(transactionid" in p
-
-
 def test_latest_rows_read_the_ledger_once_without_shuffling_it(spark, led):
     # partial max_by per account key before the exchange; no join back on id
     p = plan(latest_per_account(led, F.lit(500), accounts(led, how="left")))
