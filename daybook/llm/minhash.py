@@ -11,10 +11,15 @@ document costs about (shingles + m log m) arrivals.  Two registers agree with
 a probability equal to the similarity.
 
 Candidates: registers are cut into bands; equal bands are a bucket.  In each
-bucket the members are verified against the smallest id; then, round by round,
-the members that are not in its class against a further pivot, until the pairs
-across classes that remain are few compared with the members; those are then
-verified one by one.  No pair is dropped: pairs left out are in one class already.
+bucket the members are verified against the smallest id, which joins most of
+them into classes.  Buckets whose members are still in several classes are then
+searched whole, in cells of at most 2 x ``block`` members (every pair of a large
+bucket's blocks is a cell): the members' registers are compared with each other,
+pairs of one class or in an earlier common bucket are left out, and the others are
+verified, the most alike first; a pair that a verified link has meanwhile joined
+needs no look.  A cell returns only the links that join classes, never pairs.
+Pairs whose registers agree in less than ``screen`` (four standard deviations
+below the threshold) count as too different.
 
 Defined results: rows with one doc_id are one document and share its class; a
 document of one to four words has all its words as its one shingle; null and
@@ -102,10 +107,8 @@ def similarity(pair: np.ndarray, x: np.ndarray, y: np.ndarray, n: int) -> np.nda
     return np.bincount(pair, part, n)
 
 
-def pair_similarity(a: pa.Array, b: pa.Array, k: int) -> np.ndarray:
-    n = len(a)
-    da, ha, ca, *_ = shingles(a, k)
-    db, hb, cb, *_ = shingles(b, k)
+def _alike(da, ha, ca, db, hb, cb, n: int) -> np.ndarray:
+    """Similarity of n pairs from the shingles (pair, hash, count) of both sides."""
     pair, h = np.concatenate([da, db]), np.concatenate([ha, hb])
     x = np.concatenate([ca, np.zeros(len(cb))]).astype(float)
     y = np.concatenate([np.zeros(len(ca)), cb]).astype(float)
@@ -119,9 +122,104 @@ def pair_similarity(a: pa.Array, b: pa.Array, k: int) -> np.ndarray:
     return similarity(pair[at], np.add.reduceat(x, at), np.add.reduceat(y, at), n)
 
 
+def pair_similarity(a: pa.Array, b: pa.Array, k: int) -> np.ndarray:
+    return _alike(*shingles(a, k)[:3], *shingles(b, k)[:3], len(a))
+
+
+def _cell(rows: list[dict], k: int, least: float, screen: float) -> list[tuple[int, int]]:
+    """Links that join the classes of a cell's members."""
+    ids = np.array([r["doc_id"] for r in rows])
+    sig = np.stack([np.frombuffer(r["sig"], "<u2") for r in rows])
+    bands = np.array([r["bands"] for r in rows])
+    here = int(np.flatnonzero(bands[0] == rows[0]["key"])[0])
+    left, right = (np.array([r[c] for r in rows]) for c in ("left", "right"))
+    root = {r["label"]: r["label"] for r in rows}
+    label = [r["label"] for r in rows]
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    found, step = [], max(1, (1 << 25) // sig.size)
+    for a in range(0, len(rows), step):
+        agree = (sig[a:a + step, None, :] == sig[None, :, :]).mean(2)
+        i, j = np.nonzero(agree >= screen)
+        ok = (i + a < j) & ((left[i + a] & right[j]) | (right[i + a] & left[j]))
+        share, i, j = agree[i, j][ok], i[ok] + a, j[ok]
+        ok = ~(bands[i, :here] == bands[j, :here]).any(1)  # met in an earlier bucket otherwise
+        found.append(np.stack([share[ok], i[ok], j[ok]]))
+    found = np.concatenate(found, 1)
+    pairs = found[1:, np.argsort(-found[0], kind="stable")].astype(np.int64).T.tolist()
+    own: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in own:
+            own[i] = shingles(pa.array([rows[i]["text"]]), k)[1:3]
+        return own[i]
+
+    links, at = [], 0
+    while at < len(pairs):
+        # a few pairs of different classes at a time, so that their links spare others
+        some = []
+        while at < len(pairs) and len(some) < 64:
+            i, j = pairs[at]
+            if find(label[i]) != find(label[j]):
+                some.append((i, j))
+            at += 1
+        if not some:
+            break
+        sides = []
+        for side in (0, 1):
+            bags = [bag(p[side]) for p in some]
+            sides += [np.repeat(np.arange(len(some)), [len(x[0]) for x in bags]), *(np.concatenate([x[c] for x in bags]) for c in (0, 1))]
+        for (i, j), s in zip(some, _alike(*sides, len(some)).tolist(), strict=True):
+            x, y = find(label[i]), find(label[j])
+            if s >= least - 1e-12 and x != y:
+                root[max(x, y)] = min(x, y)
+                links.append((int(ids[i]), int(ids[j])))
+    return links
+
+
+def _search(members: DataFrame, prints: DataFrame, rows: DataFrame, k: int, least: float, screen: float, block: int) -> DataFrame:
+    """Links between classes inside the buckets of (key, doc_id, label, n)."""
+    # for each id one signature and one text; an id with several of them brings each pair
+    wide = members.join(prints.select("doc_id", "h1", "h2", "sig", "bands"), ["doc_id", "h1", "h2"])
+    ids = save(members.select("doc_id").distinct(), "search-ids")
+    texts = save(rows.join(ids, "doc_id", "left_semi"), "search-texts")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), blocks - 1),
+                        lambda o: F.struct(F.least(own, o).alias("i"), F.greatest(own, o).alias("j")))
+    dealt = wide.join(texts, "doc_id").withColumn("own", own).withColumn("cell", F.explode(cells)).select(
+        "key", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "doc_id", "label", "sig", "bands", "text",
+        (F.col("own") == F.col("cell.i")).alias("left"), (F.col("own") == F.col("cell.j")).alias("right"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own = None, []
+
+        def done() -> pa.RecordBatch:
+            got = _cell(own, k, least, screen) if len(own) > 1 else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([g[0] for g in got], pa.int64()), "b": pa.array([g[1] for g in got], pa.int64())})
+
+        for b in batches:
+            for r in b.to_pylist():
+                if (r["key"], r["i"], r["j"]) != key:
+                    if own:
+                        yield done()
+                    key, own = (r["key"], r["i"], r["j"]), []
+                own.append(r)
+        if own:
+            yield done()
+
+    sorted_ = dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return save(map_arrow(sorted_, run, "a long, b long"), "class-links")
+
+
 def signatures(rows: DataFrame, k: int, bands: int, width: int) -> DataFrame:
-    """(doc_id, h1, h2, bands) of each row with words: two hashes of its word
-    sequence, and the band hashes of its registers."""
+    """(doc_id, h1, h2, bands, sig) of each row with words: two hashes of its word
+    sequence, the band hashes of its registers, and 16 bits of each register."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             doc, h, count, h1, h2 = shingles(b.column("text"), k)
@@ -138,11 +236,13 @@ def signatures(rows: DataFrame, k: int, bands: int, width: int) -> DataFrame:
             for j in range(width):
                 key = mix(key * np.uint64(_STEP) + reg[:, j::width][:, :bands])
             key = key.view(np.int64)[of]
+            sig = [x.tobytes() for x in (mix(reg) & np.uint64(0xFFFF)).astype("<u2")]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id").take(pa.array(has)), "h1": h1.view(np.int64)[has], "h2": h2.view(np.int64)[has],
-                "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(has) + 1) * bands, pa.int32()), pa.array(key.reshape(-1)))})
+                "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(has) + 1) * bands, pa.int32()), pa.array(key.reshape(-1))),
+                "sig": pa.array(sig, pa.binary()).take(pa.array(of))})
 
-    return map_arrow(rows, run, "doc_id long, h1 long, h2 long, bands array<long>")
+    return map_arrow(rows, run, "doc_id long, h1 long, h2 long, bands array<long>, sig binary")
 
 
 def verify(pairs: DataFrame, rows: DataFrame, k: int, least: float) -> DataFrame:
@@ -161,65 +261,31 @@ def verify(pairs: DataFrame, rows: DataFrame, k: int, least: float) -> DataFrame
     return save(map_arrow(both, run, "a long, b long, sim double"), "links")
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the class that the links so far give them."""
-    roots = save(components(links), "roots")
-    return save(members.select("key", "doc_id").join(roots, members.doc_id == roots.id, "left").select(
-        "key", "doc_id", F.coalesce("root", "doc_id").alias("label")), "labelled")
-
-
 def near_duplicates(docs: DataFrame, k: int = 5, least: float = 0.8, bands: int = 26, width: int = 5,
-                    few: float = 20.0, rounds: int = 4) -> DataFrame:
+                    screen: float = 0.66, block: int = 1024) -> DataFrame:
     """(doc_id, class_id) of each document with an id; ``class_id`` is the
-    smallest doc_id of its class of linked documents.
-
-    Pivot rounds go on while a bucket's pairs across classes number more than
-    ``few`` times its members, ``rounds`` times at most; then all pairs across
-    classes that are left are verified.
-    """
+    smallest doc_id of its class of linked documents."""
     rows = docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     prints = save(signatures(rows, k, bands, width), "signatures")
-    copies = prints.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
-    copies = save(copies, "copies")
+    copies = save(prints.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "copies")
     same = save(prints.select("doc_id", "h1", "h2").join(copies, ["h1", "h2"]).filter("doc_id <> rep")
                 .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "same")
     # one member for each text: the row of its smallest id
-    reps = prints.join(copies.select("h1", "h2", F.col("rep").alias("doc_id")), ["h1", "h2", "doc_id"], "left_semi")
-    keyed = reps.select("doc_id", F.explode("bands").alias("key"))
+    reps = save(prints.join(copies.withColumnRenamed("rep", "doc_id"), ["h1", "h2", "doc_id"], "left_semi")
+                .dropDuplicates(["h1", "h2"]), "one-of-copies")
+    keyed = reps.select("doc_id", "h1", "h2", F.explode("bands").alias("key"))
     shared = save(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("pivot")).filter("n > 1"), "buckets")
-    members = save(keyed.join(shared.select("key", "pivot"), "key"), "members")
+    members = save(keyed.join(shared, "key"), "members")
     pairs = save(members.filter("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     links = verify(pairs, rows, k, least).select("a", "b")
-    done = pairs
-    for turn in range(rounds + 1):
-        labelled = _labelled(members, links)
-        # buckets whose members are in several classes, with the pairs across classes that they still have
-        by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"))
-        mixed = save(by_label.groupBy("key").agg(F.sum("n").alias("n"), F.expr("sum(double(n) * n)").alias("n2"),
-                                                 F.count("*").alias("labels"),
-                                                 F.min_by("label", F.struct(-F.col("n"), "label")).alias("main"))
-                     .filter("labels > 1"), "mixed")
-        n, left = mixed.agg(F.sum("n"), F.expr("sum((double(n) * n - n2) / 2)")).first()
-        if not n:
-            break
-        inside = labelled.join(mixed.select("key", "main"), "key")
-        rest = save(inside.filter("label <> main"), "rest")
-        last = left <= few * n or turn == rounds
-        if last:
-            other = inside.select("key", F.col("doc_id").alias("b"), F.col("label").alias("lb"))
-            pairs = rest.select("key", F.col("doc_id").alias("a"), F.col("label").alias("la")).join(other, "key").filter("la <> lb")
-        else:
-            pivots = rest.groupBy("key").agg(F.min_by(F.struct("doc_id", "label"), F.xxhash64("doc_id", "key", F.lit(turn))).alias("p"))
-            pivots = save(pivots.select("key", F.col("p.doc_id").alias("a"), F.col("p.label").alias("la")), "pivots")
-            pairs = inside.select("key", F.col("doc_id").alias("b"), F.col("label").alias("lb")).join(pivots, "key").filter("la <> lb")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = save(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        links = links.union(verify(pairs, rows, k, least).select("a", "b"))
-        if last:
-            break
-        done = done.union(pairs)
-    roots = save(components(links.union(same)), "roots")
+    roots = save(components(links), "roots")
+    labelled = save(members.join(roots, members.doc_id == roots.id, "left").select(
+        "key", "n", "doc_id", "h1", "h2", F.coalesce("root", "doc_id").alias("label")), "labelled")
+    mixed = save(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                 .filter("low <> high").select("key"), "mixed")
+    more = _search(labelled.join(mixed, "key"), reps, rows, k, least, screen, block)
+    roots = save(components(links.union(more).union(same)), "roots")
     ids = rows.select("doc_id").distinct()
     return ids.join(roots, ids.doc_id == roots.id, "left").select("doc_id", F.coalesce("root", "doc_id").alias("class_id"))
 

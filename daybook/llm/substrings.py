@@ -32,10 +32,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import doc_rows, map_arrow, parts_for, real_id, slices
+from daybook.llm.common import doc_rows, id_key, map_arrow, parts_for, real_id, save, slices
 from daybook.llm.words import Words, mix, rolling, span_hashes, split_words
 
-_HEAD = 5  # numbers that go with a packed string: bucket, doc_id, rk, first word, bytes
+#: Parts of a partition that are sorted one after the other, which bounds a task's memory.
+_FINE = 6
+_HEAD = 4  # numbers that go with a packed string: doc_id, rk, first word, bytes
 
 
 def _smallest(x: np.ndarray, n: int) -> np.ndarray:
@@ -88,7 +90,7 @@ class Packer:
         self.often: dict[tuple[int, int], tuple[int, int, int]] = {}
 
     def pack(self, batch: pa.RecordBatch) -> Iterator[tuple[int, bool, bytes]]:
-        """(bucket range, whether marks, block)."""
+        """(part of a partition, whether marks, block)."""
         r = super_kmers(batch.column("text"), self.k, self.m)
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[r.doc]
         rks = batch.column("rk").to_numpy(zero_copy_only=False)[r.doc]
@@ -119,7 +121,7 @@ class Packer:
         gone = np.concatenate(marks)
         if len(gone):
             block = np.stack([ids[gone], rks[gone], start[gone], start[gone] + (r.hi - r.lo)[gone]], 1).astype("<i8")
-            yield int(batch.num_rows) % self.parts, True, zstandard.compress(block.tobytes(), 1)
+            yield int(ids[gone[0]]) % self.parts * _FINE, True, zstandard.compress(block.tobytes(), 1)
         if not len(lead):
             return
         hot = np.isin(_bucket(r.low[lead], self.hot_parts), self.hot)
@@ -135,12 +137,12 @@ class Packer:
             low = np.concatenate([low[~hot], own])
             ids, rks = (np.concatenate([v[~hot], v[each]]) for v in (ids, rks))
             start = np.concatenate([start[~hot], start[each] + step])
-        part = _bucket(low, self.parts)
+        part = _bucket(low, self.parts * _FINE)
         order = np.argsort(part, kind="stable")
         edge = np.flatnonzero(np.diff(part[order], prepend=-1))
         left, right = r.w.start[lo], r.w.end[hi - 1]
         raw = r.w.buf.tobytes()
-        head = np.stack([low.view(np.int64), ids, rks, start, right - left], 1).astype("<i8")
+        head = np.stack([ids, rks, start, right - left], 1).astype("<i8")
         for a, b in zip(edge, np.append(edge[1:], len(order)), strict=True):
             own = order[a:b]
             text = b"".join([raw[i:j] for i, j in zip(left[own].tolist(), right[own].tolist(), strict=True)])
@@ -157,7 +159,7 @@ def _repeats(blocks: list[bytes], k: int) -> np.ndarray:
         heads.append(np.frombuffer(raw, "<i8", _HEAD * n, 8).reshape(_HEAD, n))
         texts.append(raw[8 + 8 * _HEAD * n:])
     head, buf = np.concatenate(heads, 1), b"".join(texts)
-    _, ids, rks, first, size = head
+    ids, rks, first, size = head
     texts = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(
         np.concatenate([np.zeros(1, "<i8"), np.cumsum(size)]).astype("<i8").tobytes()), pa.py_buffer(buf)])
     w = split_words(texts)
@@ -213,11 +215,21 @@ def _hot(rows: DataFrame, k: int, m: int, hot_windows: int, hot_parts: int) -> n
     return np.array(sorted(r[0] for r in counted.filter(F.col("n") > hot_windows).select("class").collect()), np.int64)
 
 
-def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, part_bytes: int = 8 << 20, hot_windows: int = 20_000_000,
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``doc_rows`` whose ``rk`` is 0 (which packs to nothing) but for ids that have several rows."""
+    rows = doc_rows(docs)
+    twice = save(docs.groupBy(id_key().alias("doc_id")).agg(F.count("*").alias("rows")).filter("rows > 1").select("doc_id"), "repeated-ids")
+    if twice.isEmpty():
+        return rows.withColumn("rk", F.lit(0).cast("long"))
+    return rows.join(twice.withColumn("again", F.lit(True)), "doc_id", "left").select(
+        "doc_id", "text", F.when(F.col("again"), F.col("rk")).otherwise(0).cast("long").alias("rk"))
+
+
+def remove_repeats(docs: DataFrame, k: int = 20, m: int = 3, part_bytes: int = 8 << 20, hot_windows: int = 20_000_000,
                    hot_parts: int = 1 << 16) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of each row of ``docs``; ``kept`` are
     the words that stay, joined by one space."""
-    rows = doc_rows(docs)
+    rows = _told_apart(docs)
     parts = parts_for(docs, part_bytes)
     hot = _hot(rows, k, m, hot_windows, hot_parts)
 
@@ -226,13 +238,14 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, part_bytes: int = 8
         for b in slices(batches):
             out = list(packer.pack(b))
             if out:
-                yield pa.RecordBatch.from_pydict({"part": pa.array([x[0] for x in out], pa.int32()), "marks": [x[1] for x in out],
+                yield pa.RecordBatch.from_pydict({"part": pa.array([x[0] // _FINE for x in out], pa.int32()),
+                                                  "fine": pa.array([x[0] for x in out], pa.int64()), "marks": [x[1] for x in out],
                                                   "block": pa.array([x[2] for x in out], pa.binary())})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, list[bytes]] = {}
         for b in batches:
-            for part, marks, block in zip(*(b.column(c).to_pylist() for c in ("part", "marks", "block")), strict=True):
+            for part, marks, block in zip(*(b.column(c).to_pylist() for c in ("fine", "marks", "block")), strict=True):
                 if marks:
                     yield table(np.frombuffer(zstandard.decompress(block), "<i8").reshape(-1, 4))
                 else:
@@ -243,7 +256,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, m: int = 4, part_bytes: int = 8
     def table(marks: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"doc_id": marks[:, 0], "rk": marks[:, 1], "lo": marks[:, 2], "hi": marks[:, 3]})
 
-    packed = map_arrow(rows, pack, "part int, marks boolean, block binary").repartition(parts, "part")
+    packed = map_arrow(rows, pack, "part int, fine long, marks boolean, block binary").repartition(parts, "part")
     marks = map_arrow(packed, count, "doc_id long, rk long, lo long, hi long")
     marks = marks.groupBy("doc_id", "rk").agg(F.collect_list(F.struct("lo", "hi")).alias("marks"))
 

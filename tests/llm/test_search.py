@@ -122,7 +122,7 @@ def test_many_classes_in_a_bucket_lose_no_link(spark):
     for _ in range(8):
         own = words(rng, 40)
         texts += [common + own, common + own[:-1] + ["z"]]
-    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(documents(spark, [" ".join(t) for t in texts]), few=0.1, rounds=2).collect()}
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(documents(spark, [" ".join(t) for t in texts]), block=4).collect()}
     assert got == {i: i - i % 2 for i in range(16)}
 
 
