@@ -2,6 +2,81 @@
 
 from __future__ import annotations
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+SUBSTRINGS = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents)
+, w AS (
+  SELECT doc_id, s, array_to_string(words[s:s + 19], ' ') AS seq
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM d))
+, later AS (SELECT doc_id, s FROM w QUALIFY row_number() OVER (PARTITION BY seq ORDER BY doc_id, s) > 1)
+, gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM later)
+, each AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM d)
+, kept AS (
+  SELECT e.doc_id, count(*) AS n_words, count(g.p) AS n_removed, string_agg(word, ' ' ORDER BY e.p) FILTER (g.p IS NULL) AS text
+  FROM each e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.p = e.p GROUP BY e.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
+MIX = f"""
+WITH d AS (
+  SELECT doc_id, source, len({_WORDS}) AS size, md5(coalesce(text, '')) AS tie,
+         ('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15))::BIGINT AS key
+  FROM documents)
+, s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM d GROUP BY source)
+, level AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
+         coalesce(sum(2 * source_size) OVER before, 0) AS caps, coalesce(sum(weight) OVER before, 0) AS used
+  FROM s WINDOW before AS (ORDER BY source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+, full_ AS (
+  SELECT *, 2 * source_size * 2 * (weights - used) <= weight * (3 * total - 2 * caps) AS is_full FROM level)
+, open_ AS (
+  SELECT max(3 * total) - 2 * coalesce(sum(2 * source_size) FILTER (is_full), 0) AS up,
+         2 * sum(weight) FILTER (NOT is_full) AS down FROM full_)
+, t AS (
+  SELECT source, source_size, CASE WHEN total = 0 THEN 0.0::DOUBLE
+           ELSE least((2 * source_size)::DOUBLE, (weight * up)::DOUBLE / down::DOUBLE) END AS target
+  FROM full_, open_)
+, cut AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS passes,
+         CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) % source_size ELSE 0 END AS rest FROM t)
+, run AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, tie ROWS UNBOUNDED PRECEDING) - size AS before FROM d)
+SELECT run.doc_id, run.size, cut.source_size, cut.target,
+       CAST(passes * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
+FROM run JOIN cut ON cut.source IS NOT DISTINCT FROM run.source"""
+
+VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+, link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93)
+, reach AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y)
+SELECT e.vec_id, (SELECT count(*) FROM link WHERE x = e.vec_id) AS n_links,
+       least(e.vec_id, coalesce((SELECT min(y) FROM reach WHERE x = e.vec_id), e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce((SELECT min(y) FROM reach WHERE x = e.vec_id), e.vec_id)) AS kept
+FROM embeddings e"""
+
+LINES = """
+WITH each AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS p
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+, keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM each)
+, often AS (
+  SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM (SELECT k.*, o.key IS NOT NULL AND o.top <> k.doc_id AS gone FROM keyed k LEFT JOIN often o ON o.key = k.key)
+GROUP BY doc_id"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op2_substrings": SUBSTRINGS, "op6_mix": MIX, "op9_pivots": VECTORS, "op10_lines": LINES}
