@@ -50,6 +50,16 @@ def read_jdbc(spark: SparkSession, url: str, columns: Iterable[str] | None = Non
     return df.select(*columns) if columns is not None else df
 
 
+def read_jdbc_parts(spark: SparkSession, url: str, predicates: list[str], columns: Iterable[str] | None = None,
+                    *, table: str, **kwargs) -> DataFrame:
+    """A JDBC table read through one connection per condition; the conditions
+    must not overlap, and rows that meet none are not read."""
+    opts = jdbc_options(url, table=table, **kwargs)
+    rest = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+    df = spark.read.jdbc(url, table, predicates=predicates, properties=rest)
+    return df.select(*columns) if columns is not None else df
+
+
 def load_tables(spark: SparkSession, url: str, tables: Mapping[str, Mapping],
                 **common) -> dict[str, DataFrame]:
     """name → DataFrame for several tables; a failing table raises at once

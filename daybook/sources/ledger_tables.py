@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.params import AttributeKeys, Ledger
-from daybook.sources.jdbc import read_jdbc
+from daybook.sources.jdbc import read_jdbc, read_jdbc_parts
 
 # Source table and the columns read from it, per Ledger field.
 TABLES = {
@@ -45,14 +45,19 @@ def load_ledger_parquet(spark: SparkSession, base: str, keys: AttributeKeys | No
 
 def load_ledger_jdbc(spark: SparkSession, url: str, keys: AttributeKeys | None = None,
                      bounds: Mapping[str, tuple[str, int, int, int]] | None = None,
-                     **options) -> Ledger:
+                     predicates: Mapping[str, list[str]] | None = None, **options) -> Ledger:
     """Tables over JDBC.  ``bounds``: field → (partition column, lower,
     upper, partitions) for tables read in parallel ranges of a numeric
-    column — at least the ledger (``trx`` on ``transactionid``); a table
-    without one is read through a single connection."""
+    column — at least the ledger (``trx`` on ``transactionid``).
+    ``predicates``: field → conditions, one connection each (for the attribute
+    table, one per attribute key; rows of other keys are not read).  A table
+    without either is read through a single connection."""
     out = {}
     for field, (table, cols) in TABLES.items():
         kw = dict(options)
+        if predicates and field in predicates:
+            out[field] = read_jdbc_parts(spark, url, predicates[field], columns=cols, table=table, **kw)
+            continue
         if bounds and field in bounds:
             col, lo, hi, n = bounds[field]
             kw.update(partition_column=col, lower_bound=lo, upper_bound=hi, num_partitions=n)
@@ -89,6 +94,10 @@ def write_ledger_tables(led: Ledger, database: str | None = None, buckets: int |
         if field == "cfv":
             w = w.partitionBy("customfieldkey")
         if buckets and field in BUCKET_KEYS:
+            # dealt by the bucket key first: one file per bucket (and attribute key)
+            w = getattr(led, field).select(*cols).repartition(buckets, BUCKET_KEYS[field]).write.mode("overwrite")
+            if field == "cfv":
+                w = w.partitionBy("customfieldkey")
             w = w.bucketBy(buckets, BUCKET_KEYS[field]).sortBy(BUCKET_KEYS[field])
         w.saveAsTable(_qualified(table, database))
 
@@ -115,12 +124,14 @@ def build_dated(led: Ledger) -> DataFrame:
     return t.join(fc, t["encodedkey"] == fc["__pk"], "inner").drop("__pk")
 
 
-def write_dated_ledger(led: Ledger, path: str, dates=None) -> None:
-    """Write the dated layout partitioned by accounting date.
+def write_dated_ledger(led: Ledger, path: str, dates=None, per_date: int = 16) -> None:
+    """Write the dated layout partitioned by accounting date; a date is dealt to
+    up to ``per_date`` tasks by the transaction's id.
 
-    ``dates``: rewrite only these dates' partitions (dynamic partition
-    overwrite) — the daily maintenance step appends one day; without it the
-    whole layout is (re)built.
+    Without ``dates`` the whole layout is replaced, so dates that no longer exist
+    go.  ``dates``: only these dates' partitions are replaced; when a transaction
+    has been re-dated, its old date belongs into the list as well as its new one.
+    A listed date without rows is emptied.
     """
     from pyspark.sql import functions as F
 
@@ -128,9 +139,18 @@ def write_dated_ledger(led: Ledger, path: str, dates=None) -> None:
     df = build_dated(led)
     if dates is not None:
         df = df.filter(F.col(DATED_COLUMN).isin(list(dates)))
-    (df.repartition(DATED_COLUMN).sortWithinPartitions("transactionid")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(DATED_COLUMN).parquet(path))
+    part = F.pmod(F.xxhash64("transactionid"), F.lit(per_date))
+    w = (df.repartition(F.col(DATED_COLUMN), part).sortWithinPartitions(DATED_COLUMN, "transactionid")
+         .write.mode("overwrite").partitionBy(DATED_COLUMN))
+    if dates is None:
+        w.option("partitionOverwriteMode", "static").parquet(path)
+        return
+    w.option("partitionOverwriteMode", "dynamic").parquet(path)
+    spark = led.trx.sparkSession
+    left = {r[0] for r in df.select(DATED_COLUMN).distinct().collect()}   # at most the listed dates
+    for date in set(dates) - left:
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{DATED_COLUMN}={date}")
+        old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
 
 
 def load_dated(spark: SparkSession, path: str, ledger_schema) -> DataFrame:

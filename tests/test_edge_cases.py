@@ -17,6 +17,7 @@ from daybook.operators.ledger import (accounts, latest_per_account, latest_per_a
 from daybook.params import RunParams
 from daybook.plans import calendar as C
 from daybook.plans.movements import next_day_movements_cutoff
+from daybook.operators.ledger import sum_per_account
 from daybook.plans.reconcile import difference_text
 from daybook.plans.snapshot import balance_snapshot, snapshot_case_filter
 
@@ -257,3 +258,28 @@ def test_dated_layout_rewrites_only_the_given_dates(spark, tmp_path):
     back = load_dated(spark, path, led.trx.schema)
     got = {(r.accounting_date, r.transactionid) for r in back.collect()}
     assert got == {(D, 2), (D, 4), (D, 6), (N, 1), (N, 3), (N, 5), (N, 7)}
+
+
+def test_sums_keep_the_scale_of_the_tables(spark):
+    """decimal(38,10) amounts: nothing is rounded, and a sum below a cent is not zero."""
+    led = make_ledger(spark, cta_rows=[account(1)], trx_rows=[trx(1, 1, 10), trx(2, 1, 20)],
+                      cfv_rows=[attr("trx-1", "fechcontab", "2024-01-23"), attr("trx-2", "fechcontab", "2024-01-23")])
+    wide = led.trx.withColumn("amount", F.lit("0.0012345678").cast("decimal(38,10)"))
+    got = sum_per_account(wide, accounts(led)).first()
+    assert str(got.amount) == "0.0024691356"
+    assert wide.groupBy().agg(F.sum("amount")).schema[0].dataType.scale == 10
+
+
+def test_dated_layout_clears_vanished_and_re_dated_rows(spark, tmp_path):
+    from daybook.sources.ledger_tables import load_dated, write_dated_ledger
+    N = "2024-01-23"
+    rows = [trx(i, 1, i) for i in range(1, 5)]
+    led = make_ledger(spark, cta_rows=[account(1)], trx_rows=rows,
+                      cfv_rows=[attr(f"trx-{i}", "fechcontab", [D, N][i % 2]) for i in range(1, 5)])
+    path = str(tmp_path / "dated")
+    write_dated_ledger(led, path)
+    moved = make_ledger(spark, cta_rows=[account(1)], trx_rows=rows, cfv_rows=[attr(f"trx-{i}", "fechcontab", N) for i in range(1, 5)])
+    for dates in ([D, N], None):
+        write_dated_ledger(moved, path, dates=dates)
+        back = load_dated(spark, path, led.trx.schema).collect()
+        assert sorted((r.transactionid, r.accounting_date) for r in back) == [(i, N) for i in range(1, 5)]

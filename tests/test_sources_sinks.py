@@ -162,3 +162,34 @@ def test_damaged_product_dump_is_detected_and_split(spark, tmp_path):
     records, damaged = split_product_dump(spark, str(path))
     assert [r.encodedkey for r in records.collect()] == ["a" * 32]
     assert damaged.count() == 2
+
+
+def test_command_line_with_the_keys_of_an_environment(spark, tmp_path):
+    """Attribute keys that are ids, not names: the run reads them from a file."""
+    import hashlib
+    import json
+
+    from daybook.__main__ import main, parse_args
+    from daybook.params import ATTRIBUTE_NAMES
+    from daybook.sources.fixtures import materialized_fixture_ledger
+    from daybook.sources.ledger_tables import load_ledger_parquet, write_ledger_parquet
+
+    keys = {n: hashlib.md5(n.encode()).hexdigest() for n in ATTRIBUTE_NAMES}
+    plain = materialized_fixture_ledger(spark, "/root/testdata/sf0.001")
+    base, out, named = (new_output_path(spark, f"cli-{x}") for x in ("hex", "hex-out", "named-out"))
+    write_ledger_parquet(plain, base)
+    hexed = plain.cfv.replace(keys, subset=["customfieldkey"])
+    hexed.write.parquet(f"{base}/hexed")
+    spark.read.parquet(f"{base}/hexed").write.mode("overwrite").parquet(f"{base}/customfieldvalue")
+    file = tmp_path / "keys.json"
+    file.write_text(json.dumps(keys))
+    run = ["--date", "20240122", "--products", "'P0', 'P1', 'P2', 'P3'", "--tables", base]
+    assert main([*run, "--out", out, "--keys", str(file)], spark=spark) == 0
+    assert load_ledger_parquet(spark, base).cfv.filter("customfieldkey = 'rut'").isEmpty()
+    from daybook.plans.daily import daily_extract
+    daily_extract(plain, "20240122", "'P0', 'P1', 'P2', 'P3'", named)
+    for part in ("reconciliation", "extract"):
+        rows = [sorted(r.value for r in spark.read.text(f"{x}/{part}").collect()) for x in (out, named)]
+        assert rows[0] == rows[1] and rows[0]
+    with pytest.raises(SystemExit):
+        parse_args([*run[:4], "--jdbc-url", "jdbc:x", "--out", out, "--jdbc-partitions", "8"])
