@@ -132,7 +132,7 @@ def _cell(rows: list[tuple], least: float) -> tuple[np.ndarray, np.ndarray, np.n
     return rep[hit], links[hit], rep[order][root[hit]]
 
 
-def linked(embeddings: DataFrame, least: float = 0.93, pivots: int = 256, nearest: int = 6, block: int = 1024) -> DataFrame:
+def linked(embeddings: DataFrame, least: float = 0.93, pivots: int = 128, nearest: int = 8, block: int = 1024) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each row."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
     packed = save(_packed(rows.filter("vec_id is not null and label is not null")).withColumn("h", F.unhex(F.md5("v"))), "vectors")
