@@ -120,7 +120,9 @@ def attribute_fanout(entities: DataFrame, entity_key: str, cfv: DataFrame,
 
     Computed from a count per parent; the pairs themselves are never built.
     """
-    counts = (cfv.groupBy(F.col("parentkey").alias("__pk")).agg(F.count(F.lit(1)).alias("__n")))
+    owners = entities.select(F.col(entity_key).alias("parentkey"))
+    own = cfv.select("parentkey").join(owners, "parentkey", "left_semi")     # not the transactions' rows
+    counts = own.groupBy(F.col("parentkey").alias("__pk")).agg(F.count(F.lit(1)).alias("__n"))
     j = entities.join(counts, entities[entity_key] == counts["__pk"], "left")
     n = F.coalesce(F.col("__n"), F.lit(1)).cast("bigint")
     fan = n

@@ -136,8 +136,9 @@ class Ledger:
     keys: AttributeKeys = field(default_factory=AttributeKeys)
     dated: DataFrame | None = None
 
-    def register_views(self) -> None:
-        """Register the tables under the names the SQL text uses."""
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Register the tables under ``prefix`` and the names the SQL text uses;
+        a prefix keeps two ledgers of one session apart.  Returns the view names."""
         names = {
             "savingstransaction": self.trx, "savingsaccount": self.cta,
             "savingsproduct": self.prod, "client": self.cli,
@@ -145,6 +146,9 @@ class Ledger:
             "transactionchannel": self.trxch, "holiday": self.hld,
             "authorizationhold": self.ahold,
         }
+        made = []
         for name, df in names.items():
             if df is not None:
-                df.createOrReplaceTempView(name)
+                df.createOrReplaceTempView(prefix + name)
+                made.append(prefix + name)
+        return made

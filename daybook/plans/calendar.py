@@ -107,7 +107,7 @@ WITH h AS (
            AND dayofmonth <= day(last_day(make_date(year, monthofyear, 1))) AS own_ok,
          monthofyear BETWEEN 1 AND 12 AND dayofmonth >= 1
            AND dayofmonth <= day(last_day(make_date(:run_year, monthofyear, 1))) AS run_ok
-  FROM holiday
+  FROM IDENTIFIER(:view)
 )
 SELECT CAST(CASE WHEN isannualyrecurring = 1
                  THEN CASE WHEN run_ok THEN make_date(:run_year, monthofyear, dayofmonth) END
@@ -120,7 +120,7 @@ FROM h
 """
 
 
-def holiday_calendar_sql(spark, run_year: int) -> DataFrame:
-    """The calendar as Spark SQL over the registered ``holiday`` view; the run
-    year is a named parameter, not text pasted into the statement."""
-    return spark.sql(HOLIDAY_SQL, args={"run_year": run_year})
+def holiday_calendar_sql(spark, run_year: int, view: str = "holiday") -> DataFrame:
+    """The calendar as Spark SQL over a registered view; the run year and the
+    view are named parameters, not text pasted into the statement."""
+    return spark.sql(HOLIDAY_SQL, args={"run_year": run_year, "view": view})

@@ -6,6 +6,8 @@ run parameters and returns a DataFrame whose column names match the oracle.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -388,8 +390,12 @@ def sink_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("holiday_calendar_sql")
 def holiday_calendar_sql(led: Ledger, p: RunParams) -> DataFrame:
     """holiday_calendar through temp views and parameterised Spark SQL."""
-    led.register_views()
-    return C.holiday_calendar_sql(led.hld.sparkSession, int(p.run_date[:4]))
+    spark, prefix = led.hld.sparkSession, f"ledger_{uuid.uuid4().hex}_"
+    views = led.register_views(prefix)
+    out = C.holiday_calendar_sql(spark, int(p.run_date[:4]), prefix + "holiday")
+    for view in views:      # the result no longer needs the names
+        spark.catalog.dropTempView(view)
+    return out
 
 
 @query("dated_ledger")
