@@ -23,8 +23,8 @@ below the threshold) count as too different.
 
 Defined results: rows with one doc_id are one document and share its class; a
 document of one to four words has all its words as its one shingle; null and
-empty texts have no shingles and link with nothing; a null doc_id is no
-document (its row has a null class and is kept).
+empty texts have no shingles and link with nothing; a row without a doc_id is no
+document: it has no class, and ``one_of_each`` keeps it.
 """
 
 from __future__ import annotations

@@ -54,13 +54,14 @@ def targets(sizes: DataFrame, share: tuple[int, int] = (3, 2), most: int = 2) ->
     if num > den * most:
         raise ValueError("the share asks for more than every source may give")
     cap = F.col("source_size") * most
-    up, down = num * total, den * sizes.agg(F.sum("weight")).first()[0]
+    weights = sizes.agg(F.sum("weight")).first()[0]
+    up, down = num * total, den * weights
     while True:
         # full: cap <= weight * level, with level = up / down
         full = sizes.filter(cap.cast("decimal(38,0)") * F.lit(down).cast("decimal(38,0)")
                             <= F.col("weight").cast("decimal(38,0)") * F.lit(up).cast("decimal(38,0)"))
-        caps, weights = full.agg(F.sum(cap), F.sum("weight")).first()
-        left = den * (sizes.agg(F.sum("weight")).first()[0] - (weights or 0))
+        caps, used = full.agg(F.sum(cap), F.sum("weight")).first()
+        left = den * (weights - (used or 0))
         if not left:
             return sizes.withColumn("target", cap.cast("double"))
         if (num * total - den * (caps or 0), left) == (up, down):
@@ -125,7 +126,7 @@ def narrow(docs: DataFrame, seed: str) -> DataFrame:
                             order_key(seed).alias("key"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("tie")), "mix-rows")
 
 
-def take_of(rows: DataFrame, cuts: DataFrame, size: str) -> Column:
+def take_of(size: str) -> Column:
     """Words to take of a row joined with its source's cut."""
     before = (F.col("key") < F.col("cut_key")) | ((F.col("key") == F.col("cut_key")) & (F.col("tie") < F.col("cut_tie")))
     at = (F.col("key") == F.col("cut_key")) & (F.col("tie") == F.col("cut_tie"))
@@ -142,7 +143,7 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share: tuple[int, i
     both = p.join(c, F.col("p.source").eqNullSafe(F.col("c.source"))).select("p.*", "passes", "cut_key", "cut_tie", "cut_take").alias("b")
     r = rows.alias("r")
     out = r.join(both, F.col("r.source").eqNullSafe(F.col("b.source")))
-    return out.select("r.doc_id", "r.source", "r.size", "b.source_size", "b.target", take_of(rows, cuts, "size").alias("taken"))
+    return out.select("r.doc_id", "r.source", "r.size", "b.source_size", "b.target", take_of("size").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2,
@@ -159,7 +160,7 @@ def mixed_documents(docs: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share:
         "doc", "source", "text", size_of().alias("size"), order_key(seed).alias("key"), F.md5(F.coalesce("text", F.lit(""))).alias("tie"))
     d, c = wide.alias("d"), cuts.alias("c")
     both = d.join(c, F.col("d.source").eqNullSafe(F.col("c.source")))
-    taken = take_of(wide, cuts, "size")
+    taken = take_of("size")
     whole = F.when(F.col("size") > 0, F.floor(taken / F.col("size"))).otherwise(F.lit(0)).cast("int")
     # pieces of white space and one word each; joined again they are the text's beginning
     words = F.split("text", f"(?<={_BLACK})(?={_WS})")

@@ -23,6 +23,7 @@ comes back as null; no documents make no shard.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import unicodedata
@@ -128,6 +129,8 @@ def _put(store, path: str, chunks) -> None:
     with store.open_output_stream(tried) as out:
         for c in chunks:
             out.write(c)
+    with contextlib.suppress(FileNotFoundError, OSError):  # of an earlier attempt of the same task
+        store.delete_file(path)
     store.move(tried, path)
 
 
