@@ -61,20 +61,37 @@ def save(df: DataFrame, name: str, *by: str) -> DataFrame:
 
 
 _shipped: set[str] = set()
+_remembered: dict[str, dict] = {}
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def remembered(name: str) -> dict:
+    """What a worker keeps between tasks under a name."""
+    return _remembered.setdefault(name, {})
+
+
+def forget(but: str | None) -> None:
+    """Drop what a worker keeps under other names."""
+    for name, kept in _remembered.items():
+        if name != but:
+            kept.clear()
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str, memory: str | None = None) -> DataFrame:
     """``df.mapInArrow`` with this package sent to the executors first (once per
     application), so that they need no installation of it.
 
     Memory: batches hold ``BATCH_ROWS`` rows unless the session says otherwise,
-    and a worker gives back what it has freed when a task ends.
+    and a worker gives back what it has freed when a task ends.  Between tasks it
+    keeps only what ``remembered`` has under ``memory``.
     """
     conf = df.sparkSession.conf
     if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # Spark's default
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from daybook.llm.common import forget  # the worker's own module, not a copy
+
+        forget(memory)
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # not every C library can

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from daybook.llm.common import doc_rows, map_arrow, real_id, save, scratch, slices
+from daybook.llm.common import doc_rows, map_arrow, real_id, remembered, save, scratch, slices
 
 #: How the pre-tokenizer of the file cuts normalised text (a fixed value of the
 #: file), for Latin text without the characters of ``_ODD``.
@@ -51,9 +51,7 @@ _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
 _ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\u0130"
                   "\u0250-\u200f\u2028-\u202f\u205f-\U0010ffff]")
 #: Pieces that a worker remembers.
-_MEMORY = 1_000_000
-
-_encoders: dict[tuple, Encoder] = {}
+_MEMORY = 800_000
 
 
 class Encoder:
@@ -93,9 +91,10 @@ class Encoder:
 
 
 def encoder(path: str, dtype: str) -> Encoder:
-    if (path, dtype) not in _encoders:
-        _encoders[path, dtype] = Encoder(path, dtype)
-    return _encoders[path, dtype]
+    known = remembered("tokenizers")
+    if (path, dtype) not in known:
+        known[path, dtype] = Encoder(path, dtype)
+    return known[path, dtype]
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, dtype: str) -> DataFrame:
@@ -110,7 +109,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, dtype: str) -> DataFram
                 "doc_id": b.column("doc_id"), "rk": b.column("rk"), "ids": pa.array([pack(x) for x in ids], pa.binary()),
                 "n_tokens": pa.array([len(x) // np.dtype(dtype).itemsize for x in ids], pa.int64())})
 
-    return map_arrow(doc_rows(docs), run, "doc_id long, rk long, ids binary, n_tokens long")
+    return map_arrow(doc_rows(docs), run, "doc_id long, rk long, ids binary, n_tokens long", memory="tokenizers")
 
 
 def _store(folder: str):
