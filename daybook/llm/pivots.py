@@ -9,8 +9,10 @@ Lists beyond ``block`` vectors are cut into blocks, and every pair of blocks is
 cell of its own, so no cell has more than 2 x ``block`` vectors.  Of a cell
 only link counts and a spanning set of links are returned, no pairs.
 
-The pivots are a bounded sample (``pivots`` vectors in hash order); every vector is
-indexed.  Vectors equal in label and bits are one entry with a multiplicity.
+The pivots are a bounded sample: up to ``pivots`` vectors in hash order, of which
+none is within ``apart`` (cosine) of another, so that a dense cluster owns few of
+them and its members, whose other pivots lie far off, name the same ones.  Every
+vector is indexed.  Vectors equal in label and bits are one entry with a multiplicity.
 
 Defined results: vectors that are null, zero, hold a null or non-finite component
 or have a null label link with nothing; so do rows with a null vec_id, whose
@@ -63,6 +65,15 @@ def _rows_of(col: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), "<f8").reshape(-1, dim)
 
 
+def _spread(candidates: np.ndarray, most: int, apart: float) -> np.ndarray:
+    """The first ``most`` unit vectors that are not within ``apart`` of one taken before."""
+    taken = np.zeros((0, candidates.shape[1]))
+    for v in candidates:
+        if len(taken) < most and not (taken @ v >= apart).any():
+            taken = np.vstack([taken, v])
+    return taken
+
+
 def _postings(vectors: DataFrame, pivots: dict[int, np.ndarray], nearest: int) -> DataFrame:
     """A row for each vector and each pair of its nearest pivots; its pivots in
     ascending order go along.  A dimension with fewer than two pivots has one list."""
@@ -132,7 +143,8 @@ def _cell(rows: list[tuple], least: float) -> tuple[np.ndarray, np.ndarray, np.n
     return rep[hit], links[hit], rep[order][root[hit]]
 
 
-def linked(embeddings: DataFrame, least: float = 0.93, pivots: int = 128, nearest: int = 8, block: int = 1024) -> DataFrame:
+def linked(embeddings: DataFrame, least: float = 0.93, pivots: int = 128, nearest: int = 8, block: int = 1024,
+           apart: float = 0.9) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each row."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
     packed = save(_packed(rows.filter("vec_id is not null and label is not null")).withColumn("h", F.unhex(F.md5("v"))), "vectors")
@@ -140,9 +152,9 @@ def linked(embeddings: DataFrame, least: float = 0.93, pivots: int = 128, neares
     vectors = save(packed.join(reps.withColumn("vec_id", F.col("rep")), ["label", "dim", "h", "vec_id"])
                    .dropDuplicates(["label", "dim", "h"]).select("rep", "label", "dim", "n", "v"), "vector-reps")
     sample: dict[int, list[bytes]] = {}
-    for r in vectors.orderBy(F.xxhash64("rep"), "rep").limit(4 * pivots).collect():
+    for r in vectors.orderBy(F.xxhash64("rep"), "rep").limit(16 * pivots).collect():
         sample.setdefault(r.dim, []).append(bytes(r.v))
-    points = {d: _unit(np.frombuffer(b"".join(x[:pivots]), "<f8").reshape(-1, d)) for d, x in sample.items()}
+    points = {d: _spread(_unit(np.frombuffer(b"".join(x), "<f8").reshape(-1, d)), pivots, apart) for d, x in sample.items()}
     posts = save(_postings(vectors, points, nearest), "postings")
     lists = save(posts.groupBy("label", "dim", "pair").agg(F.count("*").alias("size")).filter("size > 1"), "lists")
     blocks = F.ceil(F.col("size") / block).cast("int")

@@ -252,3 +252,17 @@ def test_vectors_against_brute_force(spark):
         assert all(got[i].kept == (got[i].component_id == i) for i in range(508))
         assert got[None].n_links == 0 and got[None].component_id is None and got[None].kept
     assert pivots.linked(table.limit(0)).count() == 0
+
+
+def test_links_inside_a_hot_cluster(spark):
+    """A third of the rows in one cluster of distinct vectors."""
+    for seed, mean in ((2, 0.95), (3, 0.97)):
+        rng = np.random.default_rng(seed)
+        centre = rng.normal(size=64)
+        near = centre / np.linalg.norm(centre) + np.sqrt((1 / mean - 1) / 64) * rng.normal(size=(800, 64))
+        v = np.concatenate([near, rng.normal(size=(1600, 64))])
+        unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+        real = int((unit @ unit.T >= 0.93).sum()) - len(v)
+        table = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+        found = sum(r.n_links for r in pivots.linked(table).collect())
+        assert 0.9 * real <= found <= real
