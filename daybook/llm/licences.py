@@ -1,8 +1,8 @@
 """Licence scans by sentence rules.
 
 A known licence sentence has an identifier.  A document's sentences are looked
-up after normalisation (case and punctuation folded, line breaks inside a
-sentence ignored), which turns it into a sequence of identifiers; rules are
+up after normalisation (case and punctuation folded by Unicode, line breaks inside
+a sentence ignored), which turns it into a sequence of identifiers; rules are
 ordered sequences of identifiers, and the longest rule that matches at a place
 wins, so a notice cut into sentences is recognised as a whole and its parts are
 not reported again.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import map_arrow, slices
-from daybook.llm.words import FOLD, rolling, split_words, text_buffer
+from daybook.llm.words import FOLD, folded, rolling, split_words, text_buffer
 
 #: Sentences of well-known licence notices, by identifier.
 SENTENCES = {
@@ -127,7 +127,7 @@ class Scanner:
         self.names = list(sentences)
         self.by_length: dict[int, dict[int, int]] = {}
         for i, text in enumerate(sentences.values()):
-            h = split_words(pa.array([text]), FOLD).hashes()
+            h = split_words(folded(pa.array([text])), FOLD).hashes()
             self.by_length.setdefault(len(h), {})[int(rolling(h, len(h))[0])] = i
         self.rules: dict[int, list[tuple[list[int], str]]] = {}
         for licence, order in sorted(rules, key=lambda r: -len(r[1])):
@@ -136,6 +136,7 @@ class Scanner:
 
     def sentences(self, texts: pa.Array) -> list[list[tuple[int, int, int]]]:
         """For each text, (first word, words, identifier) of its known sentences in order."""
+        texts = folded(texts)
         w = split_words(texts, FOLD)
         h, doc = w.hashes(), w.doc()
         out: list[list[tuple[int, int, int]]] = [[] for _ in range(len(texts))]

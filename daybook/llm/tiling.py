@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
 A test item and a document are compared as word sequences (case and
-punctuation folded).  Runs of ``least`` words that an item and a document share
+punctuation folded by Unicode; in scripts written without blanks, such as Chinese,
+Japanese and Thai, each letter is a word).  Runs of ``least`` words that an item and a document share
 are seeds; for every pair with seeds, tiles are laid: the longest common run of
 words not yet covered in either is marked, again and again, down to ``least``
 words (running Karp-Rabin: equal hashes of runs of the current length are
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import map_arrow, save, slices
-from daybook.llm.words import FOLD, rolling, split_words
+from daybook.llm.words import FOLD, folded, rolling, split_words
 
 
 def _free_runs(free: np.ndarray, size: int) -> np.ndarray:
@@ -106,7 +107,7 @@ class Block:
 
     def search(self, texts: pa.Array, coverage: float) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, words covered, tiles) of the pairs that reach the coverage."""
-        w = split_words(texts, FOLD)
+        w = split_words(folded(texts), FOLD)
         h, doc = w.hashes(), w.doc()
         run = rolling(h, self.least)
         at = np.flatnonzero(self.near[run & np.uint64((1 << 20) - 1)])
@@ -137,7 +138,7 @@ class Block:
 def _blocks(items: DataFrame, least: int, block_words: int) -> Iterator[Block]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            w = split_words(b.column("text"), FOLD)
+            w = split_words(folded(b.column("text")), FOLD)
             h = w.hashes()
             yield pa.RecordBatch.from_pydict({"item_id": b.column("item_id"), "words": pa.array(
                 [h[i:j].tobytes() for i, j in zip(w.ptr[:-1], w.ptr[1:], strict=True)], pa.binary())})

@@ -7,15 +7,17 @@ in UTF-8 is the same as a run of such characters.
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-#: Case and punctuation folded: ASCII letters to lower case, digits and bytes
-#: beyond ASCII kept, everything else parts words.
+#: Case and punctuation of ASCII folded: letters to lower case, digits and bytes
+#: beyond ASCII kept, everything else parts words.  For other texts see ``folded``.
 FOLD = np.zeros(256, np.uint8)
 FOLD[128:] = np.arange(128, 256)
 FOLD[48:58] = np.arange(48, 58)
@@ -84,6 +86,30 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
+#: Beyond ASCII, in this order: characters without width go, line and sentence
+#: ends become ASCII ones, other punctuation, symbols and blanks part words, and
+#: in scripts written without blanks each letter, with its marks, is a word.
+_BEYOND = (
+    (r"[\x{AD}\x{200C}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{2066}-\x{2069}\x{FEFF}]+", ""),
+    (r"[\x{85}\x{2028}\x{2029}]", "\n"),
+    (r"[\x{2026}\x{3002}\x{FF01}\x{FF0E}\x{FF1A}\x{FF1B}\x{FF1F}\x{FF61}]", ". "),
+    (r"[^\x00-\x7F\pL\pM\pN]+", " "),
+    (r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]\pM*)", r" \1 "),
+)
+
+
+def folded(texts: pa.Array) -> pa.Array:
+    """The texts with case and punctuation beyond ASCII folded (canonical caseless
+    form), for ``split_words(..., FOLD)``; ASCII texts as they are."""
+    if not (text_buffer(texts)[0] & 0x80).any():
+        return texts
+    out = pa.array([t if t is None or t.isascii() else unicodedata.normalize("NFC", unicodedata.normalize("NFD", t).casefold())
+                    for t in texts.to_pylist()], pa.large_string())
+    for pattern, by in _BEYOND:
+        out = pc.replace_substring_regex(out, pattern, by)
+    return out
+
+
 def split_words(texts: pa.Array, table: np.ndarray | None = None) -> Words:
     """``table``: a byte for each byte, 0 where words part (plain white space
     otherwise), for instance to lower-case and to part at punctuation."""

@@ -171,8 +171,27 @@ def test_contaminated_finds_reordered_passages(spark):
     assert tiling.contaminated(docs, bench.limit(0)).count() == 0 and tiling.contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_contaminated_folds_by_unicode(spark):
+    items = ["¿Dónde está la próxima estación según él? Mañana volveré aquí también.", "Die größte Straße führt über Österreich nach Ungarn, schön!",
+             "Ο δρόμος προς την Αθήνα είναι μακρύς", "Большая дорога ведёт через лес к морю", "北京是中国的首都，人口众多。", "plain words only in this one here"]
+    quoted = [f"“{t.upper()}” — " for t in items]
+    texts = [f"noise ünd more {q} end" for q in quoted] + ["«" + items[0].replace("ó", "o\u0301").replace(" ", "\u00a0") + "»", "我们说过北京是中国的首都。", "東京"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in tiling.contaminated(documents(spark, texts + [None]), bench).collect()}
+    assert got == {**{(i, i): 1.0 for i in range(6)}, (6, 0): 1.0, (7, 4): 8 / 12}
+    assert sorted(r.doc_id for r in tiling.without_contaminated(documents(spark, texts + [None]), bench).collect()) == [8, 9]
+
+
 # --- licences
 
+def test_licences_with_typographic_quotes(spark):
+    mit = "\n".join(licences.SENTENCES[s] for s in ("mit-permission", "mit-notice", "mit-as-is", "mit-liability"))
+    texts = [mit.replace('"Software"', "“Software”").replace('"AS IS"', "“AS IS”"),
+             "Prólogo… «Released under the MIT License.»"]
+    got = sorted((r.doc_id, r.licence, r.n_sentences) for r in licences.licences(documents(spark, texts)).collect())
+    assert got == [(0, "MIT", 4), (1, "MIT", 1)]
+
+
 def test_licences(spark):
     mit = "\n".join(licences.SENTENCES[s] for s in ("mit-permission", "mit-notice", "mit-as-is", "mit-liability"))
     texts = ["Some prose\nReleased under the MIT License.\nMore.", "x. " + mit.replace(" copies", "\ncopies") + " End.",
