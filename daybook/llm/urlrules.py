@@ -1,12 +1,13 @@
 """URL filter by association rules.
 
-A URL is a set of tokens: its host's suffixes, its path segments (digits as #),
-the ending of its last segment, the names in its query, and whether it has a
-fragment.  FP-growth over the labelled pages finds token sets that come with bad
-pages; rules below the support or confidence, and rules that a shorter one makes
-redundant, are pruned.  Matching is by inverted index: a rule stands under its
-rarest token, so a URL meets only the rules of its own tokens, and is checked
-for their other tokens.  URLs with one token set are matched once.
+A URL is a set of tokens: its host's suffixes, the labels of its host and their
+parts between hyphens (but for the last label, which is a suffix), its path segments
+(digits as #), the ending of its last segment, the names in its query, and whether
+it has a fragment.  FP-growth over the labelled pages finds token sets that come
+with bad pages; rules of too few bad pages (one count at every size of input) or too
+low confidence, and rules that a shorter one makes redundant, are pruned.  Matching
+is by inverted index: a rule stands under its rarest token, so a URL meets only the
+rules of its own tokens, and is checked for their other tokens.  URLs with one token set are matched once.
 
 Fixed rules (verdict, host, path) come first: one fits its host and all its
 subdomains when the path starts with its path; the longest decides.
@@ -44,6 +45,9 @@ def tokens() -> Column:
     labels = F.split("host", r"\.")
     hosts = F.transform(F.sequence(F.lit(1), F.size(labels)),
                         lambda i: F.concat(F.lit("h:"), F.array_join(F.slice(labels, -i, i), ".")))
+    names_of = F.filter(F.slice(labels, 1, F.size(labels) - 1), lambda s: s != "")
+    parts = F.filter(F.flatten(F.transform(names_of, lambda s: F.split(s, "-"))), lambda s: s != "")
+    own = F.transform(F.concat(names_of, parts), lambda s: F.concat(F.lit("l:"), s))
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     steps = F.transform(segments, lambda s: F.concat(F.lit("p:"), F.regexp_replace(s, "[0-9]+", "#")))
     ending = F.regexp_extract("path", r"\.([A-Za-z0-9]{1,8})$", 1)
@@ -52,7 +56,7 @@ def tokens() -> Column:
                         lambda s: F.concat(F.lit("q:"), F.substring_index(s, "=", 1)))
     none = F.array().cast("array<string>")
     return F.array_sort(F.array_distinct(F.concat(
-        F.when(F.col("host") != "", hosts).otherwise(none), steps, names,
+        F.when(F.col("host") != "", F.concat(hosts, own)).otherwise(none), steps, names,
         F.when(ending != "", F.array(F.concat(F.lit("e:"), ending))).otherwise(none),
         F.when(F.instr("tail", "#") > 0, F.array(F.lit("f:"))).otherwise(none))))
 
@@ -66,21 +70,20 @@ def fixed_verdict(rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
     return best["rule"], best["verdict"]
 
 
-def mine(sets: DataFrame, min_support: float, min_confidence: float, min_count: int = 20) -> DataFrame:
+def mine(sets: DataFrame, min_confidence: float, min_count: int = 20) -> DataFrame:
     """(rule_id, items, confidence, support) from (tokens, bad) rows, pruned.
 
-    The support is at least ``min_count`` rows, so that few labels make no rules
-    of chance.
+    A rule has at least ``min_count`` bad rows however many rows there are: few
+    labels make no rules of chance, and a rare host is judged alike in a large table.
     """
     spark = sets.sparkSession
     schema = "items array<string>, confidence double, support double"
     baskets = save(sets.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(_BAD))).otherwise(F.col("tokens")).alias("items")), "baskets")
     n = baskets.count()
-    min_support = max(min_support, min_count / max(n, 1))
-    if min_support > 1 or baskets.filter(F.array_contains("items", _BAD)).isEmpty():
+    if n < min_count or baskets.filter(F.array_contains("items", _BAD)).isEmpty():
         rules = spark.createDataFrame([], schema)
     else:
-        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence,
+        model = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n, minConfidence=min_confidence,
                          numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(baskets)
         rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(_BAD))).select(
             F.array_sort("antecedent").alias("items"), "confidence", "support")
@@ -93,13 +96,13 @@ def mine(sets: DataFrame, min_support: float, min_confidence: float, min_count:
     return save(rules.join(idle, "rule_id", "left_anti"), "pruned-rules")
 
 
-def judge(pages: DataFrame, labels: DataFrame, fixed: list[tuple[str, str, str]], min_support: float = 0.002,
+def judge(pages: DataFrame, labels: DataFrame, fixed: list[tuple[str, str, str]],
           min_confidence: float = 0.6, min_count: int = 20) -> DataFrame:
     """(page_id, host, path, rule, verdict, mined_rule, confidence) of each page."""
     urls = host_and_path(pages.select("page_id", F.col("url").cast("string").alias("url"))).withColumn("tokens", tokens())
     bad = F.max((F.col("quality") == 0) | (F.col("toxic") > 0))
     told = labels.groupBy(F.col("doc_id").alias("page_id")).agg(bad.alias("bad")).filter("bad is not null")
-    rules = mine(urls.join(told, "page_id").select("tokens", "bad"), min_support, min_confidence, min_count)
+    rules = mine(urls.join(told, "page_id").select("tokens", "bad"), min_confidence, min_count)
     sets = save(urls.groupBy("tokens").agg(F.count("*").alias("n")), "token-sets")
     common = sets.select("n", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("n").alias("n"))
     held = rules.select("rule_id", "items", "confidence", F.explode("items").alias("token"))

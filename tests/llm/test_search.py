@@ -238,6 +238,19 @@ def test_mined_rules_against_brute_force(spark):
             assert got[i].confidence == pytest.approx(bad[key] / group[key])
 
 
+def test_rare_bad_names_are_blocked_in_a_large_table(spark):
+    """A host with 30 of 20,000 labelled pages, and a bad name spread over domains."""
+    urls = [f"http://site{i % 97}.com/p/{i}" for i in range(20000)]
+    urls[100:130] = [f"http://rare.example/{i}" for i in range(30)]
+    for k, end in enumerate(("com", "net", "org")):
+        urls[200 + 8 * k:208 + 8 * k] = [f"http://casino-win{k}.site{k}.{end}/{i}" for i in range(8)]
+    bad = {*range(100, 130), *range(200, 224)}
+    pages = spark.createDataFrame([*enumerate(urls), (20000, "http://best-casino.info/")], "page_id long, url string")
+    told = spark.createDataFrame([(i, int(i not in bad), 0) for i in range(20000)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in urlrules.judge(pages, told, [("allow", "no.example", "/")]).collect()}
+    assert {i for i, v in got.items() if v == "block"} == bad | {20000}
+
+
 # --- vectors
 
 def test_vectors_against_brute_force(spark):
