@@ -202,6 +202,27 @@ def test_licences(spark):
     assert licences.licences(docs.limit(0)).count() == 0
 
 
+def test_licences_of_the_common_kinds_parts_and_tags(spark):
+    say = licences.SENTENCES
+    texts = {say["mit-permission"]: ["MIT"], say["gpl-hope"]: ["GNU"], say["gpl-details"]: ["GPL"], say["apache-may-not"]: ["Apache-2.0"], say["bsd-source"]: ["BSD"],
+             say["gpl-without"]: ["GNU"], say["unlicense-free"]: ["Unlicense"], say["isc-permission"]: ["ISC"], say["epl2-available"]: ["EPL-2.0"],
+             " ".join(say[s] for s in ("gpl2-free-program", "gpl-hope", "gpl-without", "gpl-details")): ["GPL-2.0-or-later"],
+             " ".join(say[s] for s in ("lgpl2.1-free-library", "gpl-hope-library", "gpl-without", "lgpl-details")): ["LGPL-2.1-or-later"],
+             " ".join(say[s] for s in ("mpl2-subject", "mpl2-copy-https")): ["MPL-2.0"], say["agpl3-free-program"]: ["AGPL-3.0-or-later"],
+             "This project is licensed under the GPLv3.": ["GPL-3.0-only"], "Licensed under CC BY-NC-SA 3.0.": ["CC-BY-NC-SA-3.0"],
+             "/* SPDX-License-Identifier: MIT */": ["MIT"], "# SPDX-License-Identifier: (MIT OR Zlib) AND 0BSD\nx": ["0BSD", "MIT", "Zlib"],
+             "é spdx-license-identifier: gpl-2.0+.": ["GPL-2.0+"], "SPDX-License-Identifier: Apache-2.0+": ["Apache-2.0+"],
+             "SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0": ["GPL-2.0-only WITH Classpath-exception-2.0"],
+             "SPDX-License-Identifier: LicenseRef-Own": ["LicenseRef-Own"], "SPDX-License-Identifier: see below": []}
+    rows = licences.licences(documents(spark, list(texts))).collect()
+    assert [sorted(r.licence for r in rows if r.doc_id == i) for i in range(len(texts))] == list(texts.values())
+    assert [(r.first_word, r.end_word) for r in rows if r.licence == "GPL-2.0+"] == [(1, 7)]
+    known = spark.createDataFrame([("own", "Our own words only.")], "id string, text string")
+    rules = spark.createDataFrame([("Own", ["own"])], "licence string, ids array<string>")
+    got = licences.licences(documents(spark, ["Our own words only.", "MIT License"]), known, rules).collect()
+    assert [(r.doc_id, r.licence) for r in got] == [(0, "Own")]
+
+
 # --- URL rules
 
 def test_hosts_paths_and_fixed_rules(spark):
