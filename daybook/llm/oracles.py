@@ -78,5 +78,56 @@ FROM (SELECT k.*, o.key IS NOT NULL AND o.top <> k.doc_id AS gone FROM keyed k L
 GROUP BY doc_id"""
 
 
+RUNS = f"""
+WITH d AS (
+  SELECT doc_id, {_WORDS} AS words,
+         xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+           lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1))),
+           4294967295)) AS h
+  FROM documents)
+, g AS (SELECT *, len(words) AS n, h // 10 AS g FROM d)
+, a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM g)
+, p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a)
+, w AS (
+  SELECT doc_id, n, i, CASE WHEN i < a OR a IS NULL THEN words[i + 1] ELSE words[a + (i - a) % p + 1] END AS word
+  FROM (SELECT *, unnest(range(0, n)) AS i FROM p))
+, same AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND (y.i - x.i) * 4 <= x.n)
+, stretch AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same) GROUP BY doc_id, q, island)
+, run AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretch WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length)
+, text AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+  FROM run GROUP BY doc_id)
+, top AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1)
+, gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run)
+, kept AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) AS kept FROM w ANTI JOIN gone ON gone.doc_id = w.doc_id AND gone.i = w.i GROUP BY w.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN text ON text.doc_id = d.doc_id LEFT JOIN top ON top.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)
+, s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0)
+, pos AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+, neg AS (
+  SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank
+  FROM pos p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+  WHERE 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT * FROM neg WHERE rank <= 10"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op2_substrings": SUBSTRINGS, "op6_mix": MIX, "op9_pivots": VECTORS, "op10_lines": LINES}
+    return {"op2_substrings": SUBSTRINGS, "op6_mix": MIX, "op9_pivots": VECTORS, "op10_lines": LINES,
+            "op11_runs": RUNS, "op13_negatives": NEGATIVES}

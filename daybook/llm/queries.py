@@ -99,7 +99,36 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs, their strongest one, and the text without repeats."""
+    from daybook.llm.runs import find_runs, planted, strongest
+
+    got = find_runs(planted(_table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return got.withColumn("top", strongest()).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.floor(F.lit(1000) * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of the documents with its place in a sequence."""
+    from daybook.llm.packing import packed
+
+    got = packed(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return got.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has the next label."""
+    from daybook.llm.negatives import hard_negatives
+
+    other = (F.col("label").cast("long") + 1) % 10
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, other).otherwise(F.col("label")))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_quality, op2_substrings, op3_url_rules, op4_token_files, op5_minhash, op6_mix, op7_tiling, op8_licences,
-        op9_pivots, op10_lines)}
+        op9_pivots, op10_lines, op11_runs, op12_packing, op13_negatives)}

@@ -25,8 +25,6 @@ from __future__ import annotations
 
 import contextlib
 import os
-import re
-import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,62 +37,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from daybook.llm.common import doc_rows, map_arrow, real_id, remembered, save, scratch, slices
-
-#: How the pre-tokenizer of the file cuts normalised text (a fixed value of the
-#: file), for Latin text without the characters of ``_ODD``.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
-#: Texts with such characters are left to the library whole: controls, white
-#: space beyond the six ASCII characters, raised figures and fractions, a dotted
-#: capital I (two characters in lower case), and all beyond Latin but dashes,
-#: quotes and the like.
-_ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\u0130"
-                  "\u0250-\u200f\u2028-\u202f\u205f-\U0010ffff]")
-#: Pieces that a worker remembers.
-_MEMORY = 800_000
-
-
-class Encoder:
-    """Ids of texts as packed integers, by remembered pieces.
-
-    The tokenizer of the file drops white space and encodes what stands between
-    piece by piece, so a text's ids are its pieces' ids in a row.  Every piece is
-    encoded by the tokenizers library once and then remembered (a bounded memory
-    of the worker, which has no influence on the result).  Texts that the cutting
-    rule is not sure to cut alike, and those with a special token's string, go to
-    the library whole.
-    """
-
-    def __init__(self, path: str, dtype: str):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
-
-    def library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        got = self.library(piece)
-        if len(self.pieces) < _MEMORY and len(piece) <= 64:
-            self.pieces[piece] = got
-        return got
-
-    def encode(self, text: str) -> bytes:
-        if _ODD.search(text) or any(s in text for s in self.special):
-            return self.library(text)
-        known, new = self.pieces.get, self._piece
-        plain = (text if text.isascii() else unicodedata.normalize("NFC", text)).lower()
-        return b"".join([known(p) or new(p) for p in _PIECES.findall(plain)])
-
-
-def encoder(path: str, dtype: str) -> Encoder:
-    known = remembered("tokenizers")
-    if (path, dtype) not in known:
-        known[path, dtype] = Encoder(path, dtype)
-    return known[path, dtype]
+from daybook.llm.common import doc_rows, map_arrow, real_id, save, scratch, slices
+from daybook.llm.encoding import encoder, id_type
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, dtype: str) -> DataFrame:
@@ -104,10 +48,10 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, dtype: str) -> DataFram
         enc, end = encoder(tokenizer, dtype), np.array([end_id], dtype).tobytes()
         pack = zstandard.ZstdCompressor(3).compress
         for b in slices(batches):
-            ids = [enc.encode(t) + end for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "rk": b.column("rk"), "ids": pa.array([pack(x) for x in ids], pa.binary()),
-                "n_tokens": pa.array([len(x) // np.dtype(dtype).itemsize for x in ids], pa.int64())})
+            ids, ptr = enc.batch(b.column("text"))
+            packed = [pack(ids[x:y].tobytes() + end) for x, y in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "rk": b.column("rk"), "ids": pa.array(packed, pa.binary()),
+                                              "n_tokens": np.diff(ptr) + 1})
 
     return map_arrow(doc_rows(docs), run, "doc_id long, rk long, ids binary, n_tokens long", memory="tokenizers")
 
@@ -133,11 +77,11 @@ def _put(store, path: str, chunks) -> None:
     store.move(tried, path)
 
 
-def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, vocabulary: int = 49408,
+def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1,
                 shard_ids: int = 8_000_000) -> DataFrame:
     """Write the files and return the manifest (shard, bin, idx, n_docs, n_ids,
     dtype, base)."""
-    dtype = "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
+    dtype = id_type(tokenizer, end_id)
     encoded = save(encode(docs, tokenizer, end_id, dtype), "encoded")
     total = encoded.agg(F.sum("n_tokens")).first()[0]
     shards = max(1, -(-(total or 0) // shard_ids))
