@@ -2,12 +2,17 @@
 
 No helper shortens a value.  In a fixed-width field a longer value stops the
 run with the field's width and the value's length (``fit_left``,
-``fit_right``); where a longer text does no harm (delimited lines, counts) it
-is written in full (``pad_left``).  A NULL input stays NULL.
+``fit_right``), unless the record is built under ``collecting_faults``: then it is
+noted as a fault of the record, which the caller rejects.  Where a longer text does
+no harm (delimited lines, counts) it is written in full (``pad_left``).  A NULL
+input stays NULL.
 """
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,8 +27,26 @@ def pad_left(x, width: int, fill: str = "0") -> Column:
     return F.when(F.length(x) >= width, x).otherwise(F.lpad(x, width, fill))
 
 
+_faults: list[tuple[Column, int]] | None = None
+
+
+@contextlib.contextmanager
+def collecting_faults() -> Iterator[list[tuple[Column, int]]]:
+    """While open, fields that are built note (length of the value, width) here instead
+    of stopping the run; an over-long value makes its field NULL."""
+    global _faults
+    before, _faults = _faults, []
+    try:
+        yield _faults
+    finally:
+        _faults = before
+
+
 def _fitting(x: Column, width: int) -> Column:
     x = x.cast("string")
+    if _faults is not None:
+        _faults.append((F.length(x), width))
+        return F.when(F.length(x) <= width, x)
     told = F.concat(F.lit(f"a value does not fit its field of {width} characters; it has "), F.length(x).cast("string"))
     return F.when(F.length(x) > width, F.raise_error(told)).otherwise(x)
 

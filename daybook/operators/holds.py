@@ -14,6 +14,7 @@ from daybook.functions.codes import reference_number
 from daybook.operators.attributes import attach_attributes
 from daybook.operators.ledger import money
 from daybook.params import RETENTION_1DAY, RETENTION_2DAYS, RETENTION_NDAYS, Ledger
+from daybook.session import Scope
 
 
 def holds_to_transactions(led: Ledger, state: str | None = None) -> DataFrame:
@@ -27,15 +28,19 @@ def holds_to_transactions(led: Ledger, state: str | None = None) -> DataFrame:
     return h.join(t, h["__ref"] == t["transactionid"], "inner").drop("__ref")
 
 
-def hold_retentions(led: Ledger, run_date: str) -> DataFrame:
+def hold_retentions(led: Ledger, run_date: str, scope: Scope | None = None) -> DataFrame:
     """Pending holds per card reference: sums by the retention type of the
     held transaction — ``'1'``; ``'2'``, ``'3'``; ``'N'`` or no type value —
     for transactions whose accounting date is on or before ``run_date``
     (both attributes mandatory).  ``fechacontab`` is the latest accounting
     date of the group (the SQL selects it without grouping by it).
+    With a ``scope`` the held transactions, which the attribute lookup reads for its
+    keys and joins, are saved there: holds and ledger are read once.
     """
     k = led.keys
-    j = holds_to_transactions(led, "PENDING")
+    j = holds_to_transactions(led, "PENDING").select("cardreferencetoken", "amount", "trx_key")
+    if scope is not None:
+        j = scope.save(j, "held-transactions")
     j = attach_attributes(j, "trx_key", led.cfv, {"__tipo": k.tiporetencion, "__fc": k.fechcontab},
                           required=("__tipo", "__fc"), restrict=True)
     j = j.filter(F.try_to_date(F.col("__fc")) <= F.lit(run_date).cast("date"))

@@ -160,19 +160,21 @@ def max_id_accounting_date(led: Ledger, date: str) -> DataFrame:
 
 
 def day_activity(led: Ledger, date: str, where: Column | None = None) -> DataFrame:
-    """Per account key, the highest id among its transactions with accounting
-    date ``date``: ``(parentaccountkey, max_id)``.
+    """Per account key, the lowest and highest id among its transactions with
+    accounting date ``date``: ``(parentaccountkey, min_id, max_id)``.
 
     One semi join of the ledger with the date's attribute rows and one hash
-    aggregate.  The cut-off of the date and the list of accounts that moved on
-    it are both defined on this frame.  (Spark plans the two uses separately:
-    the cut-off needs ``max_id``, the account list only the keys, so column
-    pruning makes the two sub-plans differ and the date's slice is read twice;
-    in each, the runtime bloom filter drops other dates' rows before the
-    shuffle.)
+    aggregate.  The id bounds and the cut-off of the date and the list of
+    accounts that moved on it are all defined on this frame, which callers save
+    in a scope: Spark would plan each use separately and read the ledger for each.
     """
     t = trx_on_accounting_date(led, date, where)
-    return t.groupBy("parentaccountkey").agg(F.max("transactionid").alias("max_id"))
+    return t.groupBy("parentaccountkey").agg(F.min("transactionid").alias("min_id"), F.max("transactionid").alias("max_id"))
+
+
+def activity_bounds(activity: DataFrame) -> DataFrame:
+    """``id_bounds_on_date`` of a day's activity."""
+    return activity.agg(F.min("min_id").alias("id_transaction_min"), F.max("max_id").alias("id_transaction_max"))
 
 
 def _max_id_via_accounts(activity: DataFrame, acc: DataFrame) -> DataFrame:
@@ -291,6 +293,16 @@ def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
     ``retencion_2dias``, ``retencion_ndias``.
     """
     acc = accounts(led) if acc is None else acc
+    return states_by_number(account_state(led, cutoff), acc, money(led.trx))
+
+
+#: The columns of an account's state, by its key.
+STATE_COLS = ["parentaccountkey", "transactionid", "trx_key", "balance", "r1", "r2", "rn"]
+
+
+def account_state(led: Ledger, cutoff: Column | None = None) -> DataFrame:
+    """Per account key, ``STATE_COLS``: the latest transaction up to the cut-off and the
+    retention sums (NULL when no transaction has a retention type)."""
     t = up_to(led.trx, cutoff).select("transactionid", "encodedkey", "parentaccountkey", "balance", "amount")
     r = (led.cfv.filter(F.col("customfieldkey") == led.keys.tiporetencion)
          .select(F.col("parentkey").alias("__pk"), F.col("value").alias("__tipo")))
@@ -300,13 +312,29 @@ def latest_with_retentions(led: Ledger, cutoff: Column | None = None,
     zero = F.lit(0).cast(kind)
 
     def bucket(vals):
-        return F.sum(F.when(has, F.when(F.col("__tipo").isin(list(vals)), F.col("amount")).otherwise(zero)))
+        return F.sum(F.when(has, F.when(F.col("__tipo").isin(list(vals)), F.col("amount")).otherwise(zero))).cast(kind)
 
     row = F.struct("transactionid", F.col("encodedkey").alias("trx_key"), "balance")
-    lvl1 = j.groupBy("parentaccountkey").agg(
-        F.max_by(row, "transactionid").alias("__t"), bucket(RETENTION_1DAY).alias("__r1"),
-        bucket(RETENTION_2DAYS).alias("__r2"), bucket(RETENTION_NDAYS).alias("__rn"))
-    j2 = acc.join(lvl1, acc["account_key"] == lvl1["parentaccountkey"], "inner").drop("parentaccountkey")
+    return j.groupBy("parentaccountkey").agg(
+        F.max_by(row, "transactionid").alias("__t"), bucket(RETENTION_1DAY).alias("r1"),
+        bucket(RETENTION_2DAYS).alias("r2"), bucket(RETENTION_NDAYS).alias("rn")).select(
+        "parentaccountkey", "__t.*", "r1", "r2", "rn")
+
+
+def merge_states(states: DataFrame, kind: str) -> DataFrame:
+    """States of disjoint sets of transactions folded into one row per account key."""
+    row = F.struct("transactionid", "trx_key", "balance")
+    return states.groupBy("parentaccountkey").agg(
+        F.max_by(row, "transactionid").alias("__t"), *[F.sum(c).cast(kind).alias(c) for c in ("r1", "r2", "rn")]).select(
+        "parentaccountkey", "__t.*", "r1", "r2", "rn")
+
+
+def states_by_number(state: DataFrame, acc: DataFrame, kind: str) -> DataFrame:
+    """The state of each account number: the latest transaction and the summed
+    retentions of its keys, with the account columns of the latest one's key."""
+    own = state.select("parentaccountkey", F.struct("transactionid", "trx_key", "balance").alias("__t"),
+                       *[F.col(c).alias(f"__{c}") for c in ("r1", "r2", "rn")])
+    j2 = acc.join(own, acc["account_key"] == own["parentaccountkey"], "inner").drop("parentaccountkey")
     rest = [c for c in j2.columns if c not in ("numcta", "__r1", "__r2", "__rn")]
     return (j2.groupBy("numcta")
             .agg(F.max_by(F.struct(*rest), F.col("__t.transactionid")).alias("__x"),

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import calendar_date, first_of_month, iso_from_yyyymmdd, next_calendar_day
+from daybook.operators.ordered import carry
+from daybook.session import Scope, program_scope
 
 
 def holiday_calendar(hld: DataFrame, run_year: int) -> DataFrame:
@@ -43,11 +45,11 @@ def _is_weekend(d: Column) -> Column:
     return F.dayofweek(d).isin(1, 7)          # Spark: 1 = Sunday, 7 = Saturday
 
 
-def _horizon(hld: DataFrame, min_date: Column) -> Column:
-    """Days after a date within which a business day must exist.
+def _horizon(closed: DataFrame, after: Column) -> Column:
+    """Days after the date ``after`` within which a business day must exist.
 
     With R distinct recurring (month, day) pairs and O distinct one-off dates
-    on or after the first date asked about, a window of W days (a multiple of
+    on or after the date, a window of W days (a multiple of
     7) holds 5W/7 weekdays and at most R·(W/365 + 2) + O holidays, so it
     holds a business day once 5W/7 > R·(W/365 + 2) + O, which needs
     W > (2R + O + 1) / (5/7 − R/365) while R < 260.  For R ≥ 260: a
@@ -57,13 +59,9 @@ def _horizon(hld: DataFrame, min_date: Column) -> Column:
     there is no business day at all and the result is NULL).  The bound comes
     from the data; nothing is capped.
     """
-    rec = F.coalesce(F.col("isannualyrecurring") == 1, F.lit(False))
-    day = calendar_date("year", "monthofyear", "dayofmonth")
     # a recurring 29 February counts as a (month, day) pair of leap years
-    pair_ok = calendar_date(F.lit(2000), F.col("monthofyear"), F.col("dayofmonth")).isNotNull()
-    stats = hld.agg(F.struct(
-        F.count_distinct(F.when(rec & pair_ok, F.struct("monthofyear", "dayofmonth"))).alias("r"),
-        F.count_distinct(F.when(~rec & (day >= min_date), day)).alias("o")))
+    pair_ok = calendar_date(F.lit(2000), F.col("m"), F.col("d")).isNotNull()
+    stats = closed.agg(F.struct(F.count_if(F.col("m").isNotNull() & pair_ok).alias("r"), F.count_if(F.col("day") >= after).alias("o")))
     s = stats.scalar()                      # one 1-row subquery
     r, o = s.getField("r"), s.getField("o")
     small = F.ceil((F.lit(2) * r + o + 1) / (F.lit(5.0 / 7.0) - r / F.lit(365.0)))
@@ -71,31 +69,40 @@ def _horizon(hld: DataFrame, min_date: Column) -> Column:
     return w.cast("int")
 
 
-def next_business_day(dates: DataFrame, hld: DataFrame, col: str = "fecha") -> DataFrame:
+def closed_days(hld: DataFrame) -> DataFrame:
+    """The distinct holidays: (m, d) of recurring ones, or the one-off ``day``."""
+    rec = F.coalesce(F.col("isannualyrecurring") == 1, F.lit(False))
+    none = F.lit(None).cast("int")
+    out = hld.select(F.when(rec, F.col("monthofyear")).otherwise(none).alias("m"), F.when(rec, F.col("dayofmonth")).otherwise(none).alias("d"),
+                     F.when(~rec, calendar_date("year", "monthofyear", "dayofmonth")).alias("day"))
+    return out.filter(F.coalesce("m", "d").isNotNull() | F.col("day").isNotNull()).distinct()
+
+
+def next_business_day(dates: DataFrame, hld: DataFrame, col: str = "fecha", scope: Scope | None = None) -> DataFrame:
     """For each date in ``dates[col]`` (a date column), the first later day
     that is neither Saturday, Sunday nor a holiday.
 
-    Each date gets its candidate days ``d+1 .. d+W`` (``_horizon``); weekends
-    are filtered, holidays removed by two anti joins (recurring on month and
-    day, one-off on the date) and the minimum kept per date.  Work is
-    partitioned by date; the holiday table is only aggregated and joined.
+    One calendar runs from the first date to ``_horizon`` days after the last, a row
+    per day whatever the number of dates and holiday rows; open days are marked by
+    joining the distinct holidays, the next open day is carried backwards over it
+    (``operators.ordered.carry``), and every date looks up the day after it.  The
+    distinct dates and the distinct holidays are saved in ``scope`` (by default the
+    program's), so each table is read once.
     """
-    d = dates.select(F.col(col).alias("__d")).filter(F.col("__d").isNotNull()).distinct()
-    first = d.agg(F.min("__d")).scalar()
-    w = _horizon(hld, first)
-    cand = d.select("__d", F.explode(F.sequence(F.date_add("__d", 1), F.date_add("__d", w))).alias("__c"))
-    cand = cand.filter(~_is_weekend(F.col("__c")))
-    rec = F.coalesce(F.col("isannualyrecurring") == 1, F.lit(False))
-    rec_days = (hld.filter(rec).select(F.col("monthofyear").alias("__m"), F.col("dayofmonth").alias("__dd"))
-                .distinct())
-    one_off = (hld.filter(~rec)
-               .select(calendar_date("year", "monthofyear", "dayofmonth").alias("__h"))
-               .filter(F.col("__h").isNotNull()).distinct())
-    cand = cand.join(rec_days, (F.month("__c") == F.col("__m")) & (F.dayofmonth("__c") == F.col("__dd")),
-                     "left_anti")
-    cand = cand.join(one_off, F.col("__c") == F.col("__h"), "left_anti")
-    nxt = cand.groupBy("__d").agg(F.min("__c").alias("__n"))
-    out = d.join(nxt, "__d", "left")
+    scope = scope or program_scope(hld.sparkSession)
+    d = scope.save(dates.select(F.col(col).alias("__d")).filter(F.col("__d").isNotNull()).distinct(), "dates")
+    closed = scope.save(closed_days(hld), "closed-days")
+    span = d.agg(F.min("__d").alias("lo"), F.max("__d").alias("hi"))
+    last = d.agg(F.max("__d")).scalar()
+    days = span.select(F.explode(F.sequence(F.date_add("lo", 1), F.date_add("hi", 1 + _horizon(closed, last)))).alias("__c"))
+    yearly = closed.filter(F.col("m").isNotNull()).select("m", "d", F.lit(True).alias("__yearly"))
+    once = closed.filter(F.col("day").isNotNull()).select("day", F.lit(True).alias("__once"))
+    marked = (days.join(yearly, (F.month("__c") == F.col("m")) & (F.dayofmonth("__c") == F.col("d")), "left")
+              .join(once, F.col("__c") == F.col("day"), "left"))
+    is_open = ~_is_weekend(F.col("__c")) & F.col("__yearly").isNull() & F.col("__once").isNull()
+    marked = marked.select("__c", F.when(is_open, F.col("__c")).alias("__open"))
+    nxt = carry(marked, ["__c"], "__open", "__n", scope, backwards=True)
+    out = d.join(nxt, F.date_add("__d", 1) == nxt["__c"], "left")
     return out.select(F.date_format("__d", "yyyy-MM-dd").alias("fecha"),
                       F.date_format("__n", "yyyy-MM-dd").alias("next_business_day"))
 

@@ -20,12 +20,17 @@ fechaaperut, saldo, saldo_bloqueado (the names of ``balance_snapshot``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daybook.functions.codes import sign, state_code
 from daybook.functions.dates import text_date
-from daybook.functions.text import blank_if_null, blanks, fit_left, fit_right, join_fields, pad_left, zeros_text
+from daybook.functions.text import (blank_if_null, blanks, collecting_faults, fit_left, fit_right, join_fields, pad_left,
+                                    zeros_text)
+from daybook.session import Scope, program_scope
+from daybook.sinks import join_parts
 
 # Fixed value: the date the original record code writes in strict mode.
 STRICT_DATE = "2024-01-01"
@@ -220,6 +225,87 @@ def fixed_width_lines(df: DataFrame, run_date: str, strict: bool = False) -> Dat
     return df.select("numcta", F.concat(*[build(ctx) for _, build in LAYOUT]).alias("line"))
 
 
+def checked_lines(df: DataFrame, run_date: str, strict: bool = False) -> DataFrame:
+    """One row per input row: ``numcta``, ``line`` and ``faults``, an array of (field,
+    length, width) of the values that do not fit.  A record with faults has no line."""
+    ctx, parts, faults = {"strict": strict, "run_date": run_date}, [], []
+    for name, build in LAYOUT:
+        with collecting_faults() as found:
+            parts.append(build(ctx))
+        faults += [F.when(length > width, F.struct(F.lit(name).alias("field"), length.alias("length"), F.lit(width).alias("width")))
+                   for length, width in found]
+    out = df.select("numcta", F.concat(*parts).alias("line"), F.filter(F.array(*faults), lambda x: x.isNotNull()).alias("faults"))
+    return out.withColumn("line", F.when(F.size("faults") == 0, F.col("line")))
+
+
+def rejected_fields(checked: DataFrame) -> DataFrame:
+    """(numcta, field, length, width) of each value that does not fit."""
+    return checked.select("numcta", F.explode("faults").alias("f")).select("numcta", "f.*")
+
+
+def trailer_text(run_date_yyyymmdd: str, n: int) -> str:
+    """The trailer of ``n`` written lines; a count of over 8 digits stays whole."""
+    return f"099, {run_date_yyyymmdd}, {str(n).rjust(8, '0')}"
+
+
+@dataclass(frozen=True)
+class Written:
+    lines: int
+    rejected: int
+
+
+def write_extract(checked: DataFrame, path: str, rejects: str, run_date_yyyymmdd: str, single_file: bool = False) -> Written:
+    """Write ``checked_lines`` in one pass: good lines in account order and their trailer
+    as text to ``path``, rejected records as JSON lines (numcta, fields) to ``rejects``.
+
+    Rows are sorted by (kind, numcta) and written to a folder per kind; the counts come
+    from an ``Observation`` on that write, after the sort, where each task that counts
+    also writes.  So nothing is computed twice and nothing saved first.  The trailer
+    counts the written lines; the folders are renamed into place when all is written.
+    """
+    spark = checked.sparkSession
+    bad = F.size("faults") > 0
+    reject = F.to_json(F.struct("numcta", F.col("faults").alias("fields")))
+    rows = checked.select(F.when(bad, "rejects").otherwise("lines").alias("kind"), "numcta",
+                          F.when(bad, reject).otherwise(F.col("line")).alias("value"))
+    seen = Observation("extract")
+    rows = rows.orderBy("kind", "numcta").observe(seen, F.count_if(F.col("kind") == "lines").alias("lines"),
+                                                  F.count_if(F.col("kind") == "rejects").alias("rejected"))
+    jvm = spark._jvm
+    with Scope(spark, "extract") as scope:
+        folder = scope.new_path("parts")
+        rows.select("kind", "value").write.partitionBy("kind").text(folder)
+        got = Written(**seen.get)
+        trailer = trailer_text(run_date_yyyymmdd, got.lines) + "\n"
+        for kind, target in (("lines", path), ("rejects", rejects)):
+            src, to = (jvm.org.apache.hadoop.fs.Path(x) for x in (f"{folder}/kind={kind}", target))
+            fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+            fs.delete(to, True)
+            fs.mkdirs(to.getParent())
+            if kind == "lines" and single_file:
+                fs.mkdirs(to)
+                one = f"{target.rstrip('/')}/part-00000"
+                if got.lines:
+                    join_parts(spark, src.toString(), one, last=trailer.encode())
+                else:
+                    _put(fs, jvm.org.apache.hadoop.fs.Path(one), trailer)
+                continue
+            if getattr(got, "lines" if kind == "lines" else "rejected"):
+                if not fs.rename(src, to):
+                    raise OSError(f"cannot rename {src.toString()} to {target}")
+            else:
+                fs.mkdirs(to)
+            if kind == "lines":     # last in name order: letters come after digits
+                _put(fs, jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/part-trailer.txt"), trailer)
+    return got
+
+
+def _put(fs, path, text: str) -> None:
+    out = fs.create(path, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def control_trailer(df: DataFrame, run_date_yyyymmdd: str) -> DataFrame:
     """``099, <yyyymmdd>, <row count filled up with '0' to 8 digits>``: one row,
     computed by an aggregate (no driver round trip).  A longer count stays whole."""
@@ -227,18 +313,20 @@ def control_trailer(df: DataFrame, run_date_yyyymmdd: str) -> DataFrame:
                            pad_left(F.count(F.lit(1)), 8)).alias("line"))
 
 
-def lines_with_trailer(lines: DataFrame, run_date_yyyymmdd: str) -> DataFrame:
-    """Data lines then the trailer, with an order column.
+def lines_with_trailer(lines: DataFrame, run_date_yyyymmdd: str, path: str | None = None) -> DataFrame:
+    """Data lines then the trailer, with an order column: ``rec_order`` is 0 for data and
+    1 for the trailer, ``numcta`` orders the data lines.
 
-    ``rec_order`` is 0 for data and 1 for the trailer; ``numcta`` orders the
-    data lines.  A writer sorts by (rec_order, numcta) — a range-partitioned
-    sort, so the trailer lands at the end of the last part file — instead of
-    collecting the lines anywhere.
+    The data rows are written to ``path`` (by default in the program's scope),
+    observed by the count that the trailer states; so the lines are computed once.
+    The result reads them back.
     """
+    spark, seen = lines.sparkSession, Observation("lines")
+    path = path or program_scope(spark).new_path("extract-lines")
     data = lines.select(F.lit(0).alias("rec_order"), "numcta", "line")
-    trailer = control_trailer(lines, run_date_yyyymmdd).select(
-        F.lit(1).alias("rec_order"), F.lit(None).cast("string").alias("numcta"), "line")
-    return data.unionByName(trailer)
+    data.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    trailer = spark.createDataFrame([(1, None, trailer_text(run_date_yyyymmdd, seen.get["n"]))], "rec_order int, numcta string, line string")
+    return spark.read.schema(data.schema).parquet(path).unionByName(trailer)
 
 
 def padded_columns(df: DataFrame, width: int = 14) -> DataFrame:

@@ -10,6 +10,12 @@ join is left to Spark, which broadcasts only under
 ``spark.sql.autoBroadcastJoinThreshold`` (estimated size) or, with AQE, when
 the shuffled size measured at run time is small — a checked size with a
 sort-merge join beyond it.
+
+The large side is reduced first: only accounts that moved can meet, so with a
+``scope`` the movements are saved, all account keys of the moved numbers become a
+key set, and the snapshot semi-joins ledger and accounts with it before it
+aggregates them (a broadcast or a runtime bloom filter below the shuffle, as the
+key set's size allows).
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from daybook.functions.text import pad_left
 from daybook.plans.movements import movements_nonzero
 from daybook.plans.snapshot import snapshot_case_filter
 from daybook.params import Ledger, RunParams
+from daybook.session import Scope
 
 
 def difference_text(saldo, amount, width: int = 15) -> F.Column:
@@ -41,5 +48,15 @@ def reconcile(main: DataFrame, mov: DataFrame) -> DataFrame:
                     difference_text("saldo", "amount").alias("resta"))
 
 
-def day_after_reconcile(led: Ledger, p: RunParams) -> DataFrame:
-    return reconcile(snapshot_case_filter(led, p, retentions=False), movements_nonzero(led, p))
+def keys_of(led: Ledger, numbers: DataFrame) -> DataFrame:
+    """All account keys (``only_key``) of the account numbers in ``numbers`` (``numcta``)."""
+    wanted = numbers.select(F.col("numcta").alias("__number"))
+    return led.cta.join(wanted, led.cta["id"] == wanted["__number"], "left_semi").select(F.col("encodedkey").alias("only_key"))
+
+
+def day_after_reconcile(led: Ledger, p: RunParams, scope: Scope | None = None) -> DataFrame:
+    if scope is None:
+        return reconcile(snapshot_case_filter(led, p, retentions=False), movements_nonzero(led, p))
+    mov = scope.save(movements_nonzero(led, p, scope=scope), "movements")
+    keys = scope.save(keys_of(led, mov), "moved-keys")
+    return reconcile(snapshot_case_filter(led, p, retentions=False, only=keys), mov)

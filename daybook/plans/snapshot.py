@@ -15,23 +15,27 @@ retention sums.  Here:
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import date_prefix
 from daybook.operators.attributes import attach_attributes, attach_by_join
 from daybook.operators.ledger import (accounts, latest_per_account, latest_with_retentions, max_id_any_attribute,
-                                      money)
+                                      money, states_by_number)
 from daybook.params import ALL_STATES, BLOCK_CODE_EXCLUDED, Ledger, RunParams
 
 
+def _account_names(led: Ledger, extra: dict | None = None) -> dict[str, str]:
+    k = led.keys
+    return {"tipocliente": k.tipocliente, "numctabech": k.numctabech, "fechaaperut": k.fechaperut,
+            "oficina": k.ofiprod, "rut_tutor": k.ruttutor, **(extra or {})}
+
+
 def _account_attrs(led: Ledger, df: DataFrame, extra: dict | None = None,
                    required=()) -> DataFrame:
-    k = led.keys
-    names = {"tipocliente": k.tipocliente, "numctabech": k.numctabech,
-             "fechaaperut": k.fechaperut, "oficina": k.ofiprod, "rut_tutor": k.ruttutor}
-    names.update(extra or {})
-    return attach_attributes(df, "account_key", led.cfv, names, required)
+    return attach_attributes(df, "account_key", led.cfv, _account_names(led, extra), required)
 
 
 def _client_attrs(led: Ledger, df: DataFrame, required: bool = False) -> DataFrame:
@@ -39,24 +43,41 @@ def _client_attrs(led: Ledger, df: DataFrame, required: bool = False) -> DataFra
                              required=("rut",) if required else ())
 
 
-def snapshot_base(led: Ledger, p: RunParams, products=None, states=None, retentions: bool = True) -> DataFrame:
+def only_accounts(led: Ledger, keys: DataFrame) -> Ledger:
+    """The ledger of the accounts in ``keys`` (column ``only_key``): accounts and
+    transactions semi-joined before anything is aggregated."""
+    return replace(led, cta=led.cta.join(keys, led.cta["encodedkey"] == keys["only_key"], "left_semi"),
+                   trx=led.trx.join(keys, led.trx["parentaccountkey"] == keys["only_key"], "left_semi"))
+
+
+def snapshot_base(led: Ledger, p: RunParams, products=None, states=None, retentions: bool = True,
+                  only: DataFrame | None = None, state: DataFrame | None = None) -> DataFrame:
     """Last transaction under the cut-off per account number, with every
     attribute the snapshots read; filters applied after the latest pick,
     as the SQL applies them after its self join.
 
     ``retentions=False`` leaves the three retention sums NULL and with them the
     join of the whole ledger to its retention types, for outputs that do not
-    show them."""
+    show them.
+    ``only``: the account keys (``only_key``, all keys of each number) that the caller
+    goes on with; ledger and attribute rows of others are left out before they are
+    aggregated.
+    ``state``: the accounts' state at the date's cut-off (``operators.ledger.account_state``,
+    kept up to date by ``plans.state``), read instead of the ledger."""
     k = led.keys
-    cutoff = max_id_any_attribute(led, p.run_date).select("cutoff_id").scalar()
-    # the SQL's subqueries join transactions to accounts only
-    all_acc = accounts(led, how="left")
-    if retentions:
-        latest = latest_with_retentions(led, cutoff, all_acc)
+    if state is not None:
+        latest = states_by_number(state, accounts(led, how="left"), money(led.trx))
     else:
-        none = F.lit(None).cast(money(led.trx))
-        latest = latest_per_account(led, cutoff, all_acc).withColumns(
-            {c: none for c in ("retencion_1dia", "retencion_2dias", "retencion_ndias")})
+        cutoff = max_id_any_attribute(led, p.run_date).select("cutoff_id").scalar()
+        own = led if only is None else only_accounts(led, only)
+        # the SQL's subqueries join transactions to accounts only
+        all_acc = accounts(own, how="left")
+        if retentions:
+            latest = latest_with_retentions(own, cutoff, all_acc)
+        else:
+            none = F.lit(None).cast(money(led.trx))
+            latest = latest_per_account(own, cutoff, all_acc).withColumns(
+                {c: none for c in ("retencion_1dia", "retencion_2dias", "retencion_ndias")})
     # the outer query requires the product and the client
     cli = led.cli.select(F.col("encodedkey").alias("__cli"))
     latest = (latest.filter(F.col("product_key").isNotNull())
@@ -67,6 +88,9 @@ def snapshot_base(led: Ledger, p: RunParams, products=None, states=None, retenti
         latest = latest.filter(F.col("accountstate").isin(list(states)))
     latest = attach_by_join(latest, "numcta", "trx_key", led.cfv,
                             {"fecha_contable_real": k.fechcontab, "adjuststate": k.adjust_state})
+    if only is not None:    # few accounts: their attribute rows are joined, then folded
+        latest = attach_by_join(latest, "numcta", "account_key", led.cfv, _account_names(led, {"codblq": k.codblq}))
+        return attach_by_join(latest, "numcta", "accountholderkey", led.cfv, {"rut": k.rut})
     latest = _account_attrs(led, latest, {"codblq": k.codblq})
     return _client_attrs(led, latest)
 
@@ -108,7 +132,7 @@ def q2_columns(base: DataFrame, p: RunParams) -> DataFrame:
         F.col("codblq").alias("causal_blq"))
 
 
-def snapshot_case_filter(led: Ledger, p: RunParams, retentions: bool = True) -> DataFrame:
+def snapshot_case_filter(led: Ledger, p: RunParams, retentions: bool = True, only: DataFrame | None = None) -> DataFrame:
     """Q2: 20 columns; the WHERE is a CASE used as a predicate.
 
     Locked on the run date → product in P, open state and adjustment state
@@ -116,7 +140,7 @@ def snapshot_case_filter(led: Ledger, p: RunParams, retentions: bool = True) ->
     product test in that branch).  A NULL branch value drops the row, as SQL
     does: a LOCKED account without block code fails the ELSE branch.
     """
-    return q2_columns(snapshot_base(led, p, retentions=retentions), p)
+    return q2_columns(snapshot_base(led, p, retentions=retentions, only=only), p)
 
 
 def snapshot_preview(led: Ledger, p: RunParams, n: int = 5) -> DataFrame:

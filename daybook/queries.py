@@ -6,6 +6,7 @@ run parameters and returns a DataFrame whose column names match the oracle.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +24,13 @@ from daybook.params import Ledger, RunParams, parse_product_list
 from daybook.plans import calendar as C
 from daybook.plans import chains as CH
 from daybook.plans import extract as X
+from daybook.plans import history as H
 from daybook.plans import movements as M
 from daybook.plans import reconcile as R
 from daybook.plans import snapshot as S
+from daybook.plans.state import SnapshotState
 from daybook.registry import RUN, query, raw_query
-from daybook.session import new_output_path, saved
+from daybook.session import Scope, program_scope
 from daybook.sources.ledger_tables import TABLES
 from daybook.sources import product_csv as PC
 from daybook.sources.fixtures import build_product_dump, materialized_fixture_ledger
@@ -97,6 +100,23 @@ query("snapshot_preview")(S.snapshot_preview)
 query("client_account_pairs")(S.client_account_pairs)
 
 
+@query("snapshot_by_days")
+def snapshot_by_days(led: Ledger, p: RunParams, scope: Scope) -> DataFrame:
+    """The balance snapshot from a state made two days before D and then kept up to
+    date, one day's ledger rows at a time."""
+    d = datetime.date.fromisoformat(p.run_date)
+    before = [(d - datetime.timedelta(days=n)).isoformat() for n in (2, 1)]
+    state = SnapshotState.create(led, before[0], scope.new_path("state"), buckets=16)
+    for day in (before[1], p.run_date):
+        state = state.apply(led, day)
+    return state.balance_snapshot(led, p)
+
+
+@query("balances_by_date")
+def balances_by_date(led: Ledger, p: RunParams, scope: Scope) -> DataFrame:
+    return H.balances_by_date(led, scope)
+
+
 # ------------------------------------------------------------------ movements
 
 query("next_day_movements")(M.next_day_movements)
@@ -189,8 +209,8 @@ def hold_to_trx_join(led: Ledger, p: RunParams) -> DataFrame:
 
 
 @query("hold_retentions")
-def hold_retentions(led: Ledger, p: RunParams) -> DataFrame:
-    return _hold_retentions(led, p.run_date)
+def hold_retentions(led: Ledger, p: RunParams, scope: Scope) -> DataFrame:
+    return _hold_retentions(led, p.run_date, scope)
 
 
 # ------------------------------------------------------------------ account filters
@@ -231,14 +251,13 @@ def state_code_map(led: Ledger, p: RunParams) -> DataFrame:
 
 
 @query("anti_null_aware")
-def anti_null_aware(led: Ledger, p: RunParams) -> DataFrame:
+def anti_null_aware(led: Ledger, p: RunParams, scope: Scope) -> DataFrame:
     """Accounts NOT IN the accounts moved on D, twice: against their plain
     numbers (no NULL) and against the numbers seen through the optional tutor
     lookup (NULL where a moved account has no tutor, which empties NOT IN)."""
     acc = L.accounts(led, how="left")
-    t = L.trx_on_accounting_date(led, p.run_date)
-    moved = acc.join(t.select("parentaccountkey").distinct(),
-                     acc["account_key"] == F.col("parentaccountkey"), "left_semi")
+    keys = L.day_activity(led, p.run_date).select("parentaccountkey")
+    moved = scope.save(acc.join(keys, acc["account_key"] == F.col("parentaccountkey"), "left_semi").select("numcta", "account_key"), "moved")
     tutor = A.lookup_join(moved, "account_key", led.cfv, "__tutor", led.keys.ruttutor)
     nullable = tutor.select(F.when(F.col("__tutor").isNotNull(), F.col("numcta")).alias("numcta"))
     a = not_in(acc, "numcta", moved.select("numcta"), "numcta").agg(F.count(F.lit(1)).alias("n_not_in"))
@@ -272,9 +291,9 @@ def date_params(led: Ledger, p: RunParams) -> DataFrame:
 
 
 @query("next_business_day")
-def next_business_day(led: Ledger, p: RunParams) -> DataFrame:
+def next_business_day(led: Ledger, p: RunParams, scope: Scope) -> DataFrame:
     """The next business day after every accounting date of the ledger."""
-    return C.next_business_day(_accounting_dates(led), led.hld)
+    return C.next_business_day(_accounting_dates(led), led.hld, scope=scope)
 
 
 # ------------------------------------------------------------------ output records
@@ -310,9 +329,25 @@ def control_trailer(led: Ledger, p: RunParams) -> DataFrame:
 
 
 @query("extract_with_trailer")
-def extract_with_trailer(led: Ledger, p: RunParams) -> DataFrame:
-    lines = saved(X.fixed_width_lines(S.balance_snapshot(led, p, retentions=False), p.run_date), "extract-lines")
-    return X.lines_with_trailer(lines, p.yyyymmdd)
+def extract_with_trailer(led: Ledger, p: RunParams, scope: Scope) -> DataFrame:
+    lines = X.fixed_width_lines(S.balance_snapshot(led, p, retentions=False), p.run_date)
+    return X.lines_with_trailer(lines, p.yyyymmdd, scope.new_path("extract-lines"))
+
+
+@query("extract_rejects")
+def extract_rejects(led: Ledger, p: RunParams, scope: Scope) -> DataFrame:
+    """What one pass writes when some records do not fit: accounts with a tutor name
+    both ruts, too long for the field.  Good lines with the trailer that counts them,
+    and the rejected fields, read back from the two outputs."""
+    snap = S.balance_snapshot(led, p, retentions=False).withColumn("rut", F.concat_ws("/", "rut", "rut_tutor"))
+    good, bad = scope.new_path("extract"), scope.new_path("rejects")
+    X.write_extract(X.checked_lines(snap, p.run_date), good, bad, p.yyyymmdd)
+    spark, text = led.trx.sparkSession, F.lit(None).cast("string")
+    lines = spark.read.text(good).select(F.lit("line").alias("kind"), text.alias("numcta"), text.alias("field"),
+                                         F.lit(None).cast("int").alias("length"), F.lit(None).cast("int").alias("width"), F.col("value").alias("line"))
+    fields = spark.read.schema("numcta string, fields array<struct<field:string,length:int,width:int>>").json(bad)
+    return lines.union(fields.select("numcta", F.explode("fields").alias("f")).select(
+        F.lit("reject"), "numcta", "f.field", "f.length", "f.width", text))
 
 
 @query("scan_pruned")
@@ -348,29 +383,31 @@ def scan_product_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     multi-line quoting."""
     part = read_table(spark, sf_dir, "part",
                       ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
-    path = new_output_path(spark, "product-dump")
+    path = program_scope(spark).new_path("product-dump")
     PC.write_product_dump(build_product_dump(part), path)
     return PC.read_product_dump(spark, path)
 
 
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.day_after_reconcile(materialized_fixture_ledger(spark, sf_dir), RUN)
+    return R.day_after_reconcile(materialized_fixture_ledger(spark, sf_dir), RUN, program_scope(spark))
 
 
 @raw_query("sink_csv_roundtrip")
 def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reconciliation rows written as CSV with header, read back."""
+    """Reconciliation rows written as CSV with header and an unnamed first column of
+    row numbers in account order, read back (that column as ``index``)."""
     df = _reconcile(spark, sf_dir)
-    path = new_output_path(spark, "reconcile-csv")
-    SK.write_csv(df, path)
-    return spark.read.schema(df.schema).option("header", True).csv(path)
+    path = program_scope(spark).new_path("reconcile-csv")
+    SK.write_csv(df, path, order_by=["numcta"], index=True)
+    schema = "index long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
 
 
 @raw_query("sink_delimited_roundtrip")
 def sink_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reconciliation rows written with header and ';' separator, read back."""
     df = _reconcile(spark, sf_dir)
-    path = new_output_path(spark, "reconcile-semicolon")
+    path = program_scope(spark).new_path("reconcile-semicolon")
     SK.write_csv(df, path, sep=";")
     return spark.read.schema(df.schema).option("header", True).option("delimiter", ";").csv(path)
 
@@ -378,12 +415,22 @@ def sink_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @raw_query("sink_text_roundtrip")
 def sink_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extract lines and trailer written as ordered text part files (a global
-    sort on the order column, no single-file funnel), read back as lines."""
+    sort on the account, no single-file funnel), read back as lines."""
     led = materialized_fixture_ledger(spark, sf_dir)
-    lines = saved(X.fixed_width_lines(S.balance_snapshot(led, RUN, retentions=False), RUN.run_date), "extract-lines")
-    lines = X.lines_with_trailer(lines, RUN.yyyymmdd)
-    path = new_output_path(spark, "extract-text")
-    SK.write_text(lines, path, order_by=["rec_order", "numcta"])
+    lines = X.checked_lines(S.balance_snapshot(led, RUN, retentions=False), RUN.run_date)
+    scope = program_scope(spark)
+    path = scope.new_path("extract-text")
+    X.write_extract(lines, path, scope.new_path("rejects"), RUN.yyyymmdd)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@raw_query("sink_text_single_file")
+def sink_text_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attribute dump written as ordered part files and joined to one file by byte
+    offsets, read back as lines."""
+    path = program_scope(spark).new_path("dump-text")
+    dump = X.attribute_dump(materialized_fixture_ledger(spark, sf_dir).cfv)
+    SK.write_text(dump, path, order_by=["line"], single_file=True)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 

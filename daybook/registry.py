@@ -8,11 +8,13 @@ The run is that of FIXTURES.md: run date 2024-01-22, products P0–P3.
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.params import Ledger, RunParams
+from daybook.session import program_scope
 from daybook.sources.fixtures import materialized_fixture_ledger
 
 # Fixed values of the fixture run (FIXTURES.md).
@@ -23,7 +25,8 @@ _RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(name: str):
-    """Register ``fn(ledger, params) -> DataFrame`` under ``name``."""
+    """Register ``fn(ledger, params) -> DataFrame`` under ``name``.  A function with a
+    ``scope`` saves the frames that it uses more than once there."""
     def deco(fn):
         _REGISTRY[name] = fn
         return fn
@@ -40,7 +43,10 @@ def raw_query(name: str):
 
 def _bind(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(materialized_fixture_ledger(spark, sf_dir), RUN)
+        led = materialized_fixture_ledger(spark, sf_dir)
+        return fn(led, RUN, scope=program_scope(spark)) if scoped else fn(led, RUN)
+
+    scoped = "scope" in inspect.signature(fn).parameters
     run.__doc__ = fn.__doc__
     run.__name__ = fn.__name__
     return run

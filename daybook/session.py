@@ -72,11 +72,57 @@ def new_output_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back."""
-    path = new_output_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Scope:
+    """Frames saved once in the shared folder for as long as the scope is open.
+
+    ``save`` writes a frame that is used more than once and reads it back: it is
+    computed once, its lineage is cut for recovery, and the planner knows its true
+    size.  ``close`` (or the end of a ``with`` block) deletes everything that the
+    scope saved; a frame that is still to be read must be consumed before.  The
+    file system deletes a scope that was never closed when the program ends, also
+    after ``spark.stop()``.
+    """
+
+    def __init__(self, spark: SparkSession, name: str = "scope"):
+        self.spark, self.path, self._n = spark, new_output_path(spark, name), 0
+        jvm = spark._jvm
+        self._folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        self._fs = self._folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._fs.mkdirs(self._folder)
+        self._fs.deleteOnExit(self._folder)
+
+    def new_path(self, name: str) -> str:
+        """A fresh location inside the scope."""
+        self._n += 1
+        return f"{self.path}/{self._n:03d}-{name}"
+
+    def save(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+        path = self.new_path(name)
+        w = df.write
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def close(self) -> None:
+        self._fs.delete(self._folder, True)
+        self._fs.cancelDeleteOnExit(self._folder)
+
+    def __enter__(self) -> Scope:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+_SCOPES: dict[str, Scope] = {}
+
+
+def program_scope(spark: SparkSession) -> Scope:
+    """The scope of results that are read after the call that made them (the
+    registered queries): it is deleted when the program ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCOPES:
+        _SCOPES[app] = Scope(spark, "program")
+    return _SCOPES[app]
 
 
 def cluster_conf(input_bytes: int, total_cores: int,

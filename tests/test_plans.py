@@ -109,3 +109,52 @@ def test_hot_account_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def scans(monkeypatch, spark, name: str, *tables: str) -> list[int]:
+    """How often a registered query scans the tables: in its result's plan and in the
+    plans of all frames that it saves on the way."""
+    from daybook.session import Scope
+    plans, save = [], Scope.save
+    monkeypatch.setattr(Scope, "save", lambda self, df, *a: plans.append(plan(df)) or save(self, df, *a))
+    plans.append(plan(entry.queries()[name](spark, SF)))
+    return [sum(p.count(f"/{t}]") for p in plans) for t in tables]
+
+
+@pytest.mark.parametrize("name,most", [("movements_in_id_range", 2), ("next_day_movements_cutoff", 2), ("movements_nonzero", 2),
+                                       ("anti_null_aware", 1), ("hold_retentions", 1), ("next_day_movements", 2)])
+def test_frames_used_twice_are_computed_once(spark, led, monkeypatch, name, most):
+    assert scans(monkeypatch, spark, name, "trx")[0] <= most
+
+
+def test_next_business_day_reads_each_table_once(spark, led, monkeypatch):
+    assert scans(monkeypatch, spark, "next_business_day", "hld", "customfieldkey=fechcontab", "cfv") in ([1, 0, 1], [1, 1, 0])
+
+
+def test_balances_of_all_dates_read_the_ledger_twice(spark, led, monkeypatch):
+    assert scans(monkeypatch, spark, "balances_by_date", "trx") == [2]     # for the cut-offs, and for the balances
+
+
+def test_reconciliation_reduces_the_ledger_before_it_is_aggregated(spark, led):
+    p = plan(entry.queries()["day_after_reconcile"](spark, SF), "simple")
+    lines = p.split("\n")
+    depth = {i: len(x) - len(x.lstrip(" :+-|")) for i, x in enumerate(lines)}
+    semi = [i for i, x in enumerate(lines) if "LeftSemi" in x and "parentaccountkey" in x and "only_key" in x]
+    first = [i for i, x in enumerate(lines) if "partial_max_by(" in x and "parentaccountkey" in x]
+    assert semi and first
+    assert any(f < s and depth[f] < depth[s] for f in first for s in semi)      # the semi join stands below
+
+
+def test_scopes_leave_nothing_behind(spark, led, tmp_path):
+    import os
+
+    from daybook.plans.daily import daily_extract
+    from daybook.session import Scope, shared_dir
+    shared = shared_dir(spark)
+    before = set(os.listdir(shared.removeprefix("file:")))
+    out = daily_extract(led, "20240122", "'P0', 'P1'", str(tmp_path / "out"), index=True)
+    with Scope(spark, "one") as scope:
+        kept = scope.save(spark.range(5), "five")
+        assert kept.count() == 5 and os.path.isdir(scope.path.removeprefix("file:"))
+    assert set(os.listdir(shared.removeprefix("file:"))) == before
+    assert out.written.lines == spark.read.text(out.extract).count() - 1
