@@ -290,7 +290,7 @@ def _search(rows: DataFrame, anchors: DataFrame, lists: Lists, counts: DataFrame
 
 
 def hard_negatives(rows: DataFrame, anchor: Column, scale: float = 256.0, positives: int = 5, negatives: int = 10, low: int = 30,
-                   high: int = 90, clusters: int = 16, cluster_anchors: int = 128, cuts: tuple[float, ...] = (1 / 64, 1 / 8),
+                   high: int = 90, clusters: int = 4, cuts: tuple[float, ...] = (1 / 64, 1 / 8),
                    cell_rows: int = 16_384, sample: int = 2048) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score).
 
@@ -299,6 +299,10 @@ def hard_negatives(rows: DataFrame, anchor: Column, scale: float = 256.0, positi
     positives are its first ``positives`` rows of its label; a positive's negatives are
     the anchor's first ``negatives`` rows of other labels that score ``low`` to ``high``
     per cent of the positive.
+
+    ``clusters``: each list that is walked to its end copies every row once, so their
+    number stays the same at every size; more of them pay where anchors lie so close
+    together that walks end early.
     """
     packed = save(_packed(rows.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"),
@@ -312,8 +316,7 @@ def hard_negatives(rows: DataFrame, anchor: Column, scale: float = 256.0, positi
             got.setdefault(r.dim, []).append((bytes(r.v), r.norm))
         return {d: (_ints([x for x, _ in own], d), np.array([n for _, n in own])) for d, own in got.items() if d}
 
-    n_anchors = anchors.count()
-    lists = Lists({d: _centres(v, max(1, min(clusters, n_anchors // cluster_anchors))) for d, (v, _) in sampled(anchors).items()})
+    lists = Lists({d: _centres(v, clusters) for d, (v, _) in sampled(anchors).items()})
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, _, v in _by_dim(batches):

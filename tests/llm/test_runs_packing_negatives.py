@@ -291,8 +291,8 @@ def clustered(seed, n, dim, groups, spread):
     return [(int(i), (centres[i % groups] + spread * rng.normal(size=dim)).tolist(), int(rng.integers(3))) for i in range(n)]
 
 
-@pytest.mark.parametrize("seed,spread,params", [(1, 0.1, {}), (2, 1.0, {"cluster_anchors": 2, "cell_rows": 40}),
-                                                (3, 0.3, {"cluster_anchors": 4, "cell_rows": 64, "sample": 30, "cuts": (0.05, 0.3)})])
+@pytest.mark.parametrize("seed,spread,params", [(1, 0.1, {}), (2, 1.0, {"clusters": 1, "cell_rows": 40}),
+                                                (3, 0.3, {"clusters": 12, "cell_rows": 64, "sample": 30, "cuts": (0.05, 0.3)})])
 def test_negatives_are_those_of_a_plain_search(spark, seed, spread, params):
     rows = clustered(seed, 400, 6, 5, spread)
     rows += [(1000 + i, rows[0][1], i % 3) for i in range(30)]  # ties
@@ -308,7 +308,7 @@ def test_negatives_of_odd_rows(spark):
            (107, [1.0, 2.0], 1), (112, [1.5, 2.0], 2), (109, [2.0, 2.0], 1), (111, [1e5, 2e5, 1e5], 1), (113, [1e5, 2e5, 0.5e5], 2), (115, [1e5, 2.2e5, 1e5], 1)]
     rows = good + odd + good[:20]
     df = spark.createDataFrame(rows, VEC).selectExpr("*", "1 as rk", "2 as v", "3 as dim", "4 as anchor", "5 as cluster")
-    got = {tuple(r) for r in negatives.hard_negatives(df, F.col("vec_id") % 2 == 0, cluster_anchors=8).collect()}
+    got = {tuple(r) for r in negatives.hard_negatives(df, F.col("vec_id") % 2 == 0, clusters=6).collect()}
     assert got == plain_negatives(rows, 2)
     assert negatives.hard_negatives(df.limit(0), F.col("vec_id") % 2 == 0).count() == 0
     assert negatives.hard_negatives(df, F.lit(False)).count() == 0
