@@ -33,6 +33,7 @@ from daybook.registry import RUN, query, raw_query
 from daybook.session import Scope, program_scope
 from daybook.sources.ledger_tables import TABLES
 from daybook.sources import product_csv as PC
+from daybook.sources import product_repair as PR
 from daybook.sources.fixtures import build_product_dump, materialized_fixture_ledger
 from daybook.sources.parquet import read_table, rename_ids
 
@@ -388,6 +389,21 @@ def scan_product_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PC.read_product_dump(spark, path)
 
 
+@raw_query("product_dump_repaired")
+def product_dump_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product records (from ``part``) in a dump damaged in three ways, repaired: records
+    with their 46 typed fields; of rejects, the key only."""
+    scope = program_scope(spark)
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
+    records = build_product_dump(part)
+    plain = F.regexp_replace(F.regexp_replace("c06", '"|</?div>', ""), "\n", " ")
+    records = records.withColumn("c06", F.when(F.regexp_extract("id", r"(\d+)", 1).cast("long") % 4 == 2, plain).otherwise(F.col("c06")))
+    path = scope.new_path("damaged-dump")
+    SK.write_text(PR.damaged_lines(records), path)
+    good, bad = PR.repair_product_dump(spark, path, scope)
+    return good.unionByName(bad.select(F.substring("record", 1, 32).alias("encodedkey")), allowMissingColumns=True)
+
+
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.day_after_reconcile(materialized_fixture_ledger(spark, sf_dir), RUN, program_scope(spark))
 

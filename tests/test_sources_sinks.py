@@ -20,24 +20,24 @@ def _record(key: str, text: str, null: str = "") -> str:
     f[0] = key
     for pos in (1, 2, 7, 8, 9, 15, 29, 30, 36, 41, 43):
         f[pos] = "True"
-    f[3] = f[16] = "2023-03-28 18:30:27"
+    f[3] = f[16] = "2021-05-06 07:08:09"
     f[6] = text
-    f[10] = "CCT0302"
-    f[23] = "Cuenta 2"
-    f[20] = "99999999999.0000000000"
+    f[10] = "PRX0001"
+    f[23] = "Name 2"
+    f[20] = "1234567.0000000000"
     f[22] = "0E-10"
     f[18] = "1.5"
     return ",".join(f)
 
 
 def test_product_dump_multiline_and_doubled_quotes(spark, tmp_path):
-    text = '"<div>300<span style=""white-space:pre"">\t</span>- A, B</div>\n<div>301</div>"'
+    text = '"<p>one ""two"",\tthree, four</p>\n<p>five</p>"'
     path = tmp_path / "dump.csv"
     path.write_text(_record("a" * 32, text) + "\n" + _record("b" * 32, "plain") + "\n")
     df = read_product_dump(spark, str(path))
     rows = sorted(df.collect(), key=lambda r: r.encodedkey)
     assert len(rows) == 2
-    assert rows[0].c06 == '<div>300<span style="white-space:pre">\t</span>- A, B</div>\n<div>301</div>'
+    assert rows[0].c06 == '<p>one "two",\tthree, four</p>\n<p>five</p>'
     assert rows[0].c01 is True and rows[0].c04 is None
     assert str(rows[0].c22) in ("0E-10", "0E-10".lower()) or rows[0].c22 == 0
     assert rows[1].c06 == "plain"
