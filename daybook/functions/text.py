@@ -22,9 +22,9 @@ def _c(x) -> Column:
 
 
 def pad_left(x, width: int, fill: str = "0") -> Column:
-    """Filled up on the left to ``width``; a longer text stays whole."""
+    """Filled up on the left to ``width`` with one character; a longer text stays whole."""
     x = _c(x).cast("string")
-    return F.when(F.length(x) >= width, x).otherwise(F.lpad(x, width, fill))
+    return F.concat(F.repeat(F.lit(fill), F.lit(width) - F.length(x)), x)
 
 
 _faults: list[tuple[Column, int]] | None = None

@@ -1,9 +1,8 @@
 """Independent SQL oracle (DuckDB dialect) for every registered query.
 
 Each oracle is the fixture mapping as common table expressions over the
-driver's test tables, followed by the query written the way the ledger jobs
-write it: chains of joins, one join per attribute lookup, NOT IN subqueries,
-conditional sums.  The Spark side computes the same result with the DataFrame
+driver's test tables, followed by the query written by other means than the Spark
+code (``daybook.oracle_queries``).  The Spark side computes the same result with the DataFrame
 operators of this package, so agreement checks those operators.
 """
 
@@ -18,18 +17,20 @@ PRODUCTS_SQL = "('P0', 'P1', 'P2', 'P3')"
 FIXTURE_CTES = r"""
 ev AS (
   SELECT event_id, ts, user_id, event_type, value,
-         CASE WHEN event_type = 'error' THEN -CAST(value AS DECIMAL(18,2))
+         CASE WHEN user_id % 7 = 3 AND CAST(ts AS DATE) + CASE WHEN event_type IN ('purchase', 'signup') THEN 1 ELSE 0 END = DATE '2024-01-23'
+              THEN CAST(0 AS DECIMAL(18,2))
+              WHEN event_type = 'error' THEN -CAST(value AS DECIMAL(18,2))
               ELSE CAST(value AS DECIMAL(18,2)) END AS amt
   FROM events
 ),
 trx AS (
   SELECT event_id AS transactionid,
          'trx-' || CAST(event_id AS VARCHAR) AS encodedkey,
-         'cta-' || CAST(user_id AS VARCHAR) AS parentaccountkey,
+         CASE WHEN event_id % 97 = 0 THEN 'gone-' ELSE 'cta-' END || CAST(user_id AS VARCHAR) AS parentaccountkey,
          CAST(SUM(amt) OVER (PARTITION BY user_id ORDER BY event_id
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS balance,
          amt AS amount,
-         'det-' || CAST(event_id AS VARCHAR) AS details_encodedkey_oid
+         CASE WHEN event_id % 37 <> 0 THEN 'det-' || CAST(event_id AS VARCHAR) END AS details_encodedkey_oid
   FROM ev
 ),
 cta AS (
@@ -37,7 +38,7 @@ cta AS (
          CASE c_mktsegment WHEN 'BUILDING' THEN 'LOCKED' WHEN 'MACHINERY' THEN 'CLOSED'
               ELSE 'ACTIVE' END AS accountstate,
          'cta-' || CAST(c_custkey AS VARCHAR) AS encodedkey,
-         'prd-' || CAST(c_custkey % 5 AS VARCHAR) AS producttypekey,
+         'prd-' || CASE WHEN c_custkey % 13 = 5 THEN 'gone' ELSE CAST(c_custkey % 5 AS VARCHAR) END AS producttypekey,
          CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS blockedbalance,
          CASE WHEN c_mktsegment = 'BUILDING' THEN
               CASE WHEN c_custkey % 3 = 0 THEN TIMESTAMP '2024-01-22 09:00:00'
@@ -56,7 +57,7 @@ prod AS (
 cli AS (SELECT 'cli-' || CAST(c_custkey AS VARCHAR) AS encodedkey FROM customer),
 trxdet AS (
   SELECT 'det-' || CAST(event_id AS VARCHAR) AS encodedkey,
-         'ch-' || event_type AS transactionchannelkey
+         CASE WHEN event_id % 31 <> 0 THEN 'ch-' || event_type END AS transactionchannelkey
   FROM events
 ),
 trxch AS (SELECT DISTINCT upper(event_type) AS id, 'ch-' || event_type AS encodedkey FROM events),
@@ -111,6 +112,8 @@ cfv0 AS (
   SELECT 'cta-' || CAST(c_custkey AS VARCHAR), 'ofiprod', lpad(CAST(c_nationkey AS VARCHAR), 3, '0')
   FROM customer WHERE c_custkey % 7 <> 0
   UNION ALL
+  SELECT 'cta-' || CAST(c_custkey AS VARCHAR), 'ofiprod', '001' FROM customer WHERE c_custkey % 17 = 3
+  UNION ALL
   SELECT 'cta-' || CAST(c_custkey AS VARCHAR), 'ruttutor', CAST(20000000 + c_custkey AS VARCHAR)
   FROM customer WHERE c_custkey % 11 = 0
   UNION ALL

@@ -220,7 +220,8 @@ def record_columns(df: DataFrame, run_date: str, strict: bool = False,
 
 
 def fixed_width_lines(df: DataFrame, run_date: str, strict: bool = False) -> DataFrame:
-    """One line per input row: ``numcta`` and ``line`` (all fields joined)."""
+    """One line per input row: ``numcta`` and ``line`` (all fields joined).  A value that
+    does not fit stops the run; see ``checked_lines``."""
     ctx = {"strict": strict, "run_date": run_date}
     return df.select("numcta", F.concat(*[build(ctx) for _, build in LAYOUT]).alias("line"))
 
@@ -238,6 +239,11 @@ def checked_lines(df: DataFrame, run_date: str, strict: bool = False) -> DataFra
     return out.withColumn("line", F.when(F.size("faults") == 0, F.col("line")))
 
 
+def good_lines(df: DataFrame, run_date: str, strict: bool = False) -> DataFrame:
+    """``numcta`` and ``line`` of the records that fit the layout."""
+    return checked_lines(df, run_date, strict).filter(F.size("faults") == 0).select("numcta", "line")
+
+
 def rejected_fields(checked: DataFrame) -> DataFrame:
     """(numcta, field, length, width) of each value that does not fit."""
     return checked.select("numcta", F.explode("faults").alias("f")).select("numcta", "f.*")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import date_prefix
-from daybook.operators.attributes import attach_attributes, attach_by_join
+from daybook.operators.attributes import attach_attributes, attach_by_join, lookup_join
 from daybook.operators.ledger import (accounts, latest_per_account, latest_with_retentions, max_id_any_attribute,
                                       money, states_by_number)
 from daybook.params import ALL_STATES, BLOCK_CODE_EXCLUDED, Ledger, RunParams
@@ -50,8 +50,19 @@ def only_accounts(led: Ledger, keys: DataFrame) -> Ledger:
                    trx=led.trx.join(keys, led.trx["parentaccountkey"] == keys["only_key"], "left_semi"))
 
 
+def _lookups(led: Ledger, df: DataFrame) -> DataFrame:
+    """Every attribute by an optional join of its own, as the SQL has them: an attribute
+    row given twice makes two snapshot rows."""
+    k = led.keys
+    for entity, names in (("trx_key", {"fecha_contable_real": k.fechcontab, "adjuststate": k.adjust_state}),
+                          ("account_key", _account_names(led, {"codblq": k.codblq})), ("accountholderkey", {"rut": k.rut})):
+        for name, key in names.items():
+            df = lookup_join(df, entity, led.cfv, name, key)
+    return df
+
+
 def snapshot_base(led: Ledger, p: RunParams, products=None, states=None, retentions: bool = True,
-                  only: DataFrame | None = None, state: DataFrame | None = None) -> DataFrame:
+                  only: DataFrame | None = None, state: DataFrame | None = None, every_row: bool = False) -> DataFrame:
     """Last transaction under the cut-off per account number, with every
     attribute the snapshots read; filters applied after the latest pick,
     as the SQL applies them after its self join.
@@ -63,7 +74,9 @@ def snapshot_base(led: Ledger, p: RunParams, products=None, states=None, retenti
     goes on with; ledger and attribute rows of others are left out before they are
     aggregated.
     ``state``: the accounts' state at the date's cut-off (``operators.ledger.account_state``,
-    kept up to date by ``plans.state``), read instead of the ledger."""
+    kept up to date by ``plans.state``), read instead of the ledger.
+    ``every_row``: repeated attribute rows multiply the snapshot's rows, as the SQL's
+    joins do, instead of being folded."""
     k = led.keys
     if state is not None:
         latest = states_by_number(state, accounts(led, how="left"), money(led.trx))
@@ -86,6 +99,8 @@ def snapshot_base(led: Ledger, p: RunParams, products=None, states=None, retenti
         latest = latest.filter(F.col("producto").isin(list(products)))
     if states is not None:
         latest = latest.filter(F.col("accountstate").isin(list(states)))
+    if every_row:
+        return _lookups(led, latest)
     latest = attach_by_join(latest, "numcta", "trx_key", led.cfv,
                             {"fecha_contable_real": k.fechcontab, "adjuststate": k.adjust_state})
     if only is not None:    # few accounts: their attribute rows are joined, then folded
@@ -107,10 +122,10 @@ def q1_columns(base: DataFrame, p: RunParams) -> DataFrame:
         "retencion_2dias", "retencion_ndias", "rut_tutor", "fecha_contable_real", "producto")
 
 
-def balance_snapshot(led: Ledger, p: RunParams, retentions: bool = True) -> DataFrame:
+def balance_snapshot(led: Ledger, p: RunParams, retentions: bool = True, every_row: bool = False) -> DataFrame:
     """Q1: 19 columns, products P, open states (filtered before the
     attribute lookups)."""
-    return q1_columns(snapshot_base(led, p, p.products, p.states, retentions), p)
+    return q1_columns(snapshot_base(led, p, p.products, p.states, retentions, every_row=every_row), p)
 
 
 def q2_columns(base: DataFrame, p: RunParams) -> DataFrame:

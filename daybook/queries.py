@@ -101,6 +101,12 @@ query("snapshot_preview")(S.snapshot_preview)
 query("client_account_pairs")(S.client_account_pairs)
 
 
+@query("balance_snapshot_every_row")
+def balance_snapshot_every_row(led: Ledger, p: RunParams) -> DataFrame:
+    """The balance snapshot with a row for each repeated attribute row."""
+    return S.balance_snapshot(led, p, every_row=True)
+
+
 @query("snapshot_by_days")
 def snapshot_by_days(led: Ledger, p: RunParams, scope: Scope) -> DataFrame:
     """The balance snapshot from a state made two days before D and then kept up to
@@ -321,7 +327,8 @@ def attribute_dump(led: Ledger, p: RunParams) -> DataFrame:
 
 @query("fixed_width_extract")
 def fixed_width_extract(led: Ledger, p: RunParams) -> DataFrame:
-    return X.fixed_width_lines(S.balance_snapshot(led, p, retentions=False), p.run_date)
+    """The lines of the records that fit the layout (``extract_rejects`` has the others)."""
+    return X.good_lines(S.balance_snapshot(led, p, retentions=False), p.run_date)
 
 
 @query("control_trailer")
@@ -331,7 +338,7 @@ def control_trailer(led: Ledger, p: RunParams) -> DataFrame:
 
 @query("extract_with_trailer")
 def extract_with_trailer(led: Ledger, p: RunParams, scope: Scope) -> DataFrame:
-    lines = X.fixed_width_lines(S.balance_snapshot(led, p, retentions=False), p.run_date)
+    lines = X.good_lines(S.balance_snapshot(led, p, retentions=False), p.run_date)
     return X.lines_with_trailer(lines, p.yyyymmdd, scope.new_path("extract-lines"))
 
 

@@ -70,17 +70,26 @@ def running_balance(df: DataFrame, account: str, order: str, amount: str,
             .drop("__b", "__in", "__off"))
 
 
+def _accounting_date() -> F.Column:
+    """Purchases and sign-ups are accounted on the day after."""
+    return F.when(F.col("event_type").isin("purchase", "signup"), F.date_add(F.to_date("ts"), 1)).otherwise(F.to_date("ts"))
+
+
 def build_trx(events: DataFrame) -> DataFrame:
-    amount = F.when(F.col("event_type") == "error", -_money("value")).otherwise(_money("value"))
+    """One transaction per event.  Every 7th user's movements of the day after the run
+    date are zero, every 97th transaction has an account that does not exist, every
+    37th has no details."""
+    idle = (F.col("user_id") % 7 == 3) & (_accounting_date() == F.date_add(F.lit(FIXTURE_RUN_DATE).cast("date"), 1))
+    amount = F.when(idle, F.lit(0).cast(MONEY)).when(F.col("event_type") == "error", -_money("value")).otherwise(_money("value"))
     ev = running_balance(events.select("event_id", "user_id", amount.alias("amount")),
                          "user_id", "event_id", "amount")
     return ev.select(
         F.col("event_id").alias("transactionid"),
         F.concat(F.lit("trx-"), _s("event_id")).alias("encodedkey"),
-        F.concat(F.lit("cta-"), _s("user_id")).alias("parentaccountkey"),
+        F.concat(F.when(F.col("event_id") % 97 == 0, "gone-").otherwise("cta-"), _s("user_id")).alias("parentaccountkey"),
         F.col("__running").cast(MONEY).alias("balance"),
         F.col("amount"),
-        F.concat(F.lit("det-"), _s("event_id")).alias("details_encodedkey_oid"))
+        F.when(F.col("event_id") % 37 != 0, F.concat(F.lit("det-"), _s("event_id"))).alias("details_encodedkey_oid"))
 
 
 def build_cta(customer: DataFrame, run_date: str = FIXTURE_RUN_DATE) -> DataFrame:
@@ -94,7 +103,7 @@ def build_cta(customer: DataFrame, run_date: str = FIXTURE_RUN_DATE) -> DataFram
         F.lpad(_s("c_custkey"), 14, "0").alias("id"),
         state.alias("accountstate"),
         F.concat(F.lit("cta-"), _s("c_custkey")).alias("encodedkey"),
-        F.concat(F.lit("prd-"), _s(F.col("c_custkey") % 5)).alias("producttypekey"),
+        F.concat(F.lit("prd-"), F.when(F.col("c_custkey") % 13 == 5, "gone").otherwise(_s(F.col("c_custkey") % 5))).alias("producttypekey"),
         F.when(locked, _money("c_acctbal")).alias("blockedbalance"),
         lockdate.alias("lockeddate"),
         F.when(closed, _ts("2023-11-30 18:00:00")).alias("closeddate"),
@@ -117,7 +126,7 @@ def build_cli(customer: DataFrame) -> DataFrame:
 def build_trxdet(events: DataFrame) -> DataFrame:
     return events.select(
         F.concat(F.lit("det-"), _s("event_id")).alias("encodedkey"),
-        F.concat(F.lit("ch-"), F.col("event_type")).alias("transactionchannelkey"))
+        F.when(F.col("event_id") % 31 != 0, F.concat(F.lit("ch-"), F.col("event_type"))).alias("transactionchannelkey"))
 
 
 def build_trxch(events: DataFrame) -> DataFrame:
@@ -190,8 +199,7 @@ def build_cfv(events: DataFrame, customer: DataFrame, keys: AttributeKeys) -> Da
                          _s(value).alias("value"))
 
     parts = [
-        rows(events, trx_key, "fechcontab",
-             F.when(post_next, F.date_add(tdate, 1)).otherwise(tdate)),
+        rows(events, trx_key, "fechcontab", _accounting_date()),
         rows(events, trx_key, "adjust_state",
              F.when(F.col("event_id") % 10 == 0, "1").otherwise("0")),
         rows(events, trx_key, "fechamov", tdate, post_next),
@@ -203,6 +211,8 @@ def build_cfv(events: DataFrame, customer: DataFrame, keys: AttributeKeys) -> Da
         rows(customer, cta_key, "numctabech", F.lpad(_s(ck * 7), 11, "0")),
         rows(customer, cta_key, "fechaperut", F.lit("2020-01-02")),
         rows(customer, cta_key, "ofiprod", F.lpad(_s("c_nationkey"), 3, "0"), ck % 7 != 0),
+        # a second office: repeated (parent, key) pairs
+        rows(customer, cta_key, "ofiprod", F.lit("001"), ck % 17 == 3),
         rows(customer, cta_key, "ruttutor", _s(ck + 20000000), ck % 11 == 0),
         rows(customer, cta_key, "codblq", F.when(ck % 2 == 0, "99").otherwise("01"),
              (F.col("c_mktsegment") == "BUILDING") & (ck % 4 != 3)),

@@ -5,8 +5,9 @@ Only positions 0, 10 and 23 have known names (encodedkey, id, name); the
 others are ``cNN`` by position.  Types follow the clean dump.
 
 Reading a multi-line CSV cannot split a file inside a record, so each file is
-one task: at scale the dump should be many part files (as Spark writes it),
-not one.
+one task: a large dump should be many part files (as Spark writes it), or be read
+with ``product_repair.repair_product_dump``, which splits files anywhere and puts
+clean and damaged records together.
 """
 
 from __future__ import annotations
