@@ -3,11 +3,15 @@
 A URL is a set of tokens: its host's suffixes, the labels of its host and their
 parts between hyphens (but for the last label, which is a suffix), its path segments
 (digits as #), the ending of its last segment, the names in its query, and whether
-it has a fragment.  FP-growth over the labelled pages finds token sets that come
-with bad pages; rules of too few bad pages (one count at every size of input) or too
-low confidence, and rules that a shorter one makes redundant, are pruned.  Matching
-is by inverted index: a rule stands under its rarest token, so a URL meets only the
-rules of its own tokens, and is checked for their other tokens.  URLs with one token set are matched once.
+it has a fragment.  Tokens that stand on exactly the same labelled pages are one
+class: no rule can tell them apart, and FP-growth would enumerate all their subsets.
+FP-growth over the bad pages' classes finds those that come together; how many
+labelled pages have such a set, good ones included, is counted by a join.  Rules of
+too few bad pages (one count at every size of input) or too low confidence, and rules
+that a shorter one makes redundant, are pruned.  Matching is by inverted index: a rule
+stands under its rarest class, so a URL meets only the rules of its own classes (it
+has a class if it has a token of it), and is checked for their others.  URLs with one
+token set are matched once.  A class is named by its smallest token.
 
 Fixed rules (verdict, host, path) come first: one fits its host and all its
 subdomains when the path starts with its path; the longest decides.
@@ -70,30 +74,66 @@ def fixed_verdict(rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
     return best["rule"], best["verdict"]
 
 
-def mine(sets: DataFrame, min_confidence: float, min_count: int = 20) -> DataFrame:
-    """(rule_id, items, confidence, support) from (tokens, bad) rows, pruned.
+def token_classes(sets: DataFrame) -> DataFrame:
+    """(token, rep) of each token of (row, tokens): tokens of the same rows, told by their
+    number and two 64-bit sums of the rows' hashes, share the smallest token."""
+    marks = sets.select("row", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("a"), F.bit_xor(F.xxhash64("row", F.lit(2))).alias("b"))
+    reps = marks.groupBy("n", "a", "b").agg(F.min("token").alias("rep"))
+    return save(marks.join(reps, ["n", "a", "b"]).select("token", "rep"), "token-classes")
+
+
+def with_classes(sets: DataFrame, classes: DataFrame, *key: str) -> DataFrame:
+    """(key, classes) of each row of (key, tokens) that has a known token."""
+    each = sets.select(*key, F.explode("tokens").alias("token")).join(classes, "token")
+    return each.groupBy(*key).agg(F.array_sort(F.collect_set("rep")).alias("classes"))
+
+
+def _under_rarest(rules: DataFrame, sets: DataFrame, *keep: str) -> DataFrame:
+    """(keep, rep) of each rule: the class of ``items`` that fewest of the sets have."""
+    common = sets.select(F.explode("classes").alias("rep")).groupBy("rep").agg(F.count("*").alias("n"))
+    held = rules.select(*keep, F.explode("items").alias("rep")).join(common, "rep")
+    return held.groupBy(*keep).agg(F.min(F.struct("n", "rep")).alias("rarest")).select(*keep, F.col("rarest.rep").alias("rep"))
+
+
+def _met(index: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of a rule of ``index`` and a set that has all its classes."""
+    return sets.withColumn("rep", F.explode("classes")).join(index, "rep").filter(F.size(F.array_except("items", "classes")) == 0)
+
+
+def mine(sets: DataFrame, min_confidence: float, min_count: int = 20) -> tuple[DataFrame, DataFrame]:
+    """((rule_id, items, confidence, support), (token, rep)) from (tokens, bad) rows: the
+    pruned rules over classes of tokens, and these classes.
 
     A rule has at least ``min_count`` bad rows however many rows there are: few
     labels make no rules of chance, and a rare host is judged alike in a large table.
     """
     spark = sets.sparkSession
-    schema = "items array<string>, confidence double, support double"
-    baskets = save(sets.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(_BAD))).otherwise(F.col("tokens")).alias("items")), "baskets")
-    n = baskets.count()
-    if n < min_count or baskets.filter(F.array_contains("items", _BAD)).isEmpty():
-        rules = spark.createDataFrame([], schema)
+    told = save(sets.withColumn("row", F.monotonically_increasing_id()), "labelled-sets")
+    classes = token_classes(told)
+    baskets = save(with_classes(told, classes, "row", "bad").groupBy("classes").agg(
+        F.count("*").alias("n"), F.count_if("bad").alias("n_bad")), "baskets")
+    size = told.agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad")).first()
+    if size.n < min_count or size.n_bad < min_count:
+        rules = spark.createDataFrame([], "items array<string>, confidence double, support double")
     else:
-        model = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n, minConfidence=min_confidence,
-                         numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(baskets)
-        rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(_BAD))).select(
-            F.array_sort("antecedent").alias("items"), "confidence", "support")
+        # as many baskets as bad rows; a row per row, since FP-growth takes no weights
+        bad = baskets.filter("n_bad > 0").select(F.explode(F.array_repeat("classes", F.col("n_bad").cast("int"))).alias("items"))
+        bad = save(bad, "bad-baskets")
+        model = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / bad.count(), minConfidence=1.0,
+                         numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(bad)
+        found = save(model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("n_bad")), "bad-sets")
+        total = _met(_under_rarest(found, baskets, "items", "n_bad"), baskets.select("classes", "n")).groupBy("items", "n_bad").agg(
+            F.sum("n").alias("n"))
+        rules = total.select("items", (F.col("n_bad") / F.col("n")).alias("confidence"), (F.col("n_bad") / size.n).alias("support")).filter(
+            F.col("confidence") >= min_confidence)
     rules = save(rules.withColumn("rule_id", F.xxhash64("items")), "rules")
     # redundant: a rule with one token less is as sure (found by its token set, no all-pairs join)
     shorter = rules.select("rule_id", "confidence", F.explode("items").alias("token"), "items").select(
         "rule_id", "confidence", F.array_remove("items", F.col("token")).alias("less"))
     general = rules.select(F.col("items").alias("less"), F.col("confidence").alias("sure"))
     idle = shorter.join(general, "less").filter("sure >= confidence").select("rule_id").distinct()
-    return save(rules.join(idle, "rule_id", "left_anti"), "pruned-rules")
+    return save(rules.join(idle, "rule_id", "left_anti"), "pruned-rules"), classes
 
 
 def judge(pages: DataFrame, labels: DataFrame, fixed: list[tuple[str, str, str]],
@@ -102,15 +142,10 @@ def judge(pages: DataFrame, labels: DataFrame, fixed: list[tuple[str, str, str]]
     urls = host_and_path(pages.select("page_id", F.col("url").cast("string").alias("url"))).withColumn("tokens", tokens())
     bad = F.max((F.col("quality") == 0) | (F.col("toxic") > 0))
     told = labels.groupBy(F.col("doc_id").alias("page_id")).agg(bad.alias("bad")).filter("bad is not null")
-    rules = mine(urls.join(told, "page_id").select("tokens", "bad"), min_confidence, min_count)
-    sets = save(urls.groupBy("tokens").agg(F.count("*").alias("n")), "token-sets")
-    common = sets.select("n", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("n").alias("n"))
-    held = rules.select("rule_id", "items", "confidence", F.explode("items").alias("token"))
-    index = save(held.join(common, "token").groupBy("rule_id", "items", "confidence").agg(
-        F.min(F.struct("n", "token")).alias("rarest")).select("rule_id", "items", "confidence", F.col("rarest.token").alias("token")), "rule-index")
-    met = sets.select("tokens", F.explode("tokens").alias("token")).join(index, "token").filter(
-        F.size(F.array_except("items", "tokens")) == 0)
-    best = save(met.groupBy("tokens").agg(F.max(F.struct("confidence", "items")).alias("best")), "matched-sets")
+    rules, classes = mine(urls.join(told, "page_id").select("tokens", "bad"), min_confidence, min_count)
+    sets = save(with_classes(urls.select("tokens").distinct(), classes, "tokens"), "token-sets")
+    index = save(_under_rarest(rules, sets, "rule_id", "items", "confidence"), "rule-index")
+    best = save(_met(index, sets).groupBy("tokens").agg(F.max(F.struct("confidence", "items")).alias("best")), "matched-sets")
     rule, verdict = fixed_verdict(fixed)
     out = urls.join(best, "tokens", "left")
     return out.select("page_id", "host", "path", rule.alias("rule"),

@@ -259,6 +259,29 @@ def test_mined_rules_against_brute_force(spark):
             assert got[i].confidence == pytest.approx(bad[key] / group[key])
 
 
+def test_long_urls_do_not_make_all_their_subsets(spark):
+    """A URL of 40 segments on 25 bad pages: one class of tokens, not 2^40 item sets; a
+    page with some of these segments is judged as all the subsets' rules would judge it."""
+    long = "/".join(f"seg{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40))
+    rows = [(i, f"http://ok.com/fine/{i}") for i in range(370)] + [(370 + i, f"http://ok.com/{long}") for i in range(25)]
+    rows += [(395 + i, f"http://ok.com/{long}/x") for i in range(5)] + [(400, "http://new.org/a/segba/b"), (401, "http://new.org/a/b")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    told = spark.createDataFrame([(i, int(not 370 <= i < 395), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r for r in urlrules.judge(pages, told, [("allow", "no.example", "/")]).collect()}
+    assert {i for i, r in got.items() if r.verdict == "block"} == {*range(370, 401)}
+    assert got[400].confidence == pytest.approx(25 / 30)
+
+
+def test_urls_repeated_long_null_and_tied(spark):
+    rows = [(1, "http://a.com/x")] * 2 + [(2, "http://a.com/" + "y/" * 20000), (3, None), (None, "http://a.net/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "1 as tokens", "2 as rep", "3 as classes", "4 as bad")
+    labels = spark.createDataFrame([(1, 0, 0), (1, 1, 0), (2, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    ties = [("block", "a.com", "/x"), ("allow", "com", "/x")]
+    got = urlrules.judge(pages, labels, ties, min_confidence=0.9, min_count=1)
+    assert sorted((r.page_id or 0, r.verdict, r.rule or "") for r in got.collect()) == [
+        (0, "allow", ""), (1, "block", "a.com/x"), (1, "block", "a.com/x"), (2, "allow", ""), (3, "allow", "")]
+
+
 def test_rare_bad_names_are_blocked_in_a_large_table(spark):
     """A host with 30 of 20,000 labelled pages, and a bad name spread over domains."""
     urls = [f"http://site{i % 97}.com/p/{i}" for i in range(20000)]
