@@ -23,8 +23,9 @@ below the threshold) count as too different.
 
 Defined results: rows with one doc_id are one document and share its class; a
 document of one to four words has all its words as its one shingle; null and
-empty texts have no shingles and link with nothing; a row without a doc_id is no
-document: it has no class, and ``one_of_each`` keeps it.
+empty texts have no shingles and link with nothing; rows without a doc_id take part
+under a number from their text (``own_id``), so equal texts without an id are one
+document, and a class of such rows only is named by the smallest of these numbers.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -261,12 +262,26 @@ def verify(pairs: DataFrame, rows: DataFrame, k: int, least: float) -> DataFrame
     return save(map_arrow(both, run, "a long, b long, sim double"), "links")
 
 
+def own_id(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A document's id; without one, a number of 2^62 or more from its text, so that a
+    class with ids is still named by the smallest of them."""
+    from_text = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
+    return F.coalesce(F.col(doc_id).cast("long"), from_text)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, least: float = 0.8, bands: int = 26, width: int = 5,
                     screen: float = 0.66, block: int = 1024) -> DataFrame:
-    """(doc_id, class_id) of each document with an id; ``class_id`` is the
-    smallest doc_id of its class of linked documents."""
-    rows = docs.filter("doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """(doc_id, class_id) of each document; ``class_id`` is the smallest doc_id of its
+    class of linked documents.  Documents without an id take part under ``own_id``: one
+    row for each of their distinct texts."""
+    out = _classes(docs, k, least, bands, width, screen, block)
+    return out.select(F.when(F.col("doc_id") < F.lit(1 << 62), F.col("doc_id")).alias("doc_id"), "class_id")
+
+
+def _classes(docs: DataFrame, k: int = 5, least: float = 0.8, bands: int = 26, width: int = 5, screen: float = 0.66,
+             block: int = 1024) -> DataFrame:
+    """(doc_id, class_id) with ``own_id`` as doc_id."""
+    rows = docs.select(own_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     prints = save(signatures(rows, k, bands, width), "signatures")
     copies = save(prints.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "copies")
     same = save(prints.select("doc_id", "h1", "h2").join(copies, ["h1", "h2"]).filter("doc_id <> rep")
@@ -292,20 +307,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: float = 0.8, bands: int
 
 def one_of_each(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their class: those of its
-    smallest doc_id (of several rows with that id, the one whose text has the
-    smallest hash); rows without an id stay."""
-    gone = save(near_duplicates(docs, **params).filter("doc_id <> class_id").select(F.col("doc_id").alias("id")), "gone")
+    smallest ``own_id`` (of several rows with that id, the one whose text has the
+    smallest hash)."""
+    gone = save(_classes(docs, **params).filter("doc_id <> class_id").select(F.col("doc_id").alias("id")), "gone")
 
     def matching(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-        return rows.alias("d").join(ids.alias("i"), F.col("d.doc_id").cast("long") == F.col("i.id"), how)
+        return rows.alias("d").join(ids.alias("i"), own_id("d.doc_id", "d.text") == F.col("i.id"), how)
 
     kept = matching(docs, gone, "left_anti")
-    twice = save(docs.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
-                 .agg(F.count("*").alias("rows")).filter("rows > 1").select("id"), "repeated-ids")
+    twice = save(docs.groupBy(own_id().alias("id")).agg(F.count("*").alias("rows")).filter("rows > 1").select("id"), "repeated-ids")
     if twice.isEmpty():
         return kept
     # the ids that have several rows
     whole = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("row")
-    rank = F.row_number().over(W.partitionBy("row.doc_id").orderBy(F.xxhash64("row.text"), "row.text"))
+    rank = F.row_number().over(W.partitionBy(own_id("row.doc_id", "row.text")).orderBy(F.xxhash64("row.text"), "row.text"))
     rare = matching(kept, twice, "left_semi").select(whole).select("row", rank.alias("rank")).filter("rank = 1").select("row.*")
     return matching(kept, twice, "left_anti").unionByName(rare)
