@@ -8,13 +8,14 @@ words not yet covered in either is marked, again and again, down to ``least``
 words (running Karp-Rabin: equal hashes of runs of the current length are
 looked up, extended, and marked from the longest).  Tiles may lie in any order,
 so a reordered passage is covered as well.  A document is contaminated by an
-item when tiles cover at least ``coverage`` of the item's words.
+item when tiles cover at least ``coverage`` of the item's words.  An item of fewer
+than ``least`` words has no seeds: it contaminates a document that holds all its
+words in a row.
 
 The items go to the tasks in blocks of at most ``block_words`` words (one item
 at least), so what is broadcast is bounded; each block meets all documents.
 
-Defined results: an item of fewer than ``least`` words is not searched; null
-and empty texts match nothing; repeated items and documents give a row each;
+Defined results: null and empty texts and items match nothing; repeated items and documents give a row each;
 a null doc_id or item_id stays null.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import map_arrow, save, slices
-from daybook.llm.words import FOLD, folded, rolling, split_words
+from daybook.llm.words import FOLD, Words, folded, rolling, split_words
 
 
 def _free_runs(free: np.ndarray, size: int) -> np.ndarray:
@@ -87,6 +88,19 @@ def tiles(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int, int]
         size = max(least, size // 2)
 
 
+class _Seeds:
+    """The sorted hashes of some runs, with the item and place of each."""
+
+    def __init__(self, runs: list[np.ndarray]):
+        item = np.repeat(np.arange(len(runs)), [len(s) for s in runs])
+        place = np.concatenate([np.arange(len(s)) for s in runs])
+        seed = np.concatenate(runs)
+        order = np.argsort(seed, kind="stable")
+        self.hash, self.item, self.place = seed[order], item[order], place[order]
+        self.near = np.zeros(1 << 20, bool)
+        self.near[self.hash & np.uint64((1 << 20) - 1)] = True
+
+
 @dataclass
 class Block:
     """Some items: their words, and the sorted hashes of their seeds."""
@@ -96,34 +110,38 @@ class Block:
     least: int
 
     def __post_init__(self) -> None:
-        seed = [rolling(w, self.least) for w in self.words]
-        item = np.repeat(np.arange(len(seed)), [len(s) for s in seed])
-        place = np.concatenate([np.arange(len(s)) for s in seed]) if seed else np.zeros(0, np.int64)
-        seed = np.concatenate(seed) if seed else np.zeros(0, np.uint64)
-        order = np.argsort(seed, kind="stable")
-        self.seed, self.item, self.place = seed[order], item[order], place[order]
-        self.near = np.zeros(1 << 20, bool)
-        self.near[self.seed & np.uint64((1 << 20) - 1)] = True
+        # runs of ``least`` words, or of all words of a shorter item, by their length
+        self.seeds = {k: _Seeds([rolling(w, k) if len(w) >= k and (k == self.least or len(w) == k) else w[:0] for w in self.words])
+                      for k in sorted({min(len(w), self.least) for w in self.words})}
 
     def search(self, texts: pa.Array, coverage: float) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, words covered, tiles) of the pairs that reach the coverage."""
         w = split_words(folded(texts), FOLD)
         h, doc = w.hashes(), w.doc()
-        run = rolling(h, self.least)
-        at = np.flatnonzero(self.near[run & np.uint64((1 << 20) - 1)])
-        at = at[doc[at] == doc[at + self.least - 1]]
-        lo, hi = np.searchsorted(self.seed, run[at], "left"), np.searchsorted(self.seed, run[at], "right")
+        for k, seeds in self.seeds.items():
+            yield from self._of_length(k, seeds, w, h, doc, coverage)
+
+    def _of_length(self, k: int, seeds: _Seeds, w: Words, h: np.ndarray, doc: np.ndarray, coverage: float):
+        run = rolling(h, k)
+        at = np.flatnonzero(seeds.near[run & np.uint64((1 << 20) - 1)])
+        at = at[doc[at] == doc[at + k - 1]]
+        lo, hi = np.searchsorted(seeds.hash, run[at], "left"), np.searchsorted(seeds.hash, run[at], "right")
         at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
         if not len(at):
             return
-        # join: each seed of a document with all items that have it
-        mine = np.repeat(doc[at], n)
-        which = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        seen = np.unique(np.stack([mine, self.item[which], self.place[which]], 1), axis=0)
+        # join: each distinct seed of a document with all items that have it
+        each, one = np.unique(np.stack([doc[at], lo], 1), axis=0, return_index=True)
+        n = n[one]
+        mine = np.repeat(each[:, 0], n)
+        which = np.repeat(each[:, 1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        seen = np.unique(np.stack([mine, seeds.item[which], seeds.place[which]], 1), axis=0)
         new = np.flatnonzero(np.any(seen[1:, :2] != seen[:-1, :2], axis=1)) + 1
         for part in np.split(seen, new):
             text, item = int(part[0, 0]), int(part[0, 1])
             words = self.words[item]
+            if k < self.least:
+                yield text, item, k, 1
+                continue
             most = np.zeros(len(words) + 1, np.int64)
             np.add.at(most, part[:, 2], 1)
             np.add.at(most, np.minimum(part[:, 2] + self.least, len(words)), -1)
@@ -146,7 +164,7 @@ def _blocks(items: DataFrame, least: int, block_words: int) -> Iterator[Block]:
     rows = items.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     words = map_arrow(rows, run, f"item_id {items.schema['item_id'].dataType.simpleString()}, words binary")
     ids, own, size = [], [], 0
-    for r in save(words.filter(F.length("words") >= 8 * least), "items").toLocalIterator():
+    for r in save(words.filter(F.length("words") > 0), "items").toLocalIterator():
         w = np.frombuffer(bytes(r.words), np.uint64)
         if own and size + len(w) > block_words:
             yield Block(ids, own, least)

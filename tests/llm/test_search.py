@@ -108,9 +108,10 @@ def test_near_duplicates_repeated_rows_and_null_ids(spark):
     rng = random.Random(4)
     text = " ".join(words(rng, 50))
     docs = spark.createDataFrame([(1, text, "a", "s", 1), (1, text, "a", "s", 1), (2, text, "a", "s", 1), (None, text, "a", "s", 1)], DOC)
-    assert sorted((r.doc_id, r.class_id) for r in minhash.near_duplicates(docs).collect()) == [(1, 1), (2, 1)]
+    # a row without an id takes part, too
+    assert sorted((r.doc_id or 0, r.class_id) for r in minhash.near_duplicates(docs).collect()) == [(0, 1), (1, 1), (2, 1)]
     kept = minhash.one_of_each(docs)
-    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1]
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
     assert minhash.near_duplicates(docs.limit(0)).count() == 0 and minhash.one_of_each(docs.limit(0)).count() == 0
 
 
@@ -155,6 +156,34 @@ def test_tiles_against_plain_greedy():
         assert sum(t[0] for t in got) == sum(t[0] for t in want) and sorted(t[0] for t in got) == sorted(t[0] for t in want)
 
 
+def test_near_copies_among_rows_without_an_id(spark):
+    rng = random.Random(14)
+    text, other = words(rng, 120), " ".join(words(rng, 60))
+    near = " ".join([*text[:60], "changed", *text[61:]])
+    docs = spark.createDataFrame([(None, " ".join(text), "a", "s", 1), (None, near, "b", "s", 1), (None, near, "c", "s", 1), (None, other, "d", "s", 1),
+                                  (7, other, "e", "s", 1), (None, None, "f", "s", 1)], DOC)
+    got = minhash.near_duplicates(docs).collect()
+    assert sorted(Counter(r.class_id for r in got).values()) == [1, 2, 2] and {r.class_id for r in got if r.doc_id == 7} == {7}
+    kept = [(r.doc_id, r.text) for r in minhash.one_of_each(docs).collect()]
+    assert len(kept) == 3 and (7, other) in kept and (None, None) in kept
+
+
+def test_short_items_are_searched_whole(spark):
+    bench = spark.createDataFrame([(1, "Deep, blue"), (2, "one"), (3, "sea of green grass"), (4, "a deep blue sea now"), (None, "deep blue")], "item_id long, text string")
+    docs = documents(spark, ["the deep blue sea", "deep the blue", "ONE more", "sea of green", "x sea of green grass y", "a deep blue sea now", ""])
+    got = sorted((r.doc_id, r.item_id or 0, r.item_words, r.covered) for r in tiling.contaminated(docs, bench).collect())
+    assert got == [(0, 0, 2, 2), (0, 1, 2, 2), (2, 2, 1, 1), (4, 3, 4, 4), (5, 0, 2, 2), (5, 1, 2, 2), (5, 4, 5, 5)]
+    assert sorted(r.doc_id for r in tiling.without_contaminated(docs, bench).collect()) == [1, 3, 6]
+
+
+def test_a_phrase_of_many_items_repeated_in_a_document(spark):
+    """One phrase in 3,000 items and 300 times in one document: each pair is looked at
+    once, not once for each place."""
+    bench = spark.createDataFrame([(i, f"start{i} all share this same phrase end{i} and more{i} words{i} here{i}") for i in range(3000)], "item_id long, text string")
+    docs = documents(spark, ["all share this same phrase and " * 300 + "start7 all share this same phrase end7 and more7 words7 here7"])
+    assert [r.item_id for r in tiling.contaminated(docs, bench).collect()] == [7]
+
+
 def test_contaminated_finds_reordered_passages(spark):
     rng = random.Random(7)
     items = [words(rng, 40) for _ in range(6)]
