@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import os
@@ -15,27 +14,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.session import new_output_path
+from daybook.session import program_scope
 
 #: Words of a text: maximal runs of anything but these six ASCII characters.
 WORD = r"[^\x20\x09-\x0D]+"
 LONG_MIN = -(1 << 63)
 BATCH_ROWS = 1000
 
-_saved: dict[int, tuple[SparkSession, set[str]]] = {}
-
-
-def _drop_all() -> None:
-    for spark, paths in _saved.values():
-        for path in list(paths):
-            try:
-                delete(spark, path)
-            except Exception:  # noqa: BLE001 — the session may have ended before
-                return
-
-
-atexit.register(_drop_all)
-
 
 def delete(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
@@ -44,10 +29,9 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared folder; removed when the program ends."""
-    path = new_output_path(spark, f"llm-{name}")
-    _saved.setdefault(id(spark), (spark, set()))[1].add(path)
-    return path
+    """A fresh folder in the shared folder; the file system deletes it when the
+    program ends, also after ``spark.stop()``."""
+    return program_scope(spark).new_path(f"llm-{name}")
 
 
 def save(df: DataFrame, name: str, *by: str) -> DataFrame:
