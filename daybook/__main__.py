@@ -28,7 +28,7 @@ def parse_args(argv):
     ap = argparse.ArgumentParser(prog="daybook", description="Daily ledger extract for one accounting date.")
     ap.add_argument("--date", required=True, help="accounting date, yyyymmdd")
     ap.add_argument("--products", required=True, help="product list, e.g. \"'P0', 'P1'\"")
-    ap.add_argument("--out", required=True, help="output folder (reconciliation/ and extract/ inside)")
+    ap.add_argument("--out", required=True, help="output folder (reconciliation/, extract/ and rejects/ inside)")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables", help="folder of parquet source tables")
     src.add_argument("--jdbc-url", help="JDBC URL of the source database")
@@ -42,6 +42,10 @@ def parse_args(argv):
     ap.add_argument("--dated", help="folder of the dated ledger layout (write_dated_ledger); "
                                     "date filters then read one partition")
     ap.add_argument("--strict-layout", action="store_true", help="reproduce the original record quirks")
+    ap.add_argument("--index", action="store_true", help="reconciliation with an unnamed first column of row numbers")
+    ap.add_argument("--single-file", action="store_true", help="one file per output instead of part files")
+    ap.add_argument("--state", metavar="DIR", help="folder of the snapshot's state: made there by the first run, then brought "
+                                                    "to the date by its new ledger rows instead of the whole history")
     args = ap.parse_args(argv)
     if args.jdbc_partitions and args.max_transaction_id is None:
         ap.error("--jdbc-partitions needs --max-transaction-id")
@@ -56,8 +60,9 @@ def _json(path: str | None) -> dict[str, str]:
 
 
 def main(argv=None, spark: SparkSession | None = None) -> int:
-    from daybook.params import AttributeKeys
+    from daybook.params import AttributeKeys, RunParams
     from daybook.plans.daily import daily_extract
+    from daybook.plans.state import SnapshotState
     from daybook.sources.ledger_tables import load_ledger_jdbc, load_ledger_parquet, with_dated
 
     args = parse_args(sys.argv[1:] if argv is None else argv)
@@ -78,8 +83,15 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
                                predicates=split, extra=_json(args.jdbc_options))
     if args.dated:
         led = with_dated(led, spark, args.dated)
-    out = daily_extract(led, args.date, args.products, args.out, strict_layout=args.strict_layout)
-    print(f"reconciliation: {out.reconciliation}\nextract: {out.extract}")
+    state = None
+    if args.state:
+        day = RunParams.from_yyyymmdd(args.date, args.products).run_date
+        state = SnapshotState.load(spark, args.state) if SnapshotState.exists(spark, args.state) else None
+        state = state.apply(led, day) if state else SnapshotState.create(led, day, args.state)
+    out = daily_extract(led, args.date, args.products, args.out, strict_layout=args.strict_layout,
+                        index=args.index, single_file=args.single_file, state=state)
+    print(f"reconciliation: {out.reconciliation}\nextract: {out.extract} ({out.written.lines} lines)\n"
+          f"rejects: {out.rejects} ({out.written.rejected} records)")
     return 0
 
 

@@ -50,6 +50,11 @@ class SnapshotState:
         empty = cls(spark, path, 0, dict.fromkeys(range(buckets), 0), upto)
         return empty._commit(account_state(led, F.lit(upto)), range(buckets), upto)
 
+    @staticmethod
+    def exists(spark: SparkSession, path: str) -> bool:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> SnapshotState:
         """The latest version in a folder."""

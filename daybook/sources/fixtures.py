@@ -298,7 +298,7 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
     layout (dated ledger, buckets) is built here: those would do part of the
     queries' own work ahead of them.
     """
-    from daybook.session import new_output_path
+    from daybook.session import program_scope
     keys = keys or AttributeKeys()
     try:
         app = spark.sparkContext.applicationId
@@ -309,7 +309,7 @@ def materialized_fixture_ledger(spark: SparkSession, sf_dir: str,
         if cache_key in _MATERIALIZED:
             return _MATERIALIZED[cache_key]
         led = load_fixture_ledger(spark, sf_dir, keys)
-        base = new_output_path(spark, "fixture")
+        base = program_scope(spark).new_path("fixture")
 
         def write(name: str) -> tuple[str, DataFrame]:
             df = getattr(led, name)

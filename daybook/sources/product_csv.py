@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.session import new_output_path
+from daybook.session import program_scope
 
 # Field types by position, as in the clean dump.
 _BOOL = {1, 2, 7, 8, 9, 15, 29, 30, 36, 41, 43}
@@ -97,7 +97,7 @@ def split_product_dump(spark: SparkSession, path: str,
     # parse once and write the result (damaged text included) to the shared
     # folder: the multi-line CSV is read a single time, and Spark refuses
     # queries on a raw CSV that touch only the corrupt-record column
-    parsed = new_output_path(spark, "product-dump-parsed")
+    parsed = program_scope(spark).new_path("product-dump-parsed")
     r.csv(path).write.mode("overwrite").parquet(parsed)
     df = spark.read.parquet(parsed)
     records = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)

@@ -115,3 +115,21 @@ def test_balances_by_date_are_those_of_each_snapshot(spark):
             want = {(r.numcta, r.transactionid, r.balance) for r in snapshot_base(led, params(day), retentions=False).collect()}
             assert {(r.numcta, r.transaccion, r.saldo) for r in got if r.fecha == day} == want
     assert len({r.fecha for r in got}) == len(DAYS)
+
+
+def test_command_line_keeps_the_state(spark, tmp_path):
+    from daybook.__main__ import main
+    from daybook.sources.ledger_tables import write_ledger_parquet
+
+    trxs, attrs = history(8)
+    cta, more = people()
+    led = make_ledger(spark, trxs, cta, attrs + more)
+    write_ledger_parquet(led, str(tmp_path / "tables"))
+    for day in (DAYS[0], DAYS[2], DAYS[3]):
+        run = ["--date", day.replace("-", ""), "--products", "'P0', 'P1'", "--tables", str(tmp_path / "tables"), "--single-file", "--index"]
+        assert main([*run, "--out", str(tmp_path / "with"), "--state", str(tmp_path / "state")], spark=spark) == 0
+        assert main([*run, "--out", str(tmp_path / "without")], spark=spark) == 0
+        for part in ("reconciliation", "extract"):
+            got, want = ((tmp_path / x / part / "part-00000").read_bytes() for x in ("with", "without"))
+            assert got == want and got
+    assert SnapshotState.load(spark, str(tmp_path / "state")).version == 3
