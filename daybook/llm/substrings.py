@@ -10,9 +10,11 @@ but the earliest (smallest doc_id, then start) marks its words for removal.
 Hot spots: super-k-mers that are equal within a slice of a task leave only the
 earliest to travel (the others are marked at once), and a task remembers those
 that come often, so a passage of very many documents travels about once per
-task.  Minimisers are counted first; windows of those with more than
+task.  Minimisers are counted first, in classes whose number grows with the input, so
+that an average class stays well below the limit; windows of those with more than
 ``hot_windows`` windows (distinct texts that share a phrase) travel one by one,
-dealt by the window's own hash instead.  Packed strings that go from one slice to
+dealt by the window's own hash instead, and equal ones again about once per task.
+Packed strings that go from one slice to
 one bucket range are sent as one compressed block.
 
 Defined results: a null or empty text has no words; rows with one doc_id and one
@@ -89,13 +91,9 @@ class Packer:
         self.k, self.m, self.parts, self.hot, self.hot_parts = k, m, parts, hot, hot_parts
         self.often: dict[tuple[int, int], tuple[int, int, int]] = {}
 
-    def pack(self, batch: pa.RecordBatch) -> Iterator[tuple[int, bool, bytes]]:
-        """(part of a partition, whether marks, block)."""
-        r = super_kmers(batch.column("text"), self.k, self.m)
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[r.doc]
-        rks = batch.column("rk").to_numpy(zero_copy_only=False)[r.doc]
-        start = r.lo - r.w.ptr[r.doc]
-        one, two = span_hashes(r.h, r.lo, r.hi)
+    def _first(self, one: np.ndarray, two: np.ndarray, ids: np.ndarray, rks: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of strings with two hashes and a place: those that travel, the earliest of each
+        kind unless an earlier one has travelled before, and those that repeat one."""
         order = np.lexsort((start, rks, ids, two, one))
         o, t = one[order], two[order]
         new = np.ones(len(o), bool)
@@ -104,7 +102,7 @@ class Packer:
         lead = order[begin[np.cumsum(new) - 1]] if len(o) else order
         repeat = ~((ids[order] == ids[lead]) & (rks[order] == rks[lead]) & (start[order] == start[lead]))
         marks = [order[repeat]]
-        # super-k-mers that came often: later ones need not travel again
+        # those that came often: later ones need not travel again
         many = np.diff(np.append(begin, len(o)))
         send = np.ones(len(begin), bool)
         if self.often or (many > 2).any():
@@ -117,26 +115,41 @@ class Packer:
                     marks.append(np.array([x]))
                 elif seen is None and many[q] > 2 and len(self.often) < 100_000:
                     self.often[key] = place
-        lead = order[begin[send]]
-        gone = np.concatenate(marks)
-        if len(gone):
-            block = np.stack([ids[gone], rks[gone], start[gone], start[gone] + (r.hi - r.lo)[gone]], 1).astype("<i8")
-            yield int(ids[gone[0]]) % self.parts * _FINE, True, zstandard.compress(block.tobytes(), 1)
+        return order[begin[send]], np.concatenate(marks)
+
+    def _marks(self, ids: np.ndarray, rks: np.ndarray, start: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, bool, bytes]]:
+        if len(ids):
+            block = np.stack([ids, rks, start, start + words], 1).astype("<i8")
+            yield int(ids[0]) % self.parts * _FINE, True, zstandard.compress(block.tobytes(), 1)
+
+    def pack(self, batch: pa.RecordBatch) -> Iterator[tuple[int, bool, bytes]]:
+        """(part of a partition, whether marks, block)."""
+        r = super_kmers(batch.column("text"), self.k, self.m)
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[r.doc]
+        rks = batch.column("rk").to_numpy(zero_copy_only=False)[r.doc]
+        start = r.lo - r.w.ptr[r.doc]
+        lead, gone = self._first(*span_hashes(r.h, r.lo, r.hi), ids, rks, start)
+        yield from self._marks(ids[gone], rks[gone], start[gone], (r.hi - r.lo)[gone])
         if not len(lead):
             return
         hot = np.isin(_bucket(r.low[lead], self.hot_parts), self.hot)
         lo, hi, low = r.lo[lead], r.hi[lead], r.low[lead]
         ids, rks, start = ids[lead], rks[lead], start[lead]
-        if hot.any():  # windows of hot minimisers, one by one
+        if hot.any():  # windows of hot minimisers, one by one, equal ones once
             n = (hi - lo - self.k + 1)[hot]
             each = np.repeat(np.flatnonzero(hot), n)
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = lo[each] + step
+            at, place = lo[each] + step, start[each] + step
+            lead, gone = self._first(*span_hashes(r.h, at, at + self.k), ids[each], rks[each], place)
+            yield from self._marks(ids[each][gone], rks[each][gone], place[gone], np.full(len(gone), self.k))
+            at, place, each = at[lead], place[lead], each[lead]
             own = rolling(r.h, self.k)[at]
             lo, hi = np.concatenate([lo[~hot], at]), np.concatenate([hi[~hot], at + self.k])
             low = np.concatenate([low[~hot], own])
             ids, rks = (np.concatenate([v[~hot], v[each]]) for v in (ids, rks))
-            start = np.concatenate([start[~hot], start[each] + step])
+            start = np.concatenate([start[~hot], place])
+            if not len(lo):
+                return
         part = _bucket(low, self.parts * _FINE)
         order = np.argsort(part, kind="stable")
         edge = np.flatnonzero(np.diff(part[order], prepend=-1))
@@ -201,13 +214,20 @@ def _repeats(blocks: list[bytes], k: int) -> np.ndarray:
 def _hot(rows: DataFrame, k: int, m: int, hot_windows: int, hot_parts: int) -> np.ndarray:
     """Minimiser classes (of ``hot_parts``) with too many windows for a task:
     counted over all documents; there are at most windows / ``hot_windows`` of them."""
+    dense = hot_parts <= 1 << 20
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(hot_parts, np.int64)
+        total = np.zeros(hot_parts if dense else 0, np.int64)
         for b in slices(batches):
             r = super_kmers(b.column("text"), k, m)
             one, two = span_hashes(r.h, r.lo, r.hi)
             _, once = np.unique(np.stack([one, two], 1), axis=0, return_index=True)  # as many as will travel
-            np.add.at(total, _bucket(r.low[once], hot_parts), (r.hi - r.lo - k + 1)[once])
+            own, n = _bucket(r.low[once], hot_parts), (r.hi - r.lo - k + 1)[once]
+            if dense:
+                np.add.at(total, own, n)
+            else:  # too many classes for an array: the aggregation below adds them up
+                at, which = np.unique(own, return_inverse=True)
+                yield pa.RecordBatch.from_pydict({"class": at, "n": np.bincount(which, n, len(at)).astype(np.int64)})
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"class": at, "n": total[at]})
 
@@ -225,12 +245,14 @@ def _told_apart(docs: DataFrame) -> DataFrame:
         "doc_id", "text", F.when(F.col("again"), F.col("rk")).otherwise(0).cast("long").alias("rk"))
 
 
-def remove_repeats(docs: DataFrame, k: int = 20, m: int = 3, part_bytes: int = 8 << 20, hot_windows: int = 20_000_000,
-                   hot_parts: int = 1 << 16) -> DataFrame:
+def remove_repeats(docs: DataFrame, k: int = 20, m: int = 3, part_bytes: int = 8 << 20, hot_windows: int = 2_000_000,
+                   hot_parts: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of each row of ``docs``; ``kept`` are
     the words that stay, joined by one space."""
     rows = _told_apart(docs)
     parts = parts_for(docs, part_bytes)
+    # a window has four bytes of input at least: an average class holds an eighth of the limit
+    hot_parts = hot_parts or max(1 << 16, 1 << (2 * parts * part_bytes // hot_windows).bit_length())
     hot = _hot(rows, k, m, hot_windows, hot_parts)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
@@ -68,6 +72,33 @@ def test_repeats_across_documents_with_hot_minimisers(spark, hot):
     check_repeats(spark, texts * 2, 20, hot_windows=hot)
 
 
+def test_repeats_with_many_minimiser_classes(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcd") for _ in range(60)) for _ in range(12)]
+    check_repeats(spark, texts * 2, 20, hot_windows=3, hot_parts=1 << 21)
+
+
+def test_a_passage_between_different_words_travels_about_once_per_task(spark):
+    """One 20-word passage in many documents with other words around it: of a hot
+    minimiser, equal windows leave a task once."""
+    shared = " ".join(f"s{i}" for i in range(20))
+    texts = [f"a{i} b{i} c{i} {shared} d{i} e{i} f{i}" for i in range(3000)]
+    got = substrings.remove_repeats(documents(spark, texts), hot_windows=500).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {i: 20 * (i > 0) for i in range(3000)}
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(3000), "rk": [0] * 3000, "text": texts})
+    runs = substrings.super_kmers(batch.column("text"), 20, 3)
+    hot = np.unique(substrings._bucket(runs.low, 1 << 16))
+    packer = substrings.Packer(20, 3, 1, hot, 1 << 16)
+    sent = {}
+    for at in range(0, 3000, 100):
+        for _, marks, block in packer.pack(batch.slice(at, 100)):
+            if not marks:
+                raw = zstandard.decompress(block)
+                n = int(np.frombuffer(raw, "<i8", 1)[0])
+                sent[at] = sent.get(at, 0) + raw[8 + 32 * n:].count(shared.encode())
+    assert sent[0] == 1 and not any(sent[at] for at in sent if at)
+
+
 def test_repeats_null_ids_and_repeated_rows(spark):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(None, text), (3, text), (3, text), (4, "z " + text)]
