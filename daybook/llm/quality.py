@@ -9,7 +9,7 @@ training then calibrate both views and the weights that combine them.
 
 Fitting takes a bounded sample: at most ``label_sample`` labelled rows, and at
 most ``exchange`` pseudo-labels per view, class and round (picked over all
-documents).  Scoring covers every document.
+documents without a label, each text once).  Scoring covers every document.
 
 Defined results: a null or empty text is scored on its (empty) features; null
 source, language or length are values of their own; a row repeated in
@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from daybook.llm.common import id_key, map_arrow, save, slices
+from daybook.llm.common import id_key, map_arrow, real_id, save, slices
 from daybook.llm.words import FOLD, split_words, text_buffer
 
 _CLASSES = [[*range(65, 91)], [*range(97, 123)], [*range(48, 58)], [0x21], [0x7C], [ord(c) for c in "#$%&*@^~<>=+_\\/"],
@@ -245,6 +246,21 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
     return map_arrow(rows, run, "doc_id long, rk long, p_text double, p_meta double, p_bad double")
 
 
+def surest(scored: DataFrame, told: DataFrame, taken: set[int], col: str, y: float, sure: float, exchange: int,
+           turn: int) -> list[tuple[int, int]]:
+    """(doc_id, rk) of the at most ``exchange`` documents that the view ``col`` is surest to
+    be bad (``y`` 1) or good (0), ``sure`` at least: none of a labelled document, one for
+    each text (its smallest id), and none of a text that has been ``taken`` before."""
+    spark = scored.sparkSession
+    chance = F.col(col) if y else 1 - F.col(col)
+    free = scored.filter(chance >= sure).join(told, "doc_id", "left_anti")
+    if taken:  # at most four times exchange in a round
+        free = free.join(F.broadcast(spark.createDataFrame([(x,) for x in taken], "rk long")), "rk", "left_anti")
+    texts = free.groupBy("rk").agg(F.min(F.struct("doc_id", col)).alias("d")).select("rk", "d.doc_id", f"d.{col}")
+    order = [chance.desc(), F.xxhash64("doc_id", F.lit(turn)), "doc_id", "rk"]
+    return [(r.doc_id, r.rk) for r in texts.orderBy(*order).limit(exchange).collect()]
+
+
 def co_train(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample: int = 10000, exchange: int = 400,
              sure: float = 0.97) -> Model | None:
     """The model; None when the labels lack a class."""
@@ -262,7 +278,8 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample:
 
     def features_of(keys: list[tuple], cols: str, on: list[str]) -> Rows:
         few = F.broadcast(spark.createDataFrame(keys, cols))  # at most label_sample or exchange rows
-        return _features(rows.join(few, on, "left_semi"))
+        first = F.row_number().over(W.partitionBy(*on).orderBy("rk"))  # one row for each key, however often it occurs
+        return _features(rows.join(few, on, "left_semi").withColumn("place", first).filter("place = 1").drop("place"))
 
     base = features_of([(k,) for k in bad_of], "doc_id long", ["doc_id"])
     bad = np.array([bad_of[k] for k in base.key[:, 0]])
@@ -273,6 +290,7 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample:
         return None
     fit_on, calibrate = np.flatnonzero(~held), np.flatnonzero(held) if held.any() else np.arange(len(bad))
     extra: dict[str, list[tuple[Rows, np.ndarray]]] = {"text": [], "meta": []}
+    taken: set[int] = set()
 
     def train(name: str, view: View) -> View:
         sets = [(base.view(name, fit_on), bad[fit_on], np.ones(len(fit_on)))]
@@ -290,14 +308,13 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = 2, label_sample:
         if turn == rounds:
             break
         scored = save(_scored(rows, Model(text, meta, np.array([1.0, 0.0, 0.0]))), "quality-round")
-        free = scored.join(F.broadcast(spark.createDataFrame([(k,) for k in bad_of], "doc_id long")), "doc_id", "left_anti")
         for col, other in (("p_text", "meta"), ("p_meta", "text")):
-            for y, surest in ((1.0, F.col(col)), (0.0, 1 - F.col(col))):
-                order = [surest.desc(), F.xxhash64("doc_id", F.lit(turn)), "doc_id", "rk"]
-                pick = {(r.doc_id, r.rk) for r in free.filter(surest >= sure).orderBy(*order).limit(exchange).collect()}
+            for y in (1.0, 0.0):
+                pick = surest(scored, told, taken, col, y, sure, exchange, turn)
                 if pick:
                     got = features_of(sorted(pick), "doc_id long, rk long", ["doc_id", "rk"])
                     extra[other].append((got, np.full(len(got.key), y)))
+                    taken |= {rk for _, rk in pick}
     t, m = text.logit(base.view("text", calibrate)), meta.logit(base.view("meta", calibrate))
     return Model(text, meta, _logistic(np.stack([t, m], 1), bad[calibrate]))
 
@@ -311,10 +328,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **fit)
     """
     model = co_train(docs, labels, **fit)
     if model is None:
-        return _rows(docs).select("doc_id", "rk", *(F.lit(None).cast("double").alias(c) for c in ("p_text", "p_meta", "score")),
+        return _rows(docs).select(real_id().alias("doc_id"), "rk", *(F.lit(None).cast("double").alias(c) for c in ("p_text", "p_meta", "score")),
                                   F.lit(True).alias("keep"))
     return _scored(_rows(docs), model).select(
-        "doc_id", "rk", "p_text", "p_meta", (1 - F.col("p_bad")).alias("score"), (F.col("p_bad") < threshold).alias("keep"))
+        real_id().alias("doc_id"), "rk", "p_text", "p_meta", (1 - F.col("p_bad")).alias("score"), (F.col("p_bad") < threshold).alias("keep"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **fit) -> DataFrame:

@@ -38,6 +38,32 @@ def test_classifier_on_held_out_labels(spark):
     assert sum(keep for y, keep in held if not y) / sum(not y for y, _ in held) > 0.96
 
 
+def test_pseudo_labels_are_new_texts_without_a_label(spark):
+    rng = random.Random(15)
+    rows = [(i, i % 40, rng.random(), rng.random(), 0.5) for i in range(200)]     # 40 texts, five copies each
+    p_of = {rk: (p, q) for _, rk, p, q, _ in rows}
+    rows = [(i, rk, *p_of[rk], 0.5) for i, rk, *_ in rows]
+    scored = spark.createDataFrame(rows, "doc_id long, rk long, p_text double, p_meta double, p_bad double")
+    told = spark.createDataFrame([(i, 1.0) for i in range(0, 200, 3)], "doc_id long, bad double")
+    for y in (1.0, 0.0):
+        for taken in (set(), {3, 5, 8, 13, 21}):
+            chance = {rk: p if y else 1 - p for rk, (p, _) in p_of.items()}
+            want = sorted((-c, rk) for rk, c in chance.items() if c >= 0.2 and rk not in taken)[:12]
+            got = quality.surest(scored, told, taken, "p_text", y, 0.2, 12, 0)
+            assert [rk for _, rk in got] == [rk for _, rk in want]
+            assert all(i == min(j for j in range(rk, 200, 40) if j % 3) for i, rk in got)
+    assert len(quality.surest(scored, told, set(), "p_meta", 1.0, 0.0, 1000, 0)) == 40
+
+
+def test_classifier_with_repeated_rows_and_contradicting_labels(spark):
+    docs = documents(spark, ["good words here now"] * 20 + ["BAD!!! $$$ buy||"] * 20)
+    docs = docs.union(docs).union(spark.createDataFrame([(None, "x", None, None, None)], DOC))
+    labels = spark.createDataFrame([(i, int(i < 20), 0) for i in range(40)] + [(3, 0, 0)], "doc_id long, quality int, toxic int")
+    got = quality.classify(docs, labels, rounds=1).collect()
+    assert len(got) == 81 and [r.doc_id for r in got].count(None) == 1
+    assert {r.keep for r in got if r.doc_id is not None and r.doc_id >= 20} == {False}
+
+
 def test_classifier_without_labels_and_with_nulls(spark):
     docs = documents(spark, [None, "", "x" * 10000]).selectExpr("*", "1 as rk", "2 as p_text")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
