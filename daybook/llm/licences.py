@@ -10,6 +10,8 @@ not reported again.
 Sentences begin at the text's begin, after a line break, or after one of
 ``. ! ? ; :`` and white space, and end likewise; a known sentence may run across
 line breaks.  Of known sentences that begin at one place the longest counts.
+Neighbours in a rule have at most ``gap`` other words between them; sentences farther
+apart are notices, or parts of one, of their own.
 
 Known are the sentences of SENTENCES and the short statements made of NAMES.  Parts
 of an ordered rule count as well, if the whole is not there: a run of its sentences
@@ -322,12 +324,17 @@ class Scanner:
             own.sort()
         return out
 
-    def match(self, found: list[tuple[int, int, int]]) -> Iterator[tuple[str, str, int, int, int]]:
+    def match(self, found: list[tuple[int, int, int]], gap: int = 200) -> Iterator[tuple[str, str, int, int, int]]:
         """(licence, rule, sentences, first word, end) over a sequence of sentences."""
         ids, i = [f[2] for f in found], 0
+        # the sentence after which the next one is too far away, from each sentence on
+        until = list(range(1, len(found) + 1))
+        for x in range(len(found) - 2, -1, -1):
+            if found[x + 1][0] - found[x][0] - found[x][1] <= gap:
+                until[x] = until[x + 1]
         while i < len(found):
             for order, licence in self.rules.get(ids[i], []):
-                if ids[i:i + len(order)] == order:
+                if i + len(order) <= until[i] and ids[i:i + len(order)] == order:
                     last = found[i + len(order) - 1]
                     yield licence, " ".join(self.names[s] for s in order), len(order), found[i][0], last[0] + last[1]
                     i += len(order)
@@ -348,7 +355,7 @@ def tags(texts: pa.Array) -> Iterator[tuple[int, str, str, int, int, int]]:
 
 
 def licences(docs: DataFrame, sentences: dict[str, str] | DataFrame | None = None,
-             rules: list[tuple[str, list[str]]] | DataFrame | None = None) -> DataFrame:
+             rules: list[tuple[str, list[str]]] | DataFrame | None = None, gap: int = 200) -> DataFrame:
     """(doc_id, licence, rule, n_sentences, first_word, end_word) of every match;
     words are counted with case and punctuation folded.  The tables may be
     DataFrames: (identifier, sentence) and (licence, array of identifiers)."""
@@ -362,7 +369,7 @@ def licences(docs: DataFrame, sentences: dict[str, str] | DataFrame | None = Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            got = [(i, *m) for i, found in enumerate(scanner.sentences(b.column("text"))) for m in scanner.match(found)]
+            got = [(i, *m) for i, found in enumerate(scanner.sentences(b.column("text"))) for m in scanner.match(found, gap)]
             got += tags(b.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(pa.array([g[0] for g in got], pa.int64())), pa.array([g[1] for g in got], pa.string()),

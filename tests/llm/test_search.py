@@ -350,6 +350,40 @@ def test_rare_bad_names_are_blocked_in_a_large_table(spark):
     assert {i for i, v in got.items() if v == "block"} == bad | {20000}
 
 
+def test_rules_against_brute_force():
+    """The longest rule at a place wins, from the left; neighbours at most ``gap`` words apart."""
+    rng = random.Random(16)
+    sentences = {n: f"sentence {n} of a licence." for n in "abcd"}
+    rules = [("one", ["a", "b", "c"]), ("two", ["b", "c"]), ("three", ["a", "b"]), ("four", ["d"])]
+    scanner = licences.Scanner(sentences, rules)
+    every = {tuple(order): name for name, order in licences.with_parts(rules)}
+    for _ in range(300):
+        at, found = 0, []
+        for _ in range(rng.randrange(8)):
+            at += rng.choice([0, 5, 20])
+            found.append((at, 5, "abcd".index(rng.choice("abcd"))))
+            at += 5
+        want, i = [], 0
+        while i < len(found):
+            for n in range(len(found) - i, 0, -1):
+                own = found[i:i + n]
+                key = tuple("abcd"[f[2]] for f in own)
+                if key in every and all(y[0] - x[0] - x[1] <= 10 for x, y in zip(own, own[1:], strict=False)):
+                    want.append((every[key], " ".join(key), n, own[0][0], own[-1][0] + own[-1][1]))
+                    i += n - 1
+                    break
+            i += 1
+        assert list(scanner.match(found, 10)) == want
+
+
+def test_sentences_far_apart_are_not_one_notice(spark):
+    known, order = {"x": "First known sentence here.", "y": "Second known sentence there."}, [("L", ["x", "y"])]
+    texts = [f"First known sentence here. {'word ' * n}. Second known sentence there." for n in (0, 150, 10_000)]
+    docs = documents(spark, [*texts, None, texts[0]]).union(spark.createDataFrame([(None, texts[0], None, None, None)] * 2, DOC))
+    got = Counter((r.doc_id, r.licence, r.n_sentences) for r in licences.licences(docs, known, order).collect())
+    assert got == {(0, "L", 2): 1, (1, "L", 2): 1, (2, "L", 1): 2, (4, "L", 2): 1, (None, "L", 2): 2}
+
+
 # --- vectors
 
 def test_vectors_against_brute_force(spark):
