@@ -21,7 +21,7 @@ from daybook.llm.common import remembered
 from daybook.llm.words import Words, split_words, text_buffer
 
 #: Chunks that a worker remembers, and the bytes of a chunk that it remembers at most.
-MEMORY, LONGEST = 800_000, 64
+MEMORY, LONGEST = 400_000, 64
 
 #: Rules (fixed values of such a file) that drop white space, lower the case and cut
 #: contractions, runs of letters, single numbers and runs of anything else.
