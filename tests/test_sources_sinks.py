@@ -51,6 +51,31 @@ def test_product_dump_none_text_is_null(spark, tmp_path):
     assert row.c04 is None and row.c13 is None and row.c06 == "x"
 
 
+def test_product_dump_of_one_row_group_is_read_by_many_tasks(spark, tmp_path):
+    """A multi-line file is read whole by one task: no written file holds more than
+    FILE_RECORDS, from a single task, too; all records come back."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from __spark_entry__ import queries
+    from daybook.sources.fixtures import build_product_dump
+    from daybook.sources.product_csv import write_product_dump
+
+    n, most = 50_000, 20_000
+    pq.write_table(pa.table({
+        "p_partkey": pa.array(range(n), pa.int64()), "p_name": [None if i % 7 == 0 else f"part {i}" for i in range(n)],
+        "p_brand": ["Brand#1"] * n, "p_type": [f'"T", {i % 3}' for i in range(n)],
+        "p_size": pa.array([i % 50 for i in range(n)], pa.int32()), "p_retailprice": [i / 4 for i in range(n)]}),
+        tmp_path / "part.parquet", row_group_size=n)
+    records = build_product_dump(spark.read.parquet(str(tmp_path / "part.parquet")))
+    path = new_output_path(spark, "one-task-dump")
+    write_product_dump(records.coalesce(1), path)
+    for got in (queries()["scan_product_csv"](spark, str(tmp_path)), read_product_dump(spark, path)):
+        per_file = got.groupBy(F.input_file_name()).count().collect()
+        assert sum(r["count"] for r in per_file) == n and max(r["count"] for r in per_file) <= most
+        assert got.schema == PRODUCT_SCHEMA and records.exceptAll(got).isEmpty()
+
+
 def test_jdbc_options_rules():
     o = jdbc_options("jdbc:x://h/db", table="t", partition_column="id", lower_bound=0,
                      upper_bound=100, num_partitions=4)
